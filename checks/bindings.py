@@ -58,6 +58,10 @@ def locale_text(amount: F.Column) -> F.Column:
     return F.translate(F.format_number(amount, 2), ",.", " ,")
 
 
+def comma_text(amount: F.Column) -> F.Column:
+    return F.replace(amount.cast(MONEY).cast("string"), F.lit("."), F.lit(","))
+
+
 def date_text(day: F.Column, number: F.Column) -> F.Column:
     return F.when(number % 2 == 0, F.date_format(day, "dd.MM.yyyy")).otherwise(F.date_format(day, "M/d/yyyy"))
 
@@ -86,6 +90,10 @@ def _locale_sql(amount: str) -> str:
     return f"translate(format('{{:,.2f}}', {amount}), ',.', ' ,')"
 
 
+def _comma_sql(amount: str) -> str:
+    return f"replace(CAST(CAST({amount} AS DECIMAL(18,2)) AS VARCHAR), '.', ',')"
+
+
 def _date_sql(day: str, number: str) -> str:
     return f"CASE WHEN {number} % 2 = 0 THEN strftime({day}, '%d.%m.%Y') ELSE strftime({day}, '%-m/%-d/%Y') END"
 
@@ -227,6 +235,21 @@ events_sheet AS (
   FROM events)"""
 
 
+def stack(rows: DataFrame, when: list[F.Column]) -> DataFrame:
+    """Several sheet rows per input row: column ``i`` numbers those whose condition holds."""
+    numbers = F.array_compact(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(when)]))
+    return rows.withColumn("i", F.explode(numbers))
+
+
+def case(*values: F.Column | None) -> F.Column:
+    """The value at place ``i``; None stands for null."""
+    chosen = F.lit(None).cast("string")
+    for i, value in enumerate(values):
+        if value is not None:
+            chosen = F.when(F.col("i") == i, value).otherwise(chosen)
+    return chosen
+
+
 def trial_sheet(spark: SparkSession, sf: str) -> DataFrame:
     """Trial balance of accounts 50 and 51: up to three stacked rows per order."""
     key = F.col("o_orderkey")
@@ -235,29 +258,18 @@ def trial_sheet(spark: SparkSession, sf: str) -> DataFrame:
     )
     org = F.concat(F.lit("Общество "), F.col("company"), F.lit(" "), F.col("o_custkey") % 2)
     item = F.when(key % 5 != 0, F.concat(F.lit("Статья "), F.left("o_orderpriority", F.lit(1))))
-    amount = locale_text(F.col("o_totalprice"))
-    empty = F.lit(None).cast("string")
-
-    def row(i, stacked, dim=empty, receipt=empty, payment=empty):
-        return F.struct(
-            (key * 3 + 4 + i).alias("row_no"),
-            stacked.alias("stacked"),
-            dim.alias("dim"),
-            receipt.alias("receipt"),
-            payment.alias("payment"),
-        )
-
-    dated = row(
-        2,
-        moment_text(F.col("day"), key),
-        item,
-        F.when(F.col("o_orderstatus") != "F", amount),
-        F.when(F.col("o_orderstatus") != "O", amount),
-    )
-    rows = F.array_compact(
-        F.array(F.when(key % 4 == 0, row(0, account)), F.when(key % 2 == 0, row(1, org)), dated)
+    amount = comma_text(F.col("o_totalprice"))
+    rows = stack(sales(spark, sf), [key % 4 == 0, key % 2 == 0, F.lit(True)])
+    return rows.select(
+        "grp",
+        "company",
+        workbook("ОСВ 50-51").alias("source_file"),
+        (key * 3 + 4 + F.col("i")).alias("row_no"),
+        case(account, org, moment_text(F.col("day"), key)).alias("stacked"),
+        case(None, None, item).alias("dim"),
+        case(None, None, F.when(F.col("o_orderstatus") != "F", amount)).alias("receipt"),
+        case(None, None, F.when(F.col("o_orderstatus") != "O", amount)).alias("payment"),
     )
-    return sales(spark, sf).select("grp", "company", workbook("ОСВ 50-51").alias("source_file"), F.inline(rows))
 
 
 TRIAL_SQL = f"""
@@ -273,8 +285,8 @@ trial_sheet AS (
   UNION ALL
   SELECT grp, company, {_workbook_sql('ОСВ 50-51')}, o_orderkey * 3 + 6, {_moment_sql('day', 'o_orderkey')},
          CASE WHEN o_orderkey % 5 <> 0 THEN 'Статья ' || left(o_orderpriority, 1) END,
-         CASE WHEN o_orderstatus <> 'F' THEN {_locale_sql('o_totalprice')} END,
-         CASE WHEN o_orderstatus <> 'O' THEN {_locale_sql('o_totalprice')} END
+         CASE WHEN o_orderstatus <> 'F' THEN {_comma_sql('o_totalprice')} END,
+         CASE WHEN o_orderstatus <> 'O' THEN {_comma_sql('o_totalprice')} END
   FROM sales)"""
 
 
@@ -295,34 +307,25 @@ def debt_sheet(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     code = F.col("s_suppkey") % 10
     account = F.concat(F.when(code < 5, "66.0").otherwise("67.0"), code % 5 + 1)
-    empty = F.lit(None).cast("string")
-
-    def row(i, stacked, creditor=empty, receipt=empty, payment=empty):
-        return F.struct(
-            (key * 5 + 6 + i).alias("row_no"),
-            stacked.alias("stacked"),
-            creditor.alias("creditor"),
-            receipt.alias("receipt"),
-            payment.alias("payment"),
-        )
-
-    amount = locale_text(F.col("amount"))
-    stacked = F.array_compact(
-        F.array(
-            row(0, account),
-            row(1, F.concat(F.lit("ООО "), F.col("company"))),
-            row(2, F.concat(F.lit("770000000"), code), F.concat(F.lit("Банк "), code)),
-            F.when(F.col("l_linenumber") % 2 == 0, row(3, F.concat(F.lit("Договор "), F.col("s_suppkey") % 2))),
-            row(
-                4,
-                moment_text(F.col("day"), key),
-                empty,
-                F.when(F.col("flag") != "R", amount),
-                F.when(F.col("flag") == "R", amount),
-            ),
-        )
+    amount = comma_text(F.col("amount"))
+    always = F.lit(True)
+    rows = stack(rows, [always, always, always, F.col("l_linenumber") % 2 == 0, always])
+    return rows.select(
+        "grp",
+        "company",
+        workbook("ОСВ 66-67").alias("source_file"),
+        (key * 5 + 6 + F.col("i")).alias("row_no"),
+        case(
+            account,
+            F.concat(F.lit("ООО "), F.col("company")),
+            F.concat(F.lit("770000000"), code),
+            F.concat(F.lit("Договор "), F.col("s_suppkey") % 2),
+            moment_text(F.col("day"), key),
+        ).alias("stacked"),
+        case(None, None, F.concat(F.lit("Банк "), code)).alias("creditor"),
+        case(None, None, None, None, F.when(F.col("flag") != "R", amount)).alias("receipt"),
+        case(None, None, None, None, F.when(F.col("flag") == "R", amount)).alias("payment"),
     )
-    return rows.select("grp", "company", workbook("ОСВ 66-67").alias("source_file"), F.inline(stacked))
 
 
 _CODE = "(s_suppkey % 10)"
@@ -348,33 +351,26 @@ debt_sheet AS (
   FROM debt_base WHERE l_linenumber % 2 = 0
   UNION ALL
   SELECT grp, company, source_file, k * 5 + 10, {_moment_sql('day', 'k')}, NULL,
-         CASE WHEN flag <> 'R' THEN {_locale_sql('amount')} END,
-         CASE WHEN flag = 'R' THEN {_locale_sql('amount')} END
+         CASE WHEN flag <> 'R' THEN {_comma_sql('amount')} END,
+         CASE WHEN flag = 'R' THEN {_comma_sql('amount')} END
   FROM debt_base)"""
 
 
 def _outline(spark: SparkSession, sf: str, report: str, indicator, first_row: int, step: int, cells) -> DataFrame:
     """An outline sheet: ``cells`` lists (level, emitted when, label, measure) per order."""
     key = F.col("o_orderkey")
-    empty = F.lit(None).cast("string")
-    rows = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    when,
-                    F.struct(
-                        (key * step + first_row + i).alias("row_no"),
-                        F.lit(level).alias("level"),
-                        label.alias("c0"),
-                        (empty if measure is None else measure).alias("c1"),
-                    ),
-                )
-                for i, (level, when, label, measure) in enumerate(cells)
-            ]
-        )
+    levels, when, labels, measures = zip(*cells, strict=True)
+    rows = stack(sales(spark, sf).withColumn("indicator", indicator), list(when))
+    return rows.select(
+        "grp",
+        "company",
+        workbook(report).alias("source_file"),
+        "indicator",
+        (key * step + first_row + F.col("i")).alias("row_no"),
+        F.element_at(F.array(*[F.lit(level) for level in levels]), F.col("i") + 1).alias("level"),
+        case(*labels).alias("c0"),
+        case(*measures).alias("c1"),
     )
-    labelled = sales(spark, sf).withColumn("indicator", indicator)
-    return labelled.select("grp", "company", workbook(report).alias("source_file"), "indicator", F.inline(rows))
 
 
 def cost_sheet(spark: SparkSession, sf: str) -> DataFrame:
@@ -398,7 +394,7 @@ def cost_sheet(spark: SparkSession, sf: str) -> DataFrame:
                 F.when(key % 7 != 0, F.concat(F.col("o_orderpriority"), F.lit(","), F.left("o_orderpriority", F.lit(1)))),
                 None,
             ),
-            (5, always, date_text(F.col("day"), key), locale_text(F.col("o_totalprice"))),
+            (5, always, date_text(F.col("day"), key), comma_text(F.col("o_totalprice"))),
         ],
     )
 
@@ -411,7 +407,7 @@ cost_sheet AS (
               WHEN 3 THEN 'Вид ' || (o_custkey % 2)
               WHEN 4 THEN CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority || ',' || left(o_orderpriority, 1) END
               ELSE {_date_sql('day', 'o_orderkey')} END AS c0,
-         CASE WHEN level = 5 THEN {_locale_sql('o_totalprice')} END AS c1
+         CASE WHEN level = 5 THEN {_comma_sql('o_totalprice')} END AS c1
   FROM sales, (SELECT unnest([0, 1, 2, 3, 4, 5]) AS level)
   WHERE level >= 4 OR (level = 3 AND o_orderkey % 2 = 0) OR (level < 3 AND o_orderkey % 3 = 0))"""
 
@@ -440,7 +436,7 @@ def revenue_sheet(spark: SparkSession, sf: str) -> DataFrame:
             (4, always, item, None),
             (5, always, date_text(F.col("day"), key), None),
             (6, always, F.concat(F.lit("Документ "), key), None),
-            (7, always, F.concat(F.lit("Операция "), key % 3), locale_text(F.col("o_totalprice"))),
+            (7, always, F.concat(F.lit("Операция "), key % 3), comma_text(F.col("o_totalprice"))),
         ],
     )
 
@@ -456,7 +452,7 @@ revenue_sheet AS (
               WHEN 5 THEN {_date_sql('day', 'o_orderkey')}
               WHEN 6 THEN 'Документ ' || o_orderkey
               ELSE 'Операция ' || (o_orderkey % 3) END AS c0,
-         CASE WHEN level = 7 THEN {_locale_sql('o_totalprice')} END AS c1
+         CASE WHEN level = 7 THEN {_comma_sql('o_totalprice')} END AS c1
   FROM sales, (SELECT unnest([0, 1, 2, 3, 4, 5, 6, 7]) AS level)
   WHERE level IN (0, 4, 5, 6, 7) OR (level = 3 AND o_orderkey % 2 = 0) OR (level < 3 AND o_orderkey % 3 = 0))"""
 
@@ -477,7 +473,7 @@ def deduction_sheet(spark: SparkSession, sf: str) -> DataFrame:
             (2, key % 3 == 0, F.lit("68.02"), None),
             (3, always, date_text(F.col("day"), key), None),
             (4, always, F.concat(F.lit("Документ "), key), None),
-            (5, always, F.concat(F.lit("Операция "), key % 3), locale_text(F.floor(F.col("o_totalprice") / 6).cast("double"))),
+            (5, always, F.concat(F.lit("Операция "), key % 3), comma_text(F.floor(F.col("o_totalprice") / 6))),
         ],
     )
 
@@ -490,7 +486,7 @@ deduction_sheet AS (
               WHEN 3 THEN {_date_sql('day', 'o_orderkey')}
               WHEN 4 THEN 'Документ ' || o_orderkey
               ELSE 'Операция ' || (o_orderkey % 3) END AS c0,
-         CASE WHEN level = 5 THEN {_locale_sql('floor(o_totalprice / 6)')} END AS c1
+         CASE WHEN level = 5 THEN {_comma_sql('floor(o_totalprice / 6)')} END AS c1
   FROM sales, (SELECT unnest([0, 1, 2, 3, 4, 5]) AS level)
   WHERE level IN (0, 3, 4, 5) OR o_orderkey % 3 = 0)"""
 

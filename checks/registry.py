@@ -15,6 +15,7 @@ from ledgerspark import functions as X
 from ledgerspark import operators as O
 from ledgerspark.functions import labels as L
 from ledgerspark.plans import reports as R
+from ledgerspark.sources.staging import Staging
 
 from . import bindings as B
 
@@ -358,7 +359,7 @@ def outline_flatten_deep(spark, sf):
 
 @query(f"{classified_sql('trial_sheet')} => SELECT source_file, row_no, date, account, org FROM classified", "trial_sheet")
 def stacked_classify(spark, sf):
-    rows = O.classify_stacked(B.trial_sheet(spark, sf), X.cash_bank_rules("stacked"))
+    rows = O.classify_stacked(B.trial_sheet(spark, sf), X.cash_bank_rules)
     return rows.select("source_file", "row_no", "date", "account", "org")
 
 
@@ -367,7 +368,7 @@ def stacked_classify(spark, sf):
     "debt_sheet",
 )
 def stacked_classify_debt(spark, sf):
-    rows = O.classify_stacked(B.debt_sheet(spark, sf), X.debt_rules("stacked", "creditor"))
+    rows = O.classify_stacked(B.debt_sheet(spark, sf), X.debt_rules, "creditor")
     return rows.select("source_file", "row_no", "date", "account", "org", "creditor", "contract")
 
 
@@ -410,7 +411,7 @@ _TRIAL_SPLIT = f"{classified_sql('trial_sheet')}, {trial_facts_sql(CASH_WHERE)}"
 
 
 def _desk_facts(spark, sf):
-    return R.trial_balance_facts(B.trial_sheet(spark, sf), R.CASH_DESK)
+    return R.cash_desk_facts(B.trial_sheet(spark, sf))
 
 
 @query(
@@ -486,7 +487,7 @@ def recode_values(spark, sf):
     "trial_sheet",
 )
 def union_with_origin(spark, sf):
-    return R.cash_and_bank_daily(B.trial_sheet(spark, sf))
+    return R.cash_and_bank_daily(B.trial_sheet(spark, sf), Staging(spark))
 
 
 @query("SELECT indicator, org, item, date, change FROM components", "components")
@@ -726,7 +727,8 @@ _STATEMENT = f"{COMPONENT_FACTS}, {pnl_daily_sql()}, {_CARRIED}, {_LINES}"
 @query(f"{_STATEMENT} => SELECT * FROM line_balances", "components")
 def profit_running(spark, sf):
     facts = _component_facts(spark, sf)
-    return O.profit_lines(facts, R.date_bounds(facts, ["grp"]))
+    bounds = facts.groupBy("grp").agg(F.min("date").alias("start_date"), F.max("date").alias("end_date"))
+    return O.profit_lines(facts, bounds)
 
 
 @query(
@@ -749,7 +751,7 @@ facts AS (
 
 @query(f"{_COST_FACTS}, {pnl_daily_sql()} => SELECT * FROM daily", "cost_sheet")
 def pnl_component(spark, sf):
-    return R.pnl_component(B.cost_sheet(spark, sf))
+    return R.pnl_component(B.cost_sheet(spark, sf), stage=Staging(spark))
 
 
 _REVENUE_FACTS = f"""{REVENUE_FLAT}, {DEDUCTION_FLAT},
@@ -765,7 +767,7 @@ facts AS (
 
 @query(f"{_REVENUE_FACTS}, {pnl_daily_sql()} => SELECT * FROM daily", "revenue_sheet", "deduction_sheet")
 def pnl_revenue_net(spark, sf):
-    return R.pnl_component(B.revenue_sheet(spark, sf), R.REVENUE_OUTLINE, B.deduction_sheet(spark, sf))
+    return R.pnl_component(B.revenue_sheet(spark, sf), R.REVENUE_OUTLINE, B.deduction_sheet(spark, sf), Staging(spark))
 
 
 def _trial_report(where: str, item: str) -> str:
@@ -777,17 +779,17 @@ def _trial_report(where: str, item: str) -> str:
 
 @query(_trial_report(CASH_WHERE, "cf_item"), "trial_sheet")
 def osv_cash_daily(spark, sf):
-    return R.trial_balance_daily(B.trial_sheet(spark, sf), R.CASH_DESK)
+    return R.trial_balance_daily(B.trial_sheet(spark, sf), R.CASH_DESK, Staging(spark))
 
 
 @query(_trial_report(BANK_WHERE, "bank_account"), "trial_sheet")
 def osv_bank_daily(spark, sf):
-    return R.trial_balance_daily(B.trial_sheet(spark, sf), R.BANK_ACCOUNTS)
+    return R.trial_balance_daily(B.trial_sheet(spark, sf), R.BANK_ACCOUNTS, Staging(spark))
 
 
 @query(f"{DEBT_FACTS}, {trial_daily_sql(_DEBT_ITEMS)} => SELECT * FROM daily", "debt_sheet")
 def debt_daily(spark, sf):
-    return R.debt_daily(B.debt_sheet(spark, sf))
+    return R.debt_daily(B.debt_sheet(spark, sf), Staging(spark))
 
 
 @query(
@@ -819,4 +821,4 @@ FROM ranked""",
     "dictionary",
 )
 def cash_flow(spark, sf):
-    return R.cash_flow(B.bank_statements(spark, sf), B.dictionary(spark, sf), _desk_facts(spark, sf))
+    return R.cash_flow(B.bank_statements(spark, sf), B.dictionary(spark, sf), B.trial_sheet(spark, sf), Staging(spark))

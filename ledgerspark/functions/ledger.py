@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import labels as L
-from .parsing import as_column, label_with_id, parse_multi_datetime
+from .parsing import as_column, label_with_id
 
 
 def flow_type(receipt: Column | str) -> Column:
@@ -61,38 +61,28 @@ def account_filter(
     return keep
 
 
-def cash_bank_rules(stacked: Column | str) -> dict[str, Column]:
-    """Row classes of a trial balance of accounts 50 and 51.
+def cash_bank_rules(text: Column | str) -> dict[str, Column]:
+    """Classes of the undated rows in a trial balance of accounts 50 and 51.
 
-    Text that reads as a datetime is a date row, text that begins with a digit an account row,
-    any other text an organisation row.
+    Text that begins with a digit is an account, any other text an organisation.
     """
-    stacked = as_column(stacked)
-    moment = parse_multi_datetime(stacked)
-    named = F.when(moment.isNull(), stacked)
-    numeric = F.rlike(stacked, F.lit(r"^\p{Nd}"))
-    return {
-        "date": moment.cast("date"),
-        "account": F.when(numeric, named),
-        "org": F.when(~numeric, named),
-    }
+    text = as_column(text)
+    numeric = F.rlike(text, F.lit(r"^\p{Nd}"))
+    return {"account": F.when(numeric, text), "org": F.when(~numeric, text)}
 
 
-def debt_rules(stacked: Column | str, creditor: Column | str) -> dict[str, Column]:
-    """Row classes of a trial balance of accounts 66 and 67.
+def debt_rules(text: Column | str, creditor: Column | str) -> dict[str, Column]:
+    """Classes of the undated rows in a trial balance of accounts 66 and 67.
 
     A tax-id row completes the creditor's label. Any text that is neither an account nor a tax id
     is a contract, organisation rows included, until the next contract row replaces it.
     """
-    stacked, creditor = as_column(stacked), as_column(creditor)
-    moment = parse_multi_datetime(stacked)
-    named = F.when(moment.isNull(), stacked)
-    is_account = F.rlike(stacked, F.lit(r"^[0-9]{2}\.[0-9]{2}$"))
-    tax_id = F.when(F.rlike(stacked, F.lit(r"^\p{Nd}{10}$|^\p{Nd}{12}$")), named)
+    text, creditor = as_column(text), as_column(creditor)
+    is_account = F.rlike(text, F.lit(r"^[0-9]{2}\.[0-9]{2}$"))
+    is_tax_id = F.rlike(text, F.lit(r"^\p{Nd}{10}$|^\p{Nd}{12}$"))
     return {
-        "date": moment.cast("date"),
-        "account": F.when(is_account, named),
-        "org": F.when(contains_any(stacked, L.LEGAL_FORMS), named),
-        "creditor": label_with_id(creditor, tax_id),
-        "contract": F.when(~is_account & tax_id.isNull(), named),
+        "account": F.when(is_account, text),
+        "org": F.when(contains_any(text, L.LEGAL_FORMS), text),
+        "creditor": label_with_id(creditor, F.when(is_tax_id, text)),
+        "contract": F.when(~is_account & ~is_tax_id, text),
     }

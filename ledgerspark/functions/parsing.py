@@ -5,6 +5,7 @@ All of them are built-in expressions, so they stay inside whole-stage codegen.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -31,9 +32,20 @@ def parse_locale_number(c: Column | str, strict: bool = True) -> Column:
 
 
 def parse_multi_datetime(c: Column | str, formats: Iterable[str] = DATETIME_FORMATS) -> Column:
-    """The first format that fits the whole text wins; null when none does."""
+    """The first format that fits the whole text wins; null when none does.
+
+    A format is tried only on text of its shape: a failed parse costs an exception per cell, and
+    most cells of a stacked column are no dates.
+    """
     c = as_column(c)
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.when(F.rlike(c, F.lit(_shape(f))), F.try_to_timestamp(c, F.lit(f))) for f in formats])
+
+
+def _shape(pattern: str) -> str:
+    parts = {"yyyy": r"\d{4}", "a": "[AaPp][Mm]"}
+    return "^" + re.sub(
+        r"[A-Za-z]+|[^A-Za-z]", lambda m: parts.get(m[0], r"\d{1,2}" if m[0].isalpha() else re.escape(m[0])), pattern
+    ) + "$"
 
 
 def parse_multi_date(c: Column | str, formats: Iterable[str] = DATE_FORMATS) -> Column:

@@ -1,4 +1,4 @@
-from .balance import daily_balances, ledger_sum, running_balance
+from .balance import all_present, daily_balances, key_totals, ledger_sum, running_balance
 from .calendar import (
     carry_forward_rows,
     date_gap,
@@ -14,6 +14,7 @@ from .mapping import map_dictionary, net_of
 from .shape import (
     classify_stacked,
     forward_fill,
+    forward_fill_steps,
     outline_flatten,
     skip_preamble,
     with_file_identity,
@@ -38,6 +39,7 @@ from .tidy import (
 )
 
 __all__ = [
+    "all_present",
     "carry_forward_rows",
     "classify_stacked",
     "daily_balances",
@@ -51,6 +53,8 @@ __all__ = [
     "filter_account",
     "flag_first_seen",
     "forward_fill",
+    "forward_fill_steps",
+    "key_totals",
     "last_date",
     "ledger_sum",
     "map_dictionary",

@@ -4,19 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def ledger_sum(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Sum ``measures`` per key. Rows with a null key vanish; a sum over nulls only is 0."""
     return (
-        df.na.drop(subset=list(keys))
+        df.where(all_present(keys))
         .groupBy(*keys)
         .agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures])
     )
 
 
+def all_present(cols: Sequence[str]) -> Column:
+    """True where none of ``cols`` is null.
+
+    Written as single null checks, which the optimizer knows when it plans joins on these columns:
+    it then adds none of its own, and equal inputs keep equal plans.
+    """
+    present = F.col(cols[0]).isNotNull()
+    for c in cols[1:]:
+        present = present & F.col(c).isNotNull()
+    return present
+
+
 def running_balance(
     df: DataFrame,
     keys: Sequence[str],
@@ -34,47 +46,57 @@ def running_balance(
     return with_opening.withColumn(closing, F.col(opening) + F.col(change))
 
 
+def key_totals(
+    facts: DataFrame, keys: Sequence[str], change: str = "change", date: str = "date"
+) -> DataFrame:
+    """First and last date and the total change per key.
+
+    The check on the total is always true. It keeps the total in plans that use the dates alone, so
+    that all uses of the facts read the same columns and share one shuffle.
+    """
+    totals = facts.groupBy(*keys).agg(
+        F.min(date).alias("first_date"), F.max(date).alias("last_date"), F.sum(change).alias("total")
+    )
+    return totals.where(F.col("total").isNotNull())
+
+
 def daily_balances(
     facts: DataFrame,
     keys: Sequence[str],
     tails: DataFrame,
     *,
-    on: Sequence[str],
     measures: Sequence[str] = (),
     change: str = "change",
     date: str = "date",
-    coverage: str = "coverage",
 ) -> DataFrame:
     """Opening and closing balance of every key on every day it covers.
 
     ``facts`` holds one row per key and date on which something moved. A key covers each day from
-    its first to its last fact, and after that the days of ``coverage``, an
-    ``array<struct<s: date, e: date>>`` of disjoint ascending spans that ``tails`` gives per ``on``.
+    its first to its last fact. ``tails`` adds later days: per key its ``total`` and one row for
+    each span ``s..e`` of days after its last fact.
 
     Balances are computed on the facts alone and only then spread over the quiet days, where
-    nothing moves and the balance stands still. The daily rows come out of a generator and are
+    nothing moves and the balance stands still. The daily rows come out of generators and are
     never shuffled or sorted.
     """
     by_date = Window.partitionBy(*keys).orderBy(date)
     balances = running_balance(facts, keys, date, change).withColumn("_next", F.lead(date).over(by_date))
-
-    until_next = F.array(F.struct(F.col(date).alias("s"), F.date_sub(F.col("_next"), 1).alias("e")))
-    spans = F.when(F.col("_next").isNotNull(), until_next).otherwise(F.col(coverage))
-    spread = (
-        balances.join(tails.select(*on, coverage), list(on), "left")
-        .withColumn("_spans", spans)
-        .select(*balances.columns, F.inline("_spans"))
-        .where(F.col("e") >= F.col(date))
-        .withColumn("_day", F.explode(F.sequence(F.greatest("s", date), F.col("e"))))
-    )
+    until_next = F.coalesce(F.date_sub("_next", 1), F.col(date))
+    spread = balances.withColumn("_day", F.explode(F.sequence(date, until_next)))
     moved = F.col("_day") == F.col(date)
-    quiet = {m: F.when(moved, F.col(m)).otherwise(F.lit(0)) for m in (*measures, change)}
-    quiet["opening"] = F.when(moved, F.col("opening")).otherwise(F.col("closing"))
-    others = [c for c in balances.columns if c not in (*keys, date, *quiet, "closing", "_next")]
-    return spread.select(
+    movements = [*measures, change]
+    lived = spread.select(
         *keys,
-        *others,
         F.col("_day").alias(date),
-        *[value.alias(name) for name, value in quiet.items()],
+        *[F.when(moved, F.col(m)).otherwise(F.lit(0)).alias(m) for m in movements],
+        F.when(moved, F.col("opening")).otherwise(F.col("closing")).alias("opening"),
         "closing",
     )
+    after = tails.select(
+        *keys,
+        F.explode(F.sequence("s", "e")).alias(date),
+        *[F.lit(0).cast(facts.schema[m].dataType).alias(m) for m in movements],
+        F.col("total").alias("opening"),
+        F.col("total").alias("closing"),
+    )
+    return lived.unionByName(after)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
+from .balance import all_present
 
 
 def split_two_way(
@@ -52,7 +53,7 @@ def flag_first_seen(
     """
     position = [*keys, *order]
     firsts = (
-        df.na.drop(subset=[*keys, order[0]])
+        df.where(all_present([*keys, order[0]]))
         .groupBy(*keys)
         .agg(F.min(F.struct(*order)).alias("_first"))
         .select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(f"_first.{c}").alias(f"_k_{c}") for c in order])

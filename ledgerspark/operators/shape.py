@@ -7,12 +7,12 @@ long the source is, and the value that reaches a block from the blocks before it
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.parsing import file_company, file_group
+from ..functions.parsing import DATETIME_FORMATS, file_company, file_group, parse_multi_datetime
 
 # The row limit of a worksheet: a sheet read from a workbook is always a single block.
 BLOCK_ROWS = 1 << 20
@@ -42,35 +42,68 @@ def forward_fill(
     """Replace nulls in ``cols`` by the last value above them in the same source.
 
     ``within`` restricts the look-back to rows with the same key values; a row with a null key gets
-    nulls. ``order`` must be unique per source.
+    nulls. ``order`` counts the rows of a source from 0 and is unique in it.
     """
-    scope = [*source, *within]
-    blocked = df.withColumn("_block", F.floor(F.col(order) / block_rows))
+    return forward_fill_steps(df, [(cols, within)], order=order, source=source, block_rows=block_rows)
 
-    # What each block hands on: its own last values, then the last ones of the blocks before it.
-    handed_on = blocked.groupBy(*scope, "_block").agg(
+
+def forward_fill_steps(
+    df: DataFrame,
+    steps: Sequence[tuple[Sequence[str], Sequence[str]]],
+    *,
+    order: str = "row_no",
+    source: Sequence[str] = SOURCE,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Several fills one after the other, each ``(cols, within)``; later keys may be filled columns.
+
+    All steps share one shuffle by source and block.
+    """
+    filled = df.withColumn("_block", F.floor(F.col(order) / block_rows))
+    # Only sources longer than a block hand values on. There is at most one of them per
+    # ``block_rows`` rows of input, which bounds the broadcast; where there is none, adaptive
+    # execution drops everything that hangs on it.
+    long_sources = F.broadcast(df.where(F.col(order) >= block_rows).select(*source).distinct())
+    used = dict.fromkeys(c for cols, within in steps for c in (*cols, *within))
+    long_rows = filled.select(*source, "_block", order, *used).join(long_sources, list(source), "left_semi")
+    for n, (cols, within) in enumerate(steps):
+        scope = [*source, *within]
+        carried = _handed_over(long_rows, list(cols), order, scope)
+        if n < len(steps) - 1:
+            long_rows = _fill(long_rows, carried, list(cols), order, list(source), list(within))
+        filled = _fill(filled, carried, list(cols), order, list(source), list(within))
+    return filled.select(*df.columns)
+
+
+def _handed_over(long_rows: DataFrame, cols: list[str], order: str, scope: list[str]) -> DataFrame:
+    """What each block receives per scope: the last values of the blocks before it."""
+    last_of_block = long_rows.groupBy(*scope, "_block").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in cols]
     )
     before = Window.partitionBy(*scope).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = handed_on.select(
+    return last_of_block.select(
         *[F.col(c).alias(f"_on_{c}") for c in (*scope, "_block")],
         *[F.last(c, ignorenulls=True).over(before).alias(f"_carried_{c}") for c in cols],
     ).where(_any_present([f"_carried_{c}" for c in cols]))
 
+
+def _fill(
+    blocked: DataFrame, carried: DataFrame, cols: list[str], order: str, source: list[str], within: list[str]
+) -> DataFrame:
     so_far = (
         Window.partitionBy(*source, "_block", *within)
         .orderBy(order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = blocked.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in cols})
-    matched = [F.col(c) == F.col(f"_on_{c}") for c in (*scope, "_block")]
-    keyed = F.lit(True)
-    for key in within:
-        keyed = keyed & F.col(key).isNotNull()
+    matched = [F.col(c) == F.col(f"_on_{c}") for c in (*source, *within, "_block")]
     filled = {c: F.coalesce(F.col(c), F.col(f"_carried_{c}")) for c in cols}
     if within:
+        keyed = F.lit(True)
+        for key in within:
+            keyed = keyed & F.col(key).isNotNull()
         filled = {c: F.when(keyed, value) for c, value in filled.items()}
-    return local.join(carried, matched, "left").withColumns(filled).select(*df.columns)
+    return local.join(carried, matched, "left").withColumns(filled).select(*blocked.columns)
 
 
 def outline_flatten(
@@ -102,9 +135,22 @@ def outline_flatten(
     return filled.where(F.col(leaf).isNotNull())
 
 
-def classify_stacked(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    """Split a stacked report column into typed columns, one per rule; no match gives null."""
-    return df.withColumns(dict(rules))
+def classify_stacked(
+    df: DataFrame,
+    rules: Callable[..., Mapping[str, Column]],
+    *also: str,
+    stacked: str = "stacked",
+    formats: Iterable[str] = DATETIME_FORMATS,
+) -> DataFrame:
+    """Split a stacked report column into typed columns; a row that fits no class has nulls.
+
+    Text that reads as a datetime goes to ``date``. ``rules`` gets the other text, and the columns
+    named in ``also``, and returns one column per further class.
+    """
+    dated = df.withColumn("date", parse_multi_datetime(stacked, formats).cast("date"))
+    named = dated.withColumn("_text", F.when(F.col("date").isNull(), F.col(stacked)))
+    classes = rules(F.col("_text"), *[F.col(c) for c in also])
+    return named.withColumns(dict(classes)).drop("_text")
 
 
 def _any_present(cols: Iterable[str]) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
-from .balance import ledger_sum
+from .balance import all_present, ledger_sum
 
 INDICATOR_COLUMNS = {
     "revenue": L.REVENUE,
@@ -42,7 +42,7 @@ def pivot_indicators(df: DataFrame, group: Sequence[str] = ("grp",)) -> DataFram
         F.coalesce(F.sum(F.when(F.col("indicator") == label, F.col("change"))), F.lit(0)).alias(column)
         for column, label in INDICATOR_COLUMNS.items()
     ]
-    return df.na.drop(subset=[*group, "org", "date"]).groupBy(*group, "org", "date").agg(*sums)
+    return df.where(all_present([*group, "org", "date"])).groupBy(*group, "org", "date").agg(*sums)
 
 
 def spread_to_group_dates(df: DataFrame, group: Sequence[str] = ("grp",)) -> DataFrame:
@@ -86,8 +86,8 @@ def profit_unpivot(df: DataFrame, group: Sequence[str] = ("grp",)) -> DataFrame:
 def profit_lines(df: DataFrame, bounds: DataFrame, group: Sequence[str] = ("grp",)) -> DataFrame:
     """The four profit lines of every organisation on every day of its group, with balances.
 
-    ``df`` holds indicator rows on the days something moved, ``bounds`` the ``first_date`` and
-    ``last_date`` per group. Sums and balances are computed on the days with movement; the quiet
+    ``df`` holds indicator rows on the days something moved, ``bounds`` the ``start_date`` and
+    ``end_date`` per group. Sums and balances are computed on the days with movement; the quiet
     days before, between and after them come out of a generator at the end.
     """
     by_date = Window.partitionBy(*group, "org").orderBy("date")
@@ -99,8 +99,8 @@ def profit_lines(df: DataFrame, bounds: DataFrame, group: Sequence[str] = ("grp"
         F.lag("date").over(by_date).alias("_previous"),
         F.lead("date").over(by_date).alias("_next"),
     ).join(bounds, list(group))
-    start = F.when(F.col("_previous").isNull(), F.col("first_date")).otherwise(F.col("date"))
-    end = F.coalesce(F.date_sub("_next", 1), F.col("last_date"))
+    start = F.when(F.col("_previous").isNull(), F.col("start_date")).otherwise(F.col("date"))
+    end = F.coalesce(F.date_sub("_next", 1), F.col("end_date"))
     days = balances.withColumn("_day", F.explode(F.sequence(start, end)))
 
     moved, earlier = F.col("_day") == F.col("date"), F.col("_day") < F.col("date")

@@ -8,9 +8,9 @@ one, Spark derives the facts again for each use.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import functions as X
@@ -39,80 +39,94 @@ class TrialBalance:
     """Which accounts of the shared trial balance a report shows, and what its items are called."""
 
     item: str
-    account: dict = field(default_factory=dict)
-    preamble: int = 4
+    account: dict
 
 
 CASH_DESK = TrialBalance("cf_item", {"prefix": "50", "exclude": ("50.03", "50.23")})
 BANK_ACCOUNTS = TrialBalance("bank_account", {"equals": "51"})
+TRIAL_PREAMBLE = 4
+DEBT_PREAMBLE = 6
 
 
-def trial_balance_facts(sheet: DataFrame, report: TrialBalance) -> DataFrame:
-    """Receipts and payments per organisation, item and date.
+def trial_balance_facts(sheet: DataFrame, reports: dict[str, TrialBalance], stage: Stage = as_is) -> DataFrame:
+    """Receipts and payments per report (its label is ``origin``), organisation, item and date.
 
-    ``sheet``: grp, company, source_file, row_no, stacked, dim, receipt, payment (text cells).
+    ``sheet``: grp, company, source_file, row_no, stacked, dim, receipt, payment (text cells). All
+    reports come out of one pass over it.
     """
-    rows = O.classify_stacked(O.skip_preamble(sheet, report.preamble), X.cash_bank_rules("stacked"))
-    rows = rows.select(*FILE, "row_no", "account", "org", "date", F.col("dim").alias(report.item), "receipt", "payment")
-    rows = O.forward_fill(rows, ["account"])
-    rows = O.forward_fill(rows, ["org", report.item], within=["account"])
-    rows = O.filter_account(rows.where(F.col("date").isNotNull()), **report.account)
-    rows = O.fill_defaults(_with_movements(rows), {report.item: L.MISSING_TEXT})
-    return O.ledger_sum(rows, [*FILE, "org", report.item, "date"], ["receipt", "payment"])
-
-
-def debt_facts(sheet: DataFrame, preamble: int = 6) -> DataFrame:
+    rows = O.classify_stacked(O.skip_preamble(sheet, TRIAL_PREAMBLE), X.cash_bank_rules)
+    rows = rows.select(*FILE, "row_no", "account", "org", "date", F.col("dim").alias("item"), "receipt", "payment")
+    rows = O.forward_fill_steps(stage(rows), [(["account"], []), (["org", "item"], ["account"])])
+    origin = F.lit(None).cast("string")
+    for label, report in reports.items():
+        origin = F.when(X.account_filter("account", **report.account), F.lit(label)).otherwise(origin)
+    rows = rows.where(F.col("date").isNotNull()).withColumn("origin", origin)
+    rows = O.fill_defaults(_with_movements(rows), {"item": L.MISSING_TEXT})
+    return O.ledger_sum(rows, [*FILE, "origin", "org", "item", "date"], ["receipt", "payment"])
+
+
+def debt_facts(sheet: DataFrame, stage: Stage = as_is) -> DataFrame:
     """Receipts and payments per organisation, creditor, contract, debt class and date.
 
     ``sheet``: grp, company, source_file, row_no, stacked, creditor, receipt, payment (text cells).
     """
-    rows = O.classify_stacked(O.skip_preamble(sheet, preamble), X.debt_rules("stacked", "creditor"))
+    rows = O.classify_stacked(O.skip_preamble(sheet, DEBT_PREAMBLE), X.debt_rules, "creditor")
     rows = rows.select(*FILE, "row_no", "account", "org", "creditor", "contract", "date", "receipt", "payment")
-    rows = O.forward_fill(rows, ["account"])
-    rows = O.forward_fill(rows, ["org", "creditor"], within=["account"])
-    rows = O.forward_fill(rows, ["contract"], within=["account", "creditor"])
+    rows = O.forward_fill_steps(
+        stage(rows),
+        [(["account"], []), (["org", "creditor"], ["account"]), (["contract"], ["account", "creditor"])],
+    )
     rows = _with_movements(rows.where(F.col("date").isNotNull()))
     rows = O.fill_defaults(rows, {"creditor": L.MISSING_TEXT}).withColumns(X.classify_debt("account"))
     return O.ledger_sum(rows, [*FILE, "org", *DEBT_ITEM, "date"], ["receipt", "payment"])
 
 
-def balances_by_day(facts: DataFrame, items: Sequence[str]) -> DataFrame:
-    """Daily balances of trial-balance facts.
+def balances_by_day(facts: DataFrame, items: Sequence[str], report: Sequence[str] = ()) -> DataFrame:
+    """Daily balances of trial-balance facts; ``report`` tells several reports in ``facts`` apart.
 
     A source that ends before its group is extended to the group's last date, by the items of its
     own last day. Every item, once seen, has a row on each later date its organisation has.
     """
-    keys = [*FILE, "org", *items]
-    lives = facts.groupBy(*keys).agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"))
-    lives = lives.groupBy(*FILE, "org", "first_date").agg(F.max("last_date").alias("last_date"))
-    source_ends = O.last_date(lives, FILE, "last_date", "source_last")
-    group_ends = O.last_date(source_ends, ["grp"], "source_last", "group_last")
+    source, group = [*FILE, *report], ["grp", *report]
+    keys = [*source, "org", *items]
+    changes = facts.withColumn("change", F.col("receipt") - F.col("payment"))
+    totals = O.key_totals(changes, keys)
+
+    lives = totals.groupBy(*source, "org", "first_date").agg(F.max("last_date").alias("last_date"))
+    source_ends = O.last_date(totals, source, "last_date", "source_last")
+    group_ends = F.max("source_last").over(Window.partitionBy(*group))
     at_source_end = F.col("last_date") == F.col("source_last")
-    extended = (
-        lives.join(source_ends, FILE)
-        .join(group_ends, "grp")
-        .withColumn("last_date", F.when(at_source_end, F.col("group_last")).otherwise(F.col("last_date")))
+    extended = lives.join(source_ends.withColumn("group_last", group_ends), source).withColumn(
+        "last_date", F.when(at_source_end, F.col("group_last")).otherwise(F.col("last_date"))
     )
-    coverage = O.date_spans(extended, [*FILE, "org"])
-    changes = facts.withColumn("change", F.col("receipt") - F.col("payment"))
-    return O.daily_balances(changes, keys, coverage, on=[*FILE, "org"], measures=["receipt", "payment"])
+    coverage = O.date_spans(extended, [*source, "org"])
+
+    tails = (
+        totals.join(coverage, [*source, "org"])
+        .select(*keys, "total", "last_date", F.inline("coverage"))
+        .where(F.col("e") > F.col("last_date"))
+        .withColumn("s", F.greatest("s", F.date_add("last_date", 1)))
+    )
+    return O.daily_balances(changes, keys, tails, measures=["receipt", "payment"])
 
 
 def trial_balance_daily(sheet: DataFrame, report: TrialBalance, stage: Stage = as_is) -> DataFrame:
-    return balances_by_day(stage(trial_balance_facts(sheet, report)), [report.item])
+    facts = stage(trial_balance_facts(sheet, {"": report}, stage))
+    return balances_by_day(facts.drop("origin"), ["item"]).withColumnRenamed("item", report.item)
 
 
-def debt_daily(sheet: DataFrame, preamble: int = 6, stage: Stage = as_is) -> DataFrame:
-    return balances_by_day(stage(debt_facts(sheet, preamble)), DEBT_ITEM)
+def debt_daily(sheet: DataFrame, stage: Stage = as_is) -> DataFrame:
+    return balances_by_day(stage(debt_facts(sheet, stage)), DEBT_ITEM)
 
 
 def cash_and_bank_daily(sheet: DataFrame, stage: Stage = as_is) -> DataFrame:
-    return O.union_with_origin(
-        {
-            L.CASH: trial_balance_daily(sheet, CASH_DESK, stage),
-            L.BANK: trial_balance_daily(sheet, BANK_ACCOUNTS, stage),
-        }
-    )
+    """Both trial-balance reports in one table, told apart by ``origin``."""
+    facts = stage(trial_balance_facts(sheet, {L.CASH: CASH_DESK, L.BANK: BANK_ACCOUNTS}, stage))
+    daily = balances_by_day(facts, ["item"], ["origin"])
+    is_cash = F.col("origin") == L.CASH
+    return daily.withColumns(
+        {CASH_DESK.item: F.when(is_cash, F.col("item")), BANK_ACCOUNTS.item: F.when(~is_cash, F.col("item"))}
+    ).drop("item")
 
 
 # --- profit and loss ------------------------------------------------------------------------
@@ -160,7 +174,7 @@ def component_facts(
     keys = [*COMPONENT_KEYS, "date"]
     if deductions is not None:
         rows = (
-            rows.na.drop(subset=["org", "item_kind", "date"])
+            rows.where(O.all_present(["org", "item_kind", "date"]))
             .groupBy(*keys, "operation")
             .agg(F.coalesce(F.sum("change"), F.lit(0)).alias("change"), F.count("change").alias("rows"))
         )
@@ -172,20 +186,21 @@ def component_facts(
     return O.ledger_sum(rows.withColumn("item", label), keys, ["change"]).withColumn("change", signed)
 
 
-def component_balances(facts: DataFrame, ends: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Daily balances of indicator facts; each key runs to the ``last_date`` of its ``on``."""
-    to_the_end = F.array(F.struct(F.col("first_date").alias("s"), F.col("last_date").alias("e")))
-    tails = ends.withColumn("coverage", to_the_end)
-    return O.daily_balances(facts, COMPONENT_KEYS, tails, on=on)
-
-
-def date_bounds(facts: DataFrame, group: Sequence[str]) -> DataFrame:
-    return facts.groupBy(*group).agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+def component_balances(facts: DataFrame, totals: DataFrame, ends: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Daily balances of indicator facts; each key runs to the ``end_date`` of its ``on``."""
+    tails = (
+        totals.join(ends, list(on))
+        .where(F.col("last_date") < F.col("end_date"))
+        .select(*COMPONENT_KEYS, "total", F.date_add("last_date", 1).alias("s"), F.col("end_date").alias("e"))
+    )
+    return O.daily_balances(facts, COMPONENT_KEYS, tails)
 
 
 def components_by_day(facts: DataFrame) -> DataFrame:
     """Daily balances; items run to the last date their indicator has in the group."""
-    return component_balances(facts, date_bounds(facts, ["grp", "indicator"]), ["grp", "indicator"])
+    totals = O.key_totals(facts, COMPONENT_KEYS)
+    ends = O.last_date(totals, ["grp", "indicator"], "last_date", "end_date")
+    return component_balances(facts, totals, ends, ["grp", "indicator"])
 
 
 def pnl_component(
@@ -203,9 +218,11 @@ def statement_from_facts(facts: DataFrame) -> DataFrame:
     Every indicator runs to the last date of the whole group, whatever its own last date, and the
     profit lines cover each organisation on each day of the group.
     """
-    bounds = date_bounds(facts, ["grp"])
+    totals = O.key_totals(facts, COMPONENT_KEYS)
+    bounds = totals.groupBy("grp").agg(F.min("first_date").alias("start_date"), F.max("last_date").alias("end_date"))
     lines = O.profit_lines(facts, bounds)
-    statement = component_balances(facts, bounds, ["grp"]).unionByName(lines, allowMissingColumns=True)
+    balances = component_balances(facts, totals, bounds, ["grp"])
+    statement = balances.unionByName(lines, allowMissingColumns=True)
     return O.fill_defaults(statement, {"item_kind": L.MISSING_TEXT, "item": L.MISSING_TEXT})
 
 
@@ -246,16 +263,24 @@ def bank_rows(statements: DataFrame) -> DataFrame:
     )
 
 
-def cash_flow(statements: DataFrame, dictionary: DataFrame, cash_facts: DataFrame) -> DataFrame:
+def cash_desk_facts(sheet: DataFrame, stage: Stage = as_is) -> DataFrame:
+    """Receipts and payments of the cash desk by cash-flow item."""
+    facts = trial_balance_facts(sheet, {L.CASH: CASH_DESK}, stage)
+    return facts.drop("origin").withColumnRenamed("item", CASH_DESK.item)
+
+
+def cash_flow(
+    statements: DataFrame, dictionary: DataFrame, sheet: DataFrame, stage: Stage = as_is
+) -> DataFrame:
     """Signed cash flow of bank accounts and cash desk, with first-seen counterparties flagged.
 
     ``dictionary``: grp, company, row_no, op_type, cf_item, movement_kind, item_group, direction.
-    ``cash_facts``: ``trial_balance_facts`` of the cash desk. The daily balances built on them add
-    rows without movement only, which do not count here.
+    ``sheet`` is the trial balance. Its daily balances are not needed: they add rows without
+    movement only, which do not count here.
     """
     entry = ["movement_kind", "item_group"]
     bank = O.map_dictionary(bank_rows(statements), dictionary, "op_type", ["cf_item", *entry])
-    desk = O.split_two_way(O.nonzero_movements(cash_facts))
+    desk = O.split_two_way(O.nonzero_movements(stage(cash_desk_facts(sheet, stage))))
     desk = O.map_dictionary(desk, dictionary, "cf_item", entry, first_only=True)
 
     flows = O.union_with_origin({L.BANK: bank, L.CASH: desk.drop("source_file")})
