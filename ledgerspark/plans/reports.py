@@ -20,6 +20,9 @@ from ..functions import labels as L
 Stage = Callable[[DataFrame], DataFrame]
 
 FILE = ["grp", "company", "source_file"]
+# Text dates, and dates that were date cells in the workbook.
+ANY_DATE = (*X.DATE_FORMATS, *X.DATETIME_FORMATS)
+
 DEBT_ITEM = ["creditor", "contract", "debt_type", "debt_part", "debt_term"]
 
 
@@ -159,7 +162,7 @@ def outline_rows(sheet: DataFrame, outline: Outline) -> DataFrame:
     """
     body = O.skip_preamble(sheet, outline.preamble).select(*FILE, "indicator", "row_no", "level", "c0", "c1")
     rows = O.outline_flatten(body, outline.levels, outline.leaf)
-    return rows.withColumns({"date": X.parse_multi_date("date"), "change": X.parse_locale_number("change")})
+    return rows.withColumns({"date": X.parse_multi_date("date", ANY_DATE), "change": X.parse_locale_number("change")})
 
 
 def component_facts(
@@ -251,7 +254,7 @@ def bank_rows(statements: DataFrame) -> DataFrame:
     return statements.select(
         *FILE,
         "row_no",
-        X.parse_multi_date("date").alias("date"),
+        X.parse_multi_date("date", ANY_DATE).alias("date"),
         X.parse_locale_number("receipt").alias("receipt"),
         X.parse_locale_number("payment").alias("payment"),
         "purpose",

@@ -1,0 +1,13 @@
+from .sinks import published, write_report
+from .staging import Staging, scratch_dir
+from .workbooks import decode_workbooks, find_workbooks, land_workbooks
+
+__all__ = [
+    "Staging",
+    "decode_workbooks",
+    "find_workbooks",
+    "land_workbooks",
+    "published",
+    "scratch_dir",
+    "write_report",
+]

@@ -1,0 +1,3 @@
+from .folder import run_stream
+
+__all__ = ["run_stream"]
