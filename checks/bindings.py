@@ -6,16 +6,25 @@ Every pair below has the same name on both sides: the function returns the DataF
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerspark.functions import labels as L
 
 MONEY = "decimal(18,2)"
 
 
+@cache
+def schema_of(path: str) -> StructType:
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    path = f"{sf}/{name}.parquet"
+    return spark.read.schema(schema_of(path)).parquet(path)
 
 
 def places(spark: SparkSession, sf: str) -> DataFrame:

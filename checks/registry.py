@@ -15,6 +15,7 @@ from ledgerspark import functions as X
 from ledgerspark import operators as O
 from ledgerspark.functions import labels as L
 from ledgerspark.plans import reports as R
+from ledgerspark.sources.sinks import HEADERS, REPORTS, published, write_report
 from ledgerspark.sources.staging import Staging
 
 from . import bindings as B
@@ -822,3 +823,21 @@ FROM ranked""",
 )
 def cash_flow(spark, sf):
     return R.cash_flow(B.bank_statements(spark, sf), B.dictionary(spark, sf), B.trial_sheet(spark, sf), Staging(spark))
+
+
+_PUBLISHED = ", ".join(f'{c} AS "{HEADERS[c]}"' for c in REPORTS["ОСВ 50"])
+
+
+@query(
+    f"{FLOWS}, {trial_daily_sql('item', 'flows')}, named AS (SELECT *, item AS cf_item FROM daily)"
+    f" => SELECT grp, {_PUBLISHED} FROM named",
+    "moves",
+)
+def report_round_trip(spark, sf):
+    """Daily balances written as CSV by group and read back."""
+    daily = R.balances_by_day(_flows(spark, sf), ["item"]).withColumnRenamed("item", "cf_item")
+    folder = Staging(spark).path
+    if folder is None:  # no shared folder to write to
+        return published(daily, "ОСВ 50")
+    write_report(daily, folder, "ОСВ 50")
+    return spark.read.schema(published(daily, "ОСВ 50").schema).option("header", True).csv(f"{folder}/ОСВ 50")

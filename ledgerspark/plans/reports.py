@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as X
@@ -97,10 +97,12 @@ def balances_by_day(facts: DataFrame, items: Sequence[str], report: Sequence[str
 
     lives = totals.groupBy(*source, "org", "first_date").agg(F.max("last_date").alias("last_date"))
     source_ends = O.last_date(totals, source, "last_date", "source_last")
-    group_ends = F.max("source_last").over(Window.partitionBy(*group))
+    group_ends = O.last_date(totals, group, "last_date", "group_last")
     at_source_end = F.col("last_date") == F.col("source_last")
-    extended = lives.join(source_ends.withColumn("group_last", group_ends), source).withColumn(
-        "last_date", F.when(at_source_end, F.col("group_last")).otherwise(F.col("last_date"))
+    extended = (
+        lives.join(source_ends, source)
+        .join(group_ends, group)
+        .withColumn("last_date", F.when(at_source_end, F.col("group_last")).otherwise(F.col("last_date")))
     )
     coverage = O.date_spans(extended, [*source, "org"])
 

@@ -13,22 +13,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only where none is set, as in tests."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerspark-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current
+def scratch_dir(spark: SparkSession) -> str | None:
+    """The session's checkpoint folder. Where none is set: a temporary one in local mode, or None."""
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if configured is None and context.master.startswith("local"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerspark-"))
+        configured = context.getCheckpointDir()
+    return configured
 
 
 class Staging:
     """A folder of staged tables for one job; calling it stages a DataFrame.
 
-    As a context manager it deletes its folder at the end::
+    On a cluster without a shared folder tables stay lazy. As a context manager it deletes its
+    folder at the end::
 
         with Staging(spark) as stage:
             write_report(debt_daily(sheet, stage=stage), path)
@@ -36,10 +35,13 @@ class Staging:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.path = f"{scratch_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+        base = scratch_dir(spark)
+        self.path = base and f"{base.rstrip('/')}/staged-{uuid.uuid4().hex}"
         self.count = 0
 
     def __call__(self, df: DataFrame) -> DataFrame:
+        if self.path is None:
+            return df
         self.count += 1
         path = f"{self.path}/{self.count}"
         df.write.parquet(path)
@@ -49,5 +51,7 @@ class Staging:
         return self
 
     def __exit__(self, *_: object) -> None:
+        if self.path is None:
+            return
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
