@@ -16,6 +16,8 @@ from pathlib import Path
 import duckdb
 from pyspark.sql import SparkSession
 
+from ledgerspark.session import configure
+
 from .registry import QUERIES, SQL
 
 TABLES = (
@@ -25,10 +27,10 @@ TABLES = (
 
 def local_session(cpus: str = "8") -> SparkSession:
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        configure(SparkSession.builder)
+        .master(f"local[{cpus}]")
         .appName("ledgerspark-checks")
         .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
