@@ -91,17 +91,18 @@ def plan(rows: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, bu
     return raw.select("source", "tokens", "docs", weight.alias("weight"), (weight * float(spend) / F.col("tokens")).alias("passes"), F.lit(t).alias("exponent"))
 
 
-def mix(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, budget: int | None = None, seed: int = 1) -> DataFrame:
+def mix(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, budget: int | None = None, seed: int = 1, text: bool = True) -> DataFrame:
     """Every use of a document: the columns of docs, n_tokens, weight and passes of its source, pass (from 0), block, position.
 
     position in [0, 1) is where the block begins in the source's budget: ordering by it interleaves the sources at their
     weights, and within a block by in_block. Null sources are one source. Documents without words, null texts among them,
     are used once, at position 0, and count for nothing; so does a source without words. Repeated rows are used each.
-    Columns of docs named like an added one are replaced.
+    Columns of docs named like an added one are replaced; with text=False docs has n_tokens already and needs no text.
     """
-    added = ["n_tokens", "weight", "passes", "pass", "block", "position", "in_block"]
+    added = ["weight", "passes", "pass", "block", "position", "in_block"]
     stage = Staging(docs.sparkSession)
-    rows = docs.drop(*added, "_block", "_key").withColumn("n_tokens", tokens(F.col("text")))
+    # written once: the words are counted in one pass over the texts
+    rows = stage(docs.drop(*added).withColumn("n_tokens", tokens(F.col("text")) if text else F.col("n_tokens")))
     sources = stage(plan(rows.select("source", "n_tokens"), entropy, repeats, budget, stage).select(F.col("source").alias("_source"), "tokens", "docs", "weight", "passes"))
     of = F.col("source").eqNullSafe(F.col("_source"))
     placed = rows.join(sources, of, "left").withColumn(

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, mixing, notices, quality, sharding, toxicity, vectors
+from . import decontaminate, langid, lm, mixing, near, notices, quality, sharding, toxicity, vectors
+from .fits import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), fold(7) != 2)
+
+
 @query
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -44,8 +50,8 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.mix(docs).drop("text")
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mix(docs.select("doc_id", "source", mixing.tokens(docs["text"]).alias("n_tokens")), text=False)
 
 
 @query
@@ -60,6 +66,11 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.score(docs, langid.train(docs))
 
 
+@query
+def op9_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.join(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.search(table(spark, sf_dir, "embeddings"))
