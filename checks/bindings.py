@@ -421,6 +421,25 @@ cost_sheet AS (
   WHERE level >= 4 OR (level = 3 AND o_orderkey % 2 = 0) OR (level < 3 AND o_orderkey % 3 = 0))"""
 
 
+def indicator_of_costs() -> F.Column:
+    return F.element_at(F.array(*[F.lit(c) for c in L.COMPONENTS[1:]]), (F.floor(F.col("o_orderkey") / 6) % 6 + 1).cast("int"))
+
+
+def costs_sheet(spark: SparkSession, sf: str) -> DataFrame:
+    """The cost outline, dealt out to the six reports of its shape, a workbook each."""
+    order = F.col("row_no") - 6
+    rows = cost_sheet(spark, sf).withColumn("o_orderkey", F.floor(order / 6))
+    rows = rows.withColumn("indicator", indicator_of_costs())
+    return rows.withColumn("source_file", F.concat(F.lit("("), "grp", F.lit(")"), "indicator", F.lit("_"), "company", F.lit(".xlsx"))).drop("o_orderkey")
+
+
+COSTS_SQL = f"""{COST_SQL},
+costs_sheet AS (
+  SELECT grp, company, '(' || grp || ')' || kind || '_' || company || '.xlsx' AS source_file, kind AS indicator, row_no, level, c0, c1
+  FROM (SELECT *, ['Себестоимость продаж', 'Коммерческие расходы', 'Управленческие расходы', 'Прочие доходы', 'Прочие расходы',
+                   'Налог на прибыль'][CAST(((row_no - 6) // 6) // 6 % 6 + 1 AS INTEGER)] AS kind FROM cost_sheet))"""
+
+
 def revenue_sheet(spark: SparkSession, sf: str) -> DataFrame:
     """Outline of the revenue report, down to the operation."""
     key, always = F.col("o_orderkey"), F.lit(True)
@@ -501,14 +520,14 @@ deduction_sheet AS (
 
 
 def bank_statements(spark: SparkSession, sf: str) -> DataFrame:
-    """One bank line per order, with every irregularity the parser meets."""
+    """One bank line per order, with every irregularity the parser meets; two workbooks per company share row numbers."""
     key, customer = F.col("o_orderkey"), F.col("o_custkey")
     amount = locale_text(F.col("o_totalprice"))
     return sales(spark, sf).select(
         "grp",
         "company",
-        workbook("Банковские выписки").alias("source_file"),
-        key.alias("row_no"),
+        F.when(key % 2 == 0, workbook("Банковские выписки")).otherwise(workbook("Банковские выписки 2")).alias("source_file"),
+        F.floor(key / 2).alias("row_no"),
         date_text(F.col("day"), key).alias("date"),
         F.when(F.col("o_orderstatus") != "F", amount).alias("receipt"),
         F.when(F.col("o_orderstatus") != "O", amount).alias("payment"),
@@ -523,7 +542,8 @@ def bank_statements(spark: SparkSession, sf: str) -> DataFrame:
 
 BANK_SQL = f"""
 bank_statements AS (
-  SELECT grp, company, {_workbook_sql('Банковские выписки')} AS source_file, o_orderkey AS row_no,
+  SELECT grp, company, CASE WHEN o_orderkey % 2 = 0 THEN {_workbook_sql('Банковские выписки')}
+              ELSE {_workbook_sql('Банковские выписки 2')} END AS source_file, o_orderkey // 2 AS row_no,
          {_date_sql('day', 'o_orderkey')} AS date,
          CASE WHEN o_orderstatus <> 'F' THEN {_locale_sql('o_totalprice')} END AS receipt,
          CASE WHEN o_orderstatus <> 'O' THEN {_locale_sql('o_totalprice')} END AS payment,
@@ -592,6 +612,7 @@ VIEWS = {
     "trial_sheet": TRIAL_SQL,
     "debt_sheet": DEBT_SQL,
     "cost_sheet": COST_SQL,
+    "costs_sheet": COSTS_SQL,
     "revenue_sheet": REVENUE_SQL,
     "deduction_sheet": DEDUCTION_SQL,
     "bank_statements": BANK_SQL,

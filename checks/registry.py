@@ -15,7 +15,7 @@ from ledgerspark import functions as X
 from ledgerspark import operators as O
 from ledgerspark.functions import labels as L
 from ledgerspark.plans import reports as R
-from ledgerspark.sources.sinks import HEADERS, REPORTS, published, write_report
+from ledgerspark.sources.sinks import published, write_report
 from ledgerspark.sources.staging import Staging
 
 from . import bindings as B
@@ -53,7 +53,7 @@ BEFORE_HERE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
 
 def number_sql(c: str) -> str:
-    return f"CAST(replace(replace({c}, ',', '.'), ' ', '') AS DECIMAL(18,2))"
+    return f"CAST(replace(replace({c}, ',', '.'), ' ', '') AS DECIMAL(28,6))"
 
 
 def date_sql(c: str) -> str:
@@ -119,7 +119,11 @@ def debt_class_sql(account: str) -> str:
          CASE WHEN {has('67.')} THEN 'Долгосрочная задолженность' ELSE 'Краткосрочная задолженность' END AS debt_term"""
 
 
-_FORMS = "(" + " OR ".join(f"contains(stacked, '{f}')" for f in L.LEGAL_FORMS) + ")"
+# Legal forms, written out here so that a slip in the library's list shows.
+_FORMS = "(" + " OR ".join(
+    f"contains(stacked, '{form}')"
+    for form in "ИП,ООО,ОДО,АО,ЗАО,ПАО,НПАО,ХТ,ХО,ПК,ПТ ,КТ,СПК,ТОО,Колхоз,Коопхоз,ФГП,ФГУП,ОГУП,КГУП,РГУП,МУП".split(",")
+) + ")"
 _IS_INN = "regexp_full_match(stacked, '[0-9]{10}|[0-9]{12}')"
 _IS_CODE = "regexp_full_match(stacked, '[0-9]{2}[.][0-9]{2}')"
 DEBT_CLASSIFIED = f"""
@@ -289,7 +293,25 @@ def parse_locale_number(spark, sf):
 def parse_multi_date(spark, sf):
     text = F.when(F.col("row_no") % 9 == 0, "n/a").otherwise(F.col("date"))
     bank = B.bank_statements(spark, sf).select("row_no", text.alias("text"))
-    return bank.withColumn("date", X.parse_multi_date("text"))
+    return bank.withColumn("date", X.parse_multi_date("text", strict=False))
+
+
+@query(
+    f"""SELECT source_file, row_no, 'date' AS "column", 'n/a' AS text FROM bank_statements WHERE row_no % 9 = 0
+    UNION ALL SELECT source_file, row_no, 'receipt', 'x' || receipt FROM bank_statements WHERE row_no % 11 = 0 AND receipt IS NOT NULL""",
+    "bank_statements",
+)
+def rejected_cells(spark, sf):
+    """Every ninth date and every eleventh receipt is spoilt; valid and empty cells are not reported."""
+    row_no = F.col("row_no")
+    bank = B.bank_statements(spark, sf).select(
+        "source_file",
+        "row_no",
+        F.when(row_no % 9 == 0, "n/a").otherwise(F.col("date")).alias("date"),
+        F.when(row_no % 11 == 0, F.concat(F.lit("x"), "receipt")).otherwise(F.col("receipt")).alias("receipt"),
+        "payment",
+    )
+    return O.rejected_cells(bank, ["source_file", "row_no"], dates=["date"], numbers=["receipt", "payment"])
 
 
 @query(
@@ -446,7 +468,7 @@ bank AS (
 
 
 @query(
-    f"""{_BANK_PARSED} => SELECT row_no, flow_type,
+    f"""{_BANK_PARSED} => SELECT source_file, row_no, flow_type,
     CASE WHEN flow_type = '{L.RECEIPT}' THEN coalesce(receipt, 0) + coalesce(payment, 0)
          ELSE -(coalesce(receipt, 0) + coalesce(payment, 0)) END AS net_flow,
     CASE WHEN flow_type = '{L.RECEIPT}' THEN coalesce(receipt, 0) + coalesce(payment, 0) END AS inflow,
@@ -455,7 +477,7 @@ bank AS (
 )
 def signed_flows(spark, sf):
     flows = O.signed_flows(R.bank_rows(B.bank_statements(spark, sf)))
-    return flows.select("row_no", "flow_type", "net_flow", "inflow", "outflow")
+    return flows.select("source_file", "row_no", "flow_type", "net_flow", "inflow", "outflow")
 
 
 @query(
@@ -535,9 +557,10 @@ def dict_map_dedup(spark, sf):
 
 
 @query(
-    """SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS date,
-    sum(CAST(o_totalprice AS DECIMAL(18,2)) - coalesce(CAST(l_extendedprice AS DECIMAL(18,2)), 0)) AS change
-    FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL"""
+    """lines AS (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS taken, count(*) AS n FROM lineitem GROUP BY ALL)
+    => SELECT o_orderkey AS operation, o_orderpriority, CAST(o_orderdate AS DATE) AS date,
+    coalesce(n, 1) * CAST(o_totalprice AS DECIMAL(18,2)) - coalesce(taken, 0) AS change
+    FROM orders LEFT JOIN lines ON o_orderkey = l_orderkey"""
 )
 def net_of_deductions(spark, sf):
     orders = B.table(spark, sf, "orders").select(
@@ -549,21 +572,21 @@ def net_of_deductions(spark, sf):
     lines = B.table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("operation"), F.col("l_extendedprice").cast(B.MONEY).alias("change")
     )
-    return O.ledger_sum(O.net_of(orders, lines, ["operation"]), ["o_orderpriority", "date"], ["change"])
+    return O.net_of(orders, lines, ["operation"]).select("operation", "o_orderpriority", "date", "change")
 
 
 @query(
     f"""{_BANK_PARSED},
-    firsts AS (SELECT grp, company, org, counterparty, date, row_no FROM bank WHERE counterparty IS NOT NULL
-               QUALIFY row_number() OVER (PARTITION BY grp, company, org, counterparty ORDER BY date, row_no) = 1)
-    => SELECT b.company, b.row_no, CASE WHEN f.row_no IS NOT NULL THEN '{L.YES}' ELSE '{L.NO}' END AS is_new_counterparty
-    FROM bank b LEFT JOIN firsts f ON b.company = f.company AND b.row_no = f.row_no""",
+    firsts AS (SELECT source_file, row_no FROM bank WHERE counterparty IS NOT NULL
+               QUALIFY row_number() OVER (PARTITION BY grp, company, org, counterparty ORDER BY date, source_file, row_no) = 1)
+    => SELECT b.source_file, b.row_no, CASE WHEN f.row_no IS NOT NULL THEN 'Да' ELSE 'Нет' END AS is_new_counterparty
+    FROM bank b LEFT JOIN firsts f ON b.source_file = f.source_file AND b.row_no = f.row_no""",
     "bank_statements",
 )
 def first_seen_flag(spark, sf):
     bank = R.bank_rows(B.bank_statements(spark, sf))
-    flagged = O.flag_first_seen(bank, ["grp", "company", "org", "counterparty"], ["date", "row_no"])
-    return flagged.select("company", "row_no", "is_new_counterparty")
+    flagged = O.flag_first_seen(bank, ["grp", "company", "org", "counterparty"], ["date", "source_file", "row_no"])
+    return flagged.select("source_file", "row_no", "is_new_counterparty")
 
 
 # --- sums and dates -------------------------------------------------------------------------
@@ -660,14 +683,29 @@ def profit_base(spark, sf):
     return O.profit_base(B.components(spark, sf))
 
 
+# Indicators and profit lines, written out here so that a slip in the library's tables shows.
+_INDICATORS = {
+    "revenue": "Выручка",
+    "cost_of_sales": "Себестоимость продаж",
+    "commercial_costs": "Коммерческие расходы",
+    "administrative_costs": "Управленческие расходы",
+    "other_income": "Прочие доходы",
+    "other_costs": "Прочие расходы",
+    "income_tax": "Налог на прибыль",
+}
+_PROFITS = {
+    "gross_profit": "Валовая прибыль (убыток)",
+    "sales_profit": "Прибыль (убыток) от продаж",
+    "pre_tax_profit": "Прибыль (убыток) до налогообложения",
+    "net_profit": "Чистая прибыль (убыток)",
+}
 _PIVOT_SUMS = ", ".join(
-    f"coalesce(sum(CASE WHEN indicator = '{label}' THEN change END), 0) AS {column}"
-    for column, label in O.statement.INDICATOR_COLUMNS.items()
+    f"coalesce(sum(CASE WHEN indicator = '{label}' THEN change END), 0) AS {column}" for column, label in _INDICATORS.items()
 )
 _PIVOT = f"""
 pivoted AS (SELECT grp, org, date, {_PIVOT_SUMS} FROM components GROUP BY ALL),
 spread AS (
-  SELECT grp, org, date, {', '.join(f'coalesce({c}, 0) AS {c}' for c in O.statement.INDICATOR_COLUMNS)}
+  SELECT grp, org, date, {', '.join(f'coalesce({c}, 0) AS {c}' for c in _INDICATORS)}
   FROM (SELECT DISTINCT grp, org FROM pivoted) JOIN (SELECT DISTINCT grp, date FROM pivoted) USING (grp)
        LEFT JOIN pivoted USING (grp, org, date)),
 cascade AS (
@@ -678,7 +716,7 @@ cascade AS (
   FROM spread)"""
 _UNPIVOT = "\nUNION ALL ".join(
     f"SELECT grp, org, date, '{label}' AS indicator, {column} AS change FROM cascade"
-    for column, label in O.statement.PROFIT_COLUMNS.items()
+    for column, label in _PROFITS.items()
 )
 
 
@@ -737,7 +775,7 @@ def profit_running(spark, sf):
     " UNION ALL SELECT grp, org, '-', '-', indicator, date, change, opening, closing FROM line_balances",
     "components",
 )
-def pnl_statement(spark, sf):
+def statement_from_facts(spark, sf):
     return R.statement_from_facts(_component_facts(spark, sf)).drop("company", "source_file")
 
 
@@ -771,6 +809,33 @@ def pnl_revenue_net(spark, sf):
     return R.pnl_component(B.revenue_sheet(spark, sf), R.REVENUE_OUTLINE, B.deduction_sheet(spark, sf), Staging(spark))
 
 
+_ITEM_OF_COSTS = (
+    f"CASE WHEN indicator = 'Себестоимость продаж' THEN {last_comma_sql("coalesce(item, '-')")} ELSE coalesce(item, '-') END"
+)
+_STATEMENT_SHEETS = f"""{_REVENUE_FACTS.replace('facts AS (', 'revenue_facts AS (')},
+{COST_FLAT.replace('flat AS (', 'cost_flat AS (').replace('FROM cost_sheet', 'FROM costs_sheet')},
+facts AS (
+  SELECT * FROM revenue_facts
+  UNION ALL BY NAME
+  SELECT {FILE}, indicator, org, item_kind, {_ITEM_OF_COSTS} AS item, {date_sql('date')} AS date,
+         sum(CASE WHEN indicator = 'Прочие доходы' THEN {number_sql('change')} ELSE -{number_sql('change')} END) AS change
+  FROM cost_flat WHERE org IS NOT NULL AND item_kind IS NOT NULL GROUP BY ALL),
+{pnl_daily_sql()}, {_CARRIED}, {_LINES}"""
+
+
+@query(
+    f"{_STATEMENT_SHEETS} => SELECT grp, org, item_kind, item, indicator, date, change, opening, closing FROM carried"
+    " UNION ALL SELECT grp, org, '-', '-', indicator, date, change, opening, closing FROM line_balances",
+    "revenue_sheet",
+    "deduction_sheet",
+    "costs_sheet",
+)
+def pnl_statement(spark, sf):
+    """From the sheets of revenue, deductions and the six cost, income and tax reports."""
+    revenue, deductions = B.revenue_sheet(spark, sf), B.deduction_sheet(spark, sf)
+    return R.pnl_statement(revenue, deductions, B.costs_sheet(spark, sf), Staging(spark)).drop("company", "source_file")
+
+
 def _trial_report(where: str, item: str) -> str:
     return (
         f"{classified_sql('trial_sheet')}, {trial_facts_sql(where)}, {trial_daily_sql('item')}"
@@ -799,15 +864,15 @@ flows AS (
   SELECT b.grp, b.company, b.org, b.date, coalesce(b.purpose, '-') AS purpose, coalesce(b.counterparty, '-') AS counterparty,
          coalesce(b.op_type, '-') AS op_type, coalesce(b.bank_account, '-') AS bank_account, b.flow_type,
          coalesce(b.receipt, 0) + coalesce(b.payment, 0) AS amount, d.cf_item, d.movement_kind, d.item_group,
-         '{L.BANK}' AS origin, b.row_no, coalesce(d.row_no, -1) AS dict_row
+         '{L.BANK}' AS origin, b.row_no, coalesce(d.row_no, -1) AS dict_row, b.source_file
   FROM bank b LEFT JOIN dictionary d ON {_MATCH} AND b.op_type IS NOT DISTINCT FROM d.op_type
   UNION ALL
   SELECT b.grp, b.company, b.org, b.date, '{L.CASH}', '{L.CASH}', '{L.CASH}', '{L.CASH}', b.flow_type,
-         b.receipt + b.payment, b.cf_item, d.movement_kind, d.item_group, '{L.CASH}', -1, coalesce(d.row_no, -1)
+         b.receipt + b.payment, b.cf_item, d.movement_kind, d.item_group, '{L.CASH}', -1, coalesce(d.row_no, -1), ''
   FROM sides b LEFT JOIN first_entry d ON {_MATCH} AND b.cf_item = d.cf_item),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY grp, company, org, counterparty
-    ORDER BY date, origin = '{L.CASH}', flow_type = '{L.PAYMENT}', row_no, dict_row, coalesce(cf_item, '-')) AS rn
+    ORDER BY date, origin = '{L.CASH}', flow_type = '{L.PAYMENT}', source_file, row_no, dict_row, coalesce(cf_item, '-')) AS rn
   FROM flows)
 => SELECT grp, company, date, purpose, counterparty, op_type, bank_account, org, flow_type,
      coalesce(cf_item, '-') AS cf_item, coalesce(movement_kind, '-') AS movement_kind,
@@ -825,7 +890,11 @@ def cash_flow(spark, sf):
     return R.cash_flow(B.bank_statements(spark, sf), B.dictionary(spark, sf), B.trial_sheet(spark, sf), Staging(spark))
 
 
-_PUBLISHED = ", ".join(f'{c} AS "{HEADERS[c]}"' for c in REPORTS["ОСВ 50"])
+# The headers of this report, written out here so that a slip in the library's table shows.
+_PUBLISHED = (
+    'org AS "Организация", cf_item AS "Статья движения денежных средств", date AS "Дата", round(opening, 2) AS "Начальный остаток", '
+    'round(receipt, 2) AS "Поступление", round(payment, 2) AS "Списание", round(closing, 2) AS "Конечный остаток", round(change, 2) AS "Изменение"'
+)
 
 
 @query(
@@ -836,8 +905,6 @@ _PUBLISHED = ", ".join(f'{c} AS "{HEADERS[c]}"' for c in REPORTS["ОСВ 50"])
 def report_round_trip(spark, sf):
     """Daily balances written as CSV by group and read back."""
     daily = R.balances_by_day(_flows(spark, sf), ["item"]).withColumnRenamed("item", "cf_item")
-    folder = Staging(spark).path
-    if folder is None:  # no shared folder to write to
-        return published(daily, "ОСВ 50")
+    folder = Staging(spark).folder()
     write_report(daily, folder, "ОСВ 50")
     return spark.read.schema(published(daily, "ОСВ 50").schema).option("header", True).csv(f"{folder}/ОСВ 50")

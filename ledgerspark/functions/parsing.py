@@ -11,7 +11,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+# Wide enough for what a workbook stores of a number; published tables round to cents (see sources.sinks).
+MONEY = "decimal(28,6)"
 
 DATE_FORMATS = ("d.M.yyyy", "M/d/yyyy")
 DATETIME_FORMATS = ("d.M.yyyy H:m:s", "M/d/yyyy h:m:s a")
@@ -25,7 +26,7 @@ def parse_locale_number(c: Column | str, strict: bool = True) -> Column:
     """``"1 234,50"`` -> 1234.50; null stays null.
 
     Plain and non-breaking spaces are dropped. ``strict`` fails the job on text that is not a
-    number (ANSI cast); otherwise such cells become null and can be set aside by the caller.
+    number (ANSI cast); otherwise such cells become null, and ``operators.rejected_cells`` lists them.
     """
     digits = F.translate(as_column(c), ", \u00a0", ".")
     return digits.cast(MONEY) if strict else digits.try_cast(MONEY)
@@ -48,8 +49,17 @@ def _shape(pattern: str) -> str:
     ) + "$"
 
 
-def parse_multi_date(c: Column | str, formats: Iterable[str] = DATE_FORMATS) -> Column:
-    return parse_multi_datetime(c, formats).cast("date")
+def parse_multi_date(c: Column | str, formats: Iterable[str] = DATE_FORMATS, strict: bool = True) -> Column:
+    """The date in the first format that fits; null stays null.
+
+    ``strict`` fails the job on text that no format fits; otherwise such cells become null, and
+    ``operators.rejected_cells`` lists them.
+    """
+    c = as_column(c)
+    date = parse_multi_datetime(c, formats).cast("date")
+    if not strict:
+        return date
+    return F.when(c.isNotNull() & date.isNull(), F.raise_error(F.concat(F.lit("not a date: "), c)).cast("date")).otherwise(date)
 
 
 def clean_tax_id(c: Column | str) -> Column:
@@ -80,9 +90,16 @@ def split_last_comma(c: Column | str) -> Column:
     return F.when(tail != " ", labelled).otherwise(F.left(c, F.length(c) - 2))
 
 
-def file_group(name: Column | str) -> Column:
-    """Company group: the text after the first ``(`` of a file name."""
-    return F.regexp_extract(as_column(name), r"\(([^()]*)", 1)
+def file_group(name: Column | str, strict: bool = False) -> Column:
+    """Company group: the text after the first ``(`` of a file name.
+
+    A name without one has the group ``''``; ``strict`` fails the job on it.
+    """
+    name = as_column(name)
+    group = F.regexp_extract(name, r"\(([^()]*)", 1)
+    if not strict:
+        return group
+    return F.when(group == "", F.raise_error(F.concat(F.lit("no (group) in the name of "), name)).cast("string")).otherwise(group)
 
 
 def file_company(name: Column | str) -> Column:

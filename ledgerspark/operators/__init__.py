@@ -29,6 +29,7 @@ from .statement import (
 )
 from .tidy import (
     fill_defaults,
+    rejected_cells,
     filter_account,
     nonzero_movements,
     override_cash,
@@ -50,6 +51,7 @@ __all__ = [
     "expand_seen_so_far",
     "extend_to_group_end",
     "fill_defaults",
+    "rejected_cells",
     "filter_account",
     "flag_first_seen",
     "forward_fill",

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..functions.ledger import account_filter
+from ..functions.parsing import DATE_FORMATS, DATETIME_FORMATS, parse_locale_number, parse_multi_date
+
+ANY_DATE = (*DATE_FORMATS, *DATETIME_FORMATS)
 
 
 def filter_account(
@@ -57,6 +60,22 @@ def union_with_origin(parts: Mapping[str, DataFrame], origin: str = "origin") ->
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), labelled)
 
 
+def rejected_cells(
+    df: DataFrame, keys: Sequence[str], *, dates: Sequence[str] = (), numbers: Sequence[str] = (), formats: Sequence[str] = ANY_DATE
+) -> DataFrame:
+    """One row for every text cell that is neither empty nor a date or number: ``keys``, ``column`` and ``text``.
+
+    The strict parsers fail a job on such cells; a caller that parses leniently lists here what it sets aside.
+    """
+    parsed = {c: parse_multi_date(c, formats, strict=False) for c in dates}
+    parsed |= {c: parse_locale_number(c, strict=False) for c in numbers}
+    cells = [
+        F.when(F.col(c).isNotNull() & value.isNull(), F.struct(F.lit(c).alias("column"), F.col(c).alias("text")))
+        for c, value in parsed.items()
+    ]
+    return df.select(*keys, F.inline(F.array_compact(F.array(*cells))))
+
+
 def profile_counts(df: DataFrame) -> DataFrame:
     """One row per column: its type, the row count and the non-null count, in a single pass."""
     kinds = dict(df.dtypes)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..sources import workbooks as W
@@ -14,20 +16,55 @@ from . import reports as R
 
 OTHERS = [c for c in L.COMPONENTS if c != L.REVENUE]
 
-BUILD: dict[str, Callable[[DataFrame, R.Stage], DataFrame]] = {
-    "ОДДС": lambda rows, stage: R.cash_flow(W.bank_statements(rows), W.dictionary(rows), W.trial_sheet(rows), stage),
-    "ОСВ 50": lambda rows, stage: R.trial_balance_daily(W.trial_sheet(rows), R.CASH_DESK, stage),
-    "ОСВ 51": lambda rows, stage: R.trial_balance_daily(W.trial_sheet(rows), R.BANK_ACCOUNTS, stage),
-    "ОСВ 50_51": lambda rows, stage: R.cash_and_bank_daily(W.trial_sheet(rows), stage),
-    "ОСВ 66_67": lambda rows, stage: R.debt_daily(W.debt_sheet(rows), stage),
-    "ОФР": lambda rows, stage: R.pnl_statement(
-        W.outline_sheet(rows, L.REVENUE), W.outline_sheet(rows, L.DEDUCTIONS), W.outline_sheet(rows, *OTHERS), stage
-    ),
+# The workbooks each report reads.
+NEEDS: dict[str, list[str]] = {
+    "ОДДС": [L.BANK_STATEMENTS, L.CASH_FLOW_DICTIONARY, L.TRIAL_BALANCE],
+    "ОСВ 50": [L.TRIAL_BALANCE],
+    "ОСВ 51": [L.TRIAL_BALANCE],
+    "ОСВ 50_51": [L.TRIAL_BALANCE],
+    "ОСВ 66_67": [L.DEBT_BALANCE],
+    "ОФР": [L.REVENUE, L.DEDUCTIONS, *OTHERS],
+}
+
+
+class Sources:
+    """Landed rows and what several reports derive from them; both are written once."""
+
+    def __init__(self, landed: DataFrame, stage: R.Stage, reports: list[str]):
+        kinds = sorted({k for r in reports for k in NEEDS[r]})
+        self.stage = stage
+        self.rows = stage(landed.where(F.col("kind").isin(*kinds)))
+
+    @cached_property
+    def trial_facts(self) -> DataFrame:
+        """Cash desk and bank accounts out of one pass over the trial balances."""
+        return self.stage(R.trial_balance_facts(W.trial_sheet(self.rows), R.BOTH, self.stage))
+
+
+def _cash_flow(s: Sources) -> DataFrame:
+    desk = s.trial_facts.where(F.col("origin") == L.CASH).drop("origin").withColumnRenamed("item", R.CASH_DESK.item)
+    return R.cash_flow_from_facts(W.bank_statements(s.rows), W.dictionary(s.rows), desk, s.stage)
+
+
+def _statement(s: Sources) -> DataFrame:
+    revenue, deductions = W.outline_sheet(s.rows, L.REVENUE), W.outline_sheet(s.rows, L.DEDUCTIONS)
+    return R.pnl_statement(revenue, deductions, W.outline_sheet(s.rows, *OTHERS), s.stage)
+
+
+BUILD: dict[str, Callable[[Sources], DataFrame]] = {
+    "ОДДС": _cash_flow,
+    "ОСВ 50": lambda s: R.trial_report(s.trial_facts, R.CASH_DESK, L.CASH),
+    "ОСВ 51": lambda s: R.trial_report(s.trial_facts, R.BANK_ACCOUNTS, L.BANK),
+    "ОСВ 50_51": lambda s: R.both_reports(s.trial_facts),
+    "ОСВ 66_67": lambda s: R.debt_daily(W.debt_sheet(s.rows), s.stage),
+    "ОФР": _statement,
 }
 
 
 def publish(spark: SparkSession, landed: DataFrame, out: str, reports: list[str] | None = None, fmt: str = "csv") -> None:
-    """Build and write the named reports, all by default."""
-    for report in reports or list(BUILD):
-        with Staging(spark) as stage:
-            write_report(BUILD[report](landed, stage), out, report, fmt)
+    """Build and write the named reports, all by default. Every landed workbook is read once."""
+    names = reports or list(BUILD)
+    with Staging(spark) as stage:
+        sources = Sources(landed, stage, names)
+        for name in names:
+            write_report(BUILD[name](sources), out, name, fmt)

@@ -47,6 +47,7 @@ class TrialBalance:
 
 CASH_DESK = TrialBalance("cf_item", {"prefix": "50", "exclude": ("50.03", "50.23")})
 BANK_ACCOUNTS = TrialBalance("bank_account", {"equals": "51"})
+BOTH = {L.CASH: CASH_DESK, L.BANK: BANK_ACCOUNTS}
 TRIAL_PREAMBLE = 4
 DEBT_PREAMBLE = 6
 
@@ -116,8 +117,13 @@ def balances_by_day(facts: DataFrame, items: Sequence[str], report: Sequence[str
 
 
 def trial_balance_daily(sheet: DataFrame, report: TrialBalance, stage: Stage = as_is) -> DataFrame:
-    facts = stage(trial_balance_facts(sheet, {"": report}, stage))
-    return balances_by_day(facts.drop("origin"), ["item"]).withColumnRenamed("item", report.item)
+    return trial_report(stage(trial_balance_facts(sheet, {"": report}, stage)), report, "")
+
+
+def trial_report(facts: DataFrame, report: TrialBalance, label: str) -> DataFrame:
+    """Daily balances of the report whose facts carry the label as ``origin``."""
+    own = facts.where(F.col("origin") == label).drop("origin")
+    return balances_by_day(own, ["item"]).withColumnRenamed("item", report.item)
 
 
 def debt_daily(sheet: DataFrame, stage: Stage = as_is) -> DataFrame:
@@ -126,7 +132,10 @@ def debt_daily(sheet: DataFrame, stage: Stage = as_is) -> DataFrame:
 
 def cash_and_bank_daily(sheet: DataFrame, stage: Stage = as_is) -> DataFrame:
     """Both trial-balance reports in one table, told apart by ``origin``."""
-    facts = stage(trial_balance_facts(sheet, {L.CASH: CASH_DESK, L.BANK: BANK_ACCOUNTS}, stage))
+    return both_reports(stage(trial_balance_facts(sheet, BOTH, stage)))
+
+
+def both_reports(facts: DataFrame) -> DataFrame:
     daily = balances_by_day(facts, ["item"], ["origin"])
     is_cash = F.col("origin") == L.CASH
     return daily.withColumns(
@@ -276,16 +285,22 @@ def cash_desk_facts(sheet: DataFrame, stage: Stage = as_is) -> DataFrame:
 
 def cash_flow(
     statements: DataFrame, dictionary: DataFrame, sheet: DataFrame, stage: Stage = as_is
+) -> DataFrame:
+    return cash_flow_from_facts(statements, dictionary, stage(cash_desk_facts(sheet, stage)), stage)
+
+
+def cash_flow_from_facts(
+    statements: DataFrame, dictionary: DataFrame, cash_desk: DataFrame, stage: Stage = as_is
 ) -> DataFrame:
     """Signed cash flow of bank accounts and cash desk, with first-seen counterparties flagged.
 
     ``dictionary``: grp, company, row_no, op_type, cf_item, movement_kind, item_group, direction.
-    ``sheet`` is the trial balance. Its daily balances are not needed: they add rows without
-    movement only, which do not count here.
+    ``cash_desk`` are its facts from the trial balance. Its daily balances are not needed: they add
+    rows without movement only, which do not count here.
     """
     entry = ["movement_kind", "item_group"]
     bank = O.map_dictionary(bank_rows(statements), dictionary, "op_type", ["cf_item", *entry])
-    desk = O.split_two_way(O.nonzero_movements(stage(cash_desk_facts(sheet, stage))))
+    desk = O.split_two_way(O.nonzero_movements(cash_desk))
     desk = O.map_dictionary(desk, dictionary, "cf_item", entry, first_only=True)
 
     flows = O.union_with_origin({L.BANK: bank, L.CASH: desk.drop("source_file")})
@@ -296,6 +311,7 @@ def cash_flow(
                 ["purpose", "counterparty", "op_type", "bank_account", "cf_item", "movement_kind"], L.MISSING_TEXT
             ),
             "item_group": L.UNMAPPED_GROUP,
+            "source_file": "",
             "row_no": -1,
         },
     )
@@ -306,8 +322,9 @@ def cash_flow(
             "_is_payment": (F.col("flow_type") == L.PAYMENT).cast("int"),
         }
     )
-    order = ["date", "_from_cash", "_is_payment", "row_no", "dict_row_no", "cf_item"]
-    flows = O.flag_first_seen(flows, ["grp", "company", "org", "counterparty"], order)
+    # Row numbers are a workbook's own, so the workbook is part of the position.
+    order = ["date", "_from_cash", "_is_payment", "source_file", "row_no", "dict_row_no", "cf_item"]
+    flows = O.flag_first_seen(stage(flows), ["grp", "company", "org", "counterparty"], order)
     return O.recode(flows, "item_group", L.ITEM_GROUPS).select(
         "grp",
         "company",

@@ -8,9 +8,6 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Forward fill runs over whole worksheets: keep those of usual length out of the sorter that
-    # windows fall back to beyond 4096 rows. Longer ones still spill.
-    "spark.sql.windowExec.buffer.in.memory.threshold": str(1 << 17),
 }
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 # Headers of the published tables, in their order.
 HEADERS = {
@@ -52,8 +53,10 @@ REPORTS = {
 
 
 def published(df: DataFrame, report: str) -> DataFrame:
-    """The columns of a report under their published headers, and ``grp``."""
-    return df.select("grp", *[F.col(c).alias(HEADERS[c]) for c in REPORTS[report]])
+    """The columns of a report under their published headers, and ``grp``. Money is rounded to cents here and nowhere before."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    shown = {c: F.round(c, 2) if isinstance(kinds[c], DecimalType) else F.col(c) for c in REPORTS[report]}
+    return df.select("grp", *[value.alias(HEADERS[c]) for c, value in shown.items()])
 
 
 def write_report(df: DataFrame, folder: str, report: str, fmt: str = "csv") -> None:

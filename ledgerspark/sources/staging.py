@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +37,8 @@ class Staging:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         base = scratch_dir(spark)
+        if base is None:
+            warnings.warn("spark.checkpoint.dir is not set: staged tables stay lazy and are derived anew for each use", stacklevel=2)
         self.path = base and f"{base.rstrip('/')}/staged-{uuid.uuid4().hex}"
         self.count = 0
 
@@ -47,6 +50,12 @@ class Staging:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def folder(self) -> str:
+        """The folder's path, for callers that write to it themselves."""
+        if self.path is None:
+            raise ValueError("spark.checkpoint.dir is not set: there is no shared folder to write to")
+        return self.path
+
     def __enter__(self) -> Staging:
         return self
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
@@ -62,21 +62,26 @@ def find_workbooks(spark: SparkSession, folder: str, report: str = "") -> DataFr
     )
 
 
-def land_workbooks(spark: SparkSession, folder: str, report: str = "") -> DataFrame:
-    return decode_workbooks(find_workbooks(spark, folder, report))
+def land_workbooks(spark: SparkSession, folder: str, report: str = "", kinds: Sequence[str] | None = None) -> DataFrame:
+    return decode_workbooks(find_workbooks(spark, folder, report), kinds)
 
 
-def decode_workbooks(files: DataFrame) -> DataFrame:
-    """Rows of the first sheet of each binary file of a known kind, in the ``LANDED`` schema."""
+def decode_workbooks(files: DataFrame, kinds: Sequence[str] | None = None) -> DataFrame:
+    """Rows of the first sheet of each binary file of a known kind, in the ``LANDED`` schema.
+
+    ``kinds`` leaves all other workbooks unopened. A workbook without a ``(group)`` in its name fails
+    the job: its rows would belong to no report.
+    """
     named = files.select(file_name("path").alias("source_file"), "content").withColumn(
         "kind", workbook_kind("source_file")
     )
-    rows = named.where(F.col("kind").isNotNull()).mapInPandas(
+    wanted = F.col("kind").isNotNull() if kinds is None else F.col("kind").isin(*kinds)
+    rows = named.where(wanted).mapInPandas(
         _decode, "source_file string, kind string, row_no int, level int, cells array<string>, fields map<string,string>"
     )
     return rows.select(
         "source_file",
-        file_group("source_file").alias("grp"),
+        file_group("source_file", strict=True).alias("grp"),
         file_company("source_file").alias("company"),
         "kind",
         "row_no",

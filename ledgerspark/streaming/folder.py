@@ -64,6 +64,6 @@ def land(batch: DataFrame, landed: str) -> None:
 
 def affected_groups(batch: DataFrame, landed: str) -> DataFrame:
     """All landed rows of the groups that have a workbook in the batch."""
-    groups = batch.select(file_group(file_name("path")).alias("grp")).distinct()
+    groups = batch.select(file_group(file_name("path"), strict=True).alias("grp")).distinct()
     rows = batch.sparkSession.read.schema(LANDED).parquet(landed)
     return rows.join(groups, "grp", "left_semi")
