@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import decontaminate, langid, mixing, sharding
+from ledgerspark.llm import decontaminate, langid, mixing, near, sharding
 from ledgerspark.llm.queries import table
 from ledgerspark.sources.staging import Staging
 
@@ -20,14 +20,17 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The decision travels as (doc_id, fingerprint of the text) of the rejected, which are few, so texts are shuffled only
     where these don't fit a broadcast.
     """
-    if "lang" not in docs.columns:
-        raise ValueError("documents have no column lang")
     rejected = langid.score(docs, langid.train(docs), keep_text_hash=True).where(F.col("lang_pred") == langid.UNKNOWN)
     bad = rejected.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hash"))
     return docs.join(bad, same, "left_anti")
 
 
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one of the smallest id."""
+    return near.distinct(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no benchmark text overlaps."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
@@ -45,12 +48,13 @@ def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language", language),
+    ("deduplicate", deduplicated),
     ("decontaminate", decontaminated),
     ("mix", mixed),
     ("shard", sharded),
 ]
 
-#: Language ID and mixing are trained and bisected; SQL has no such steps.
+#: Language ID is trained, components and the mixing exponent are iterated; SQL has no such steps.
 ORACLE_SQL = None
 
 

@@ -5,7 +5,7 @@ first four and five bytes, its last three), hashed; two-by-two transition weight
 Documents carry labels, words do not, so training words get theirs from the sample: in a toxic document a
 word is toxic if one of its features stands in far more toxic documents than clean ones. The field is then
 fitted on those tags by gradient ascent. Forward-backward gives every word of every whole text its marginal;
-the document's score is the chance that at least one suspicious word is toxic.
+the document's doubt is -log of the chance that no suspicious word is toxic, and a logistic curve makes it a score.
 
 With two states, forward and backward vectors are one ratio each, and all texts of a slice take a step at
 once: texts lie ordered by length, so those still running are a prefix.
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .fits import fit, fold, labelled_sample
+from .fits import fit, fold, labelled_sample, platt, sigmoid
 from .words import Texts, mix, record, slices, token_hashes
 
 BITS = 18
@@ -33,6 +33,8 @@ LEAST, RATIO = 10, 25
 FLOOR = 0.05
 SEGMENT = 64
 CLIP = 30.0
+#: Doubt beyond this says no more.
+MOST_DOUBT = 12.0
 
 
 def features(texts: Texts) -> np.ndarray:
@@ -97,6 +99,12 @@ def pairs(ahead, back, e, steps: Steps, trans: np.ndarray) -> np.ndarray:
     return total
 
 
+def doubts(p: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """-log of the chance that no word of each text is toxic; words with a marginal below FLOOR don't count."""
+    running = np.concatenate([[0.0], np.cumsum(np.where(p >= FLOOR, -np.log1p(-np.minimum(p, 1 - 1e-9)), 0.0))])
+    return np.minimum(running[bounds[1:]] - running[bounds[:-1]], MOST_DOUBT)
+
+
 def tags(places: np.ndarray, lengths: np.ndarray, shingle: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """1 for each word that its features show to be toxic; which texts may teach.
 
@@ -139,7 +147,7 @@ def learn(table: pa.Table, rounds: int = 30, rate: float = 0.6, decay: float = 1
     places, n = np.concatenate(found), np.concatenate(lengths)
     toxic, teaches = tags(places, n, np.concatenate(shingles), y)
     keep = np.repeat(teaches, n)
-    places, toxic, n = places[keep], toxic[keep], n[teaches]
+    places, toxic, n, y = places[keep], toxic[keep], n[teaches], y[teaches]
     # segments of bounded length step together
     whole, rest = n // SEGMENT, n % SEGMENT
     cut = np.where(np.arange(2 * len(n)) % 2 == 0, np.repeat(whole, 2), 1)
@@ -169,7 +177,10 @@ def learn(table: pa.Table, rounds: int = 30, rate: float = 0.6, decay: float = 1
         g = seen - pairs(ahead, back, e, steps, trans) - decay * trans
         trans_square += g * g
         trans += 0.3 * rate * g / np.sqrt(trans_square)
-    return pickle.dumps({"weight": weight.astype(np.float32), "bias": bias, "trans": trans})
+    emission = bias + sum(weight[k][places[:, k]] for k in range(len(weight)))
+    seen_doubt = doubts(marginals(emission, Steps(n), trans), np.concatenate([[0], np.cumsum(n)]))
+    slope, shift = platt(seen_doubt, y)
+    return pickle.dumps({"weight": weight.astype(np.float32), "bias": bias, "trans": trans, "slope": slope, "shift": shift})
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, folds: int = 5, held: int = 0) -> bytes:
@@ -195,7 +206,7 @@ def spans(p: np.ndarray, texts: Texts) -> list[list[dict]]:
 def score(docs: DataFrame, model: bytes, folds: int = 5, held: int = 0) -> DataFrame:
     """doc_id, held_out, score, predicted, spans for every row of docs.
 
-    Null and empty texts score 0 and have no span. Without a model every score is 0. Rows that repeat are scored
+    Null and empty texts have no doubt and no span, and the curve's least score. Without a model every score is 0. Rows that repeat are scored
     each; labels, lang, source and other columns are not read.
     """
     item = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())])
@@ -211,10 +222,10 @@ def score(docs: DataFrame, model: bytes, folds: int = 5, held: int = 0) -> DataF
                 p = marginals(emission, Steps(texts.counts), field["trans"])
             else:
                 p = np.zeros(len(texts.starts))
-            doubt = np.where(p >= FLOOR, np.log1p(-np.minimum(p, 1 - 1e-12)), 0.0)
-            running = np.concatenate([[0.0], np.cumsum(doubt)])
-            score = -np.expm1(running[texts.word_bounds[1:]] - running[texts.word_bounds[:-1]])
-            score = np.clip(score, 0.0, 1.0) + 0.0
+            if field:
+                score = sigmoid(field["slope"] * doubts(p, texts.word_bounds) + field["shift"])
+            else:
+                score = np.zeros(texts.n)
             yield record(schema, piece.column("doc_id"), piece.column("held_out"), score, (score >= THRESHOLD).astype(np.int32), spans(p, texts))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (fold(folds) == held).alias("held_out"))
