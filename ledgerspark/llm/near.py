@@ -123,7 +123,16 @@ def unpacked(column, kind) -> np.ndarray:
     return np.concatenate(pieces) if pieces else np.zeros(0, kind)
 
 
-def shared(table: pa.Table) -> pa.Table:
+#: Sets with some of their shared shingles, packed: a row per shard and bucket of sets.
+SHARED = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("sets", "sizes", "counts", "ids", "held")]])
+SHARED_SQL = "bucket int, sets binary, sizes binary, counts binary, ids binary, held binary"
+
+
+def bucket_of(p1: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(p1.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
+def shared(table: pa.Table, buckets: int) -> pa.Table:
     """Of one shard: for every set, the shingles that at least two sets have, and how many have them."""
     counts = unpacked(table.column("counts"), np.int32)
     name = np.stack([unpacked(table.column("sets"), np.int64), unpacked(table.column("sizes"), np.int32).astype(np.int64)], 1)
@@ -142,39 +151,50 @@ def shared(table: pa.Table) -> pa.Table:
     held = np.repeat(np.diff(np.append(runs, len(low))), np.diff(np.append(runs, len(low))))
     both = held > 1
     low, entry, held = low[both], entry[both], held[both]
-    shard = np.uint64(table.column("shard")[0].as_py())
-    order = np.argsort(entry, kind="stable")
-    low, entry, held = low[order] | shard << np.uint64(40), entry[order], held[order]
-    at = np.append(np.flatnonzero(np.diff(entry, prepend=-1)), len(entry))
-    own = entry[at[:-1]]
-    pieces = [np.stack([low[a:b], held[a:b].astype(np.uint64)]).tobytes() for a, b in zip(at, at[1:])]
-    return pa.table({"p1": pa.array(names[own, 0], pa.int64()), "n": pa.array(names[own, 1], pa.int64()), "piece": pa.array(pieces, pa.binary())})
-
-
-def prefix_length(n: int, percent: int = PERCENT) -> int:
-    """A set of n elements shares one of its first so many with every partner."""
-    return n - -(-percent * n // 100) + 1
-
-
-def open_sets(pieces: DataFrame) -> DataFrame:
-    """p1, n, items, prefix, centre of the sets that may link: shared elements in global order, how many are in the prefix, mean count."""
-    schema = pa.schema([("p1", pa.int64()), ("n", pa.int64()), ("items", pa.binary()), ("prefix", pa.list_(pa.int64())), ("centre", pa.float64())])
-
-    def run(batches):
-        for batch in batches:
-            rows = []
-            for p1, n, parts in zip(*(batch.column(c).to_pylist() for c in ("p1", "n", "pieces"))):
-                both = np.concatenate([np.frombuffer(x, np.uint64).reshape(2, -1) for x in parts], axis=1)
-                wanted = prefix_length(n) - (n - both.shape[1])
-                if wanted > 0:
-                    order = np.lexsort((both[0], both[1]))
-                    items = both[0][order].view(np.int64)
-                    rows.append((p1, n, items.tobytes() + both[1][order].astype(np.uint32).tobytes(), items[:wanted].tolist(), float(both[1].sum() / n)))
-            if rows:
-                yield record(schema, *[list(c) for c in zip(*rows)])
-
-    grouped = pieces.groupBy("p1", "n").agg(F.collect_list("piece").alias("pieces"))
-    return grouped.mapInArrow(run, "p1 long, n long, items binary, prefix array<long>, centre double")
+    # by bucket of sets, then by set
+    bucket = bucket_of(names[:, 0], buckets)[entry]
+    order = np.lexsort((entry, bucket))
+    bucket, entry, held = bucket[order], entry[order], held[order]
+    ids = low[order] | np.uint64(table.column("shard")[0].as_py()) << np.uint64(40)
+    cuts = np.searchsorted(bucket, np.arange(buckets + 1))
+    rows = []
+    for b in np.flatnonzero(np.diff(cuts)):
+        own = entry[cuts[b] : cuts[b + 1]]
+        at = np.flatnonzero(np.diff(own, prepend=-1))
+        own_names = names[own[at]]
+        counts = np.diff(np.append(at, len(own))).astype(np.int32)
+        part = slice(cuts[b], cuts[b + 1])
+        rows.append((b, pack(own_names[:, 0]), pack(own_names[:, 1].astype(np.int32)), pack(counts), pack(ids[part]), pack(held[part].astype(np.uint32))))
+    return pa.Table.from_batches([record(SHARED, *([list(c) for c in zip(*rows)] or [[]] * len(SHARED)))])
+
+
+OPEN = pa.schema([("p1", pa.int64()), ("n", pa.int64()), ("items", pa.binary()), ("prefix", pa.list_(pa.int64())), ("centre", pa.float64())])
+
+
+def open_sets(table: pa.Table) -> pa.Table:
+    """Of one bucket, the sets that may link: p1, n, items, prefix, centre.
+
+    items are the shared elements in global order with their counts, prefix those that any partner must share one of,
+    centre is the mean count.
+    """
+    counts = unpacked(table.column("counts"), np.int32)
+    name = np.stack([unpacked(table.column("sets"), np.int64), unpacked(table.column("sizes"), np.int32).astype(np.int64)], 1)
+    ids, held = unpacked(table.column("ids"), np.uint64), unpacked(table.column("held"), np.uint32)
+    names, dense = np.unique(name, axis=0, return_inverse=True)
+    entry = np.repeat(dense.ravel(), counts)
+    have = np.bincount(entry, minlength=len(names))
+    size = names[:, 1]
+    wanted = size - -(-PERCENT * size // 100) + 1 - (size - have)
+    keep = wanted[entry] > 0
+    ids, held, entry = ids[keep], held[keep], entry[keep]
+    order = np.lexsort((ids, held, entry))
+    ids, held, entry = ids[order].view(np.int64), held[order], entry[order]
+    bounds = np.searchsorted(entry, np.arange(len(names) + 1))
+    rows = []
+    for k in np.flatnonzero(wanted > 0):
+        items, times = ids[bounds[k] : bounds[k + 1]], held[bounds[k] : bounds[k + 1]]
+        rows.append((names[k, 0], size[k], pack(items) + pack(times), items[: wanted[k]].tolist(), float(times.sum() / size[k])))
+    return pa.Table.from_batches([record(OPEN, *([list(c) for c in zip(*rows)] or [[]] * len(OPEN)))])
 
 
 def ranked(items: bytes) -> tuple[int, ...]:
@@ -256,9 +276,9 @@ def join(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     keys = stage(keyed(docs))
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     shards = max(8, -(-size // shard_bytes))
-    pieces = dealt(docs, shards).groupBy("shard").applyInArrow(shared, "p1 long, n long, piece binary")
+    pieces = dealt(docs, shards).groupBy("shard").applyInArrow(lambda t: shared(t, shards), SHARED_SQL)
     classes = keys.where("n > 0").groupBy("n", "p1", "p2").agg(F.min("doc_id").alias("first"))
-    opened = stage(open_sets(pieces))
+    opened = stage(pieces.groupBy("bucket").applyInArrow(open_sets, "p1 long, n long, items binary, prefix array<long>, centre double"))
     sets = stage(opened.join(classes, ["p1", "n"]).where("first is not null").select(F.col("first").alias("node"), "n", "items", "prefix", "centre"))
     found = smallest(links(sets, stage))
     named = classes.join(found, classes["first"] == found["node"], "left").select("n", "p1", "p2", F.coalesce("component", "first").alias("component_id"))
