@@ -2,19 +2,23 @@
 
 A late or corrected workbook changes the balances of its whole group from that day on, so the
 stream keeps no running state: each batch lands its files and recomputes the groups they belong to
-from all landed rows.
+from all landed rows of these groups.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.parsing import file_group
 from ..plans.jobs import publish
-from ..sources.workbooks import BINARY_FILES, LANDED, decode_workbooks, file_name
+from ..sources.staging import Staging
+from ..sources.workbooks import BINARY_FILES, LANDED, decode_workbooks, file_name, workbook_kind
 
-LANDED_PARTITIONS = ["kind", "grp", "source_file"]
+LANDED_PARTITIONS = ["kind", "grp"]
+# Workbooks of a batch, at most; the others wait for the next one.
+BATCH_FILES = 1000
 
 
 def run_stream(
@@ -38,32 +42,61 @@ def run_stream(
         .schema(BINARY_FILES)
         .option("pathGlobFilter", "*.xlsx")
         .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", BATCH_FILES)
     )
     if archive is not None:
         source = source.option("cleanSource", "archive").option("sourceArchiveDir", archive)
 
     def refresh(batch: DataFrame, _: int) -> None:
         land(batch, landed)
-        publish(batch.sparkSession, affected_groups(batch, landed), out, reports, fmt)
+        if arrived(batch):
+            publish(batch.sparkSession, affected_groups(batch, landed), out, reports, fmt)
 
     writer = source.load(landing).writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.trigger(**trigger).start()
 
 
+def arrived(batch: DataFrame) -> list:
+    """Kind, group and name of the workbooks of a batch that some report reads: at most BATCH_FILES rows."""
+    named = batch.select(file_name("path").alias("source_file"))
+    named = named.withColumn("kind", workbook_kind("source_file")).where(F.col("kind").isNotNull())
+    return named.select("kind", file_group("source_file", strict=True).alias("grp"), "source_file").distinct().collect()
+
+
 def land(batch: DataFrame, landed: str) -> None:
-    """Write the rows of a batch; a workbook that comes again replaces its old rows."""
-    (
-        decode_workbooks(batch)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*LANDED_PARTITIONS)
-        .parquet(landed)
-    )
+    """Write the rows of a batch; a workbook that comes again replaces its old rows, also if it is empty now.
+
+    Landed rows lie by kind and group. The touched partitions are read, merged with the batch on a
+    staged table, and written anew.
+    """
+    spark = batch.sparkSession
+    files = arrived(batch)
+    if not files:
+        return
+    new = decode_workbooks(batch)
+    with Staging(spark) as stage:
+        path = spark._jvm.org.apache.hadoop.fs.Path(landed)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if system.exists(path):
+            old = landed_groups(spark, landed, {f["kind"] for f in files}, {f["grp"] for f in files})
+            new = new.unionByName(old.where(~F.col("source_file").isin([f["source_file"] for f in files])))
+        merged = stage(new)
+        writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*LANDED_PARTITIONS).parquet(landed)
+        left = {tuple(r) for r in merged.select(*LANDED_PARTITIONS).distinct().collect()}
+        for kind, grp in {(f["kind"], f["grp"]) for f in files} - left:
+            emptied = spark._jvm.org.apache.hadoop.fs.Path(landed, f"kind={kind}/grp={grp}")
+            system.delete(emptied, True)
+
+
+def landed_groups(spark: SparkSession, landed: str, kinds: set[str], groups: set[str]) -> DataFrame:
+    """Landed rows of some kinds and groups; only their partitions are read."""
+    rows = spark.read.schema(LANDED).parquet(landed)
+    return rows.where(F.col("kind").isin(*sorted(kinds)) & F.col("grp").isin(*sorted(groups)))
 
 
 def affected_groups(batch: DataFrame, landed: str) -> DataFrame:
-    """All landed rows of the groups that have a workbook in the batch."""
-    groups = batch.select(file_group(file_name("path"), strict=True).alias("grp")).distinct()
-    rows = batch.sparkSession.read.schema(LANDED).parquet(landed)
-    return rows.join(groups, "grp", "left_semi")
+    """All landed rows of the groups that have a workbook in the batch; only their partitions are read."""
+    groups = sorted({f["grp"] for f in arrived(batch)})
+    return batch.sparkSession.read.schema(LANDED).parquet(landed).where(F.col("grp").isin(*groups))

@@ -9,7 +9,9 @@ from ledgerspark.plans import jobs
 from ledgerspark.plans import reports as R
 from ledgerspark.sources import Staging, land_workbooks, scratch_dir, write_report
 from ledgerspark.sources import workbooks as W
+from ledgerspark.sources.workbooks import find_workbooks
 from ledgerspark.streaming import run_stream
+from ledgerspark.streaming.folder import affected_groups, land
 
 TITLE = ["Отчёт"]
 
@@ -196,6 +198,52 @@ def test_stream_of_two_drops_equals_one_batch(spark, tmp_path):
     assert len(published(spark, out, "ОСВ 50")) > len(first)
 
 
+def test_all_reports_are_published_and_each_workbook_is_decoded_once(spark, landed, tmp_path):
+    opened = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            opened.add(int((batch["row_no"] == 0).sum()))
+            yield batch
+
+    counted = landed.mapInPandas(count, landed.schema)
+    jobs.publish(spark, counted, str(tmp_path / "out"))
+    assert {p.name for p in (tmp_path / "out").iterdir()} == set(jobs.BUILD)
+    assert all(published(spark, tmp_path / "out", report) for report in jobs.BUILD)
+    assert opened.value == landed.where("row_no = 0").count()
+
+
+def test_a_second_drop_replaces_a_workbook_and_reads_its_group_only(spark, tmp_path):
+    landing, landed = tmp_path / "landing", str(tmp_path / "landed")
+    landing.mkdir()
+    fill(landing, company="Альфа", last_day=3)
+    fill(landing, group="Другая", company="Гамма")
+    land(find_workbooks(spark, str(landing)), landed)
+    before = rows(spark.read.parquet(landed))
+    batch = find_workbooks(spark, str(landing), "Альфа")
+    land(batch, landed)
+    assert rows(spark.read.parquet(landed)) == before
+    plan = affected_groups(batch, landed)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(grp" in plan or "PartitionFilters: [(grp" in plan or "PartitionFilters: [grp" in plan
+    assert {r.grp for r in affected_groups(batch, landed).select("grp").distinct().collect()} == {"Г"}
+
+
+def test_a_workbook_without_a_group_is_rejected(spark, tmp_path):
+    fill(tmp_path)
+    name = next(p for p in tmp_path.iterdir() if L.DEBT_BALANCE in p.name)
+    name.rename(tmp_path / f"{L.DEBT_BALANCE}_Альфа.xlsx")
+    with pytest.raises(Exception, match="no .group. in the name"):
+        land_workbooks(spark, str(tmp_path)).collect()
+    with pytest.raises(Exception, match="no .group. in the name"):
+        land(find_workbooks(spark, str(tmp_path)), str(tmp_path / "landed"))
+
+
+def test_kinds_choose_workbooks_before_decoding(spark, tmp_path):
+    fill(tmp_path)
+    (tmp_path / f"(Г){L.DEBT_BALANCE}_broken.xlsx").write_bytes(b"no workbook")
+    assert {r.kind for r in land_workbooks(spark, str(tmp_path), kinds=[L.REVENUE]).collect()} == {L.REVENUE}
+
+
 def test_staging_writes_once_and_cleans_up(spark):
     import os
 
