@@ -1,10 +1,11 @@
 """Quality classifier: Naive Bayes support vectors.
 
-A text's features are indicators of its byte trigrams, hashed into 2^BITS places. Each place is scaled by
-the log ratio of its smoothed class counts (Naive Bayes), rows get length one, and a linear model with
-hinge loss is fitted on them by dual coordinate descent. Margins become probabilities by a logistic curve.
-Labelling, counts and model come from a bounded sample of labelled rows (``per_class``); every text is
-scored whole.
+A text's features are indicators of its byte trigrams and of its pairs of word shapes (how many capitals, other letters and
+signs a word has, and whether it repeats the word before), hashed into 2^BITS places. Each place is scaled by the log ratio
+of its smoothed class counts (Naive Bayes), rows longer than the median row are cut to its length, and a linear model with
+hinge loss is fitted on them by dual coordinate descent. Margins become probabilities by a logistic curve, corrected for
+the classes' shares in all training labels. Counts and model come from a bounded sample of labelled rows (``per_class``);
+every text is scored whole.
 """
 
 from __future__ import annotations
@@ -25,19 +26,38 @@ THRESHOLD = 0.7
 PER_CLASS = 3000
 
 
+def shapes(texts: Texts) -> np.ndarray:
+    """A number below 48 for every word: capitals (0, 1, more), other letters (or none), signs (0, 1, 2, more), repeats the word before."""
+    kinds = np.zeros(256, np.int64)
+    kinds[65:91] = 1
+    kinds[[*range(97, 123), *range(128, 256)]] = 1 << 21
+    kinds[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 1 << 42
+    running = np.concatenate([[0], np.cumsum(kinds[texts.data])])
+    found = running[texts.ends] - running[texts.starts]
+    few = (1 << 21) - 1
+    word = texts.hashes()
+    same = np.zeros(len(word), bool)
+    same[1:] = word[1:] == word[:-1]
+    same[texts.word_bounds[:-1][texts.counts > 0]] = False
+    return np.minimum(found & few, 2) * 16 + (found >> 21 & few > 0) * 8 + np.minimum(found >> 42, 3) * 2 + same
+
+
 def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Distinct feature places of each text, one after the other, and the texts' bounds in them."""
     texts = Texts(column, lower=False)
     data = texts.data.astype(np.uint32)
-    if len(data) < 3:
-        return np.zeros(0, np.uint32), np.zeros(texts.n + 1, np.int64)
-    gram = data[:-2] << 16 | data[1:-1] << 8 | data[2:]
-    place = (gram * np.uint32(2654435769)) >> np.uint32(32 - BITS)
     text = np.repeat(np.arange(texts.n, dtype=np.uint32), np.diff(texts.bounds))
-    same = text[:-2] == text[2:]
+    gram = data[:-2] << 16 | data[1:-1] << 8 | data[2:]
+    inside = text[:-2] == text[2:]
+    shape = shapes(texts).astype(np.uint32)
+    of = texts.text_of_word().astype(np.uint32)
+    pair = (shape[:-1] * 48 + shape[1:]) | np.uint32(1 << 30)
+    beside = of[:-1] == of[1:]
+    grams = np.concatenate([gram[inside], pair[beside]])
+    place = (grams * np.uint32(2654435769)) >> np.uint32(32 - BITS)
     # slices() gives at most 4096 texts: 12 bits beside the 18 of a place
-    key = np.sort((text[:-2] << BITS | place)[same])
-    key = key[np.diff(key, prepend=np.uint32(0xFFFFFFFF)) != 0]
+    key = np.sort(np.concatenate([text[:-2][inside], of[:-1][beside]]) << np.uint32(BITS) | place)
+    key = key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
     return key & np.uint32((1 << BITS) - 1), np.searchsorted(key, np.arange(texts.n + 1, dtype=np.uint64) << BITS)
 
 
@@ -82,30 +102,39 @@ def learn(table: pa.Table) -> bytes:
     rows = np.repeat(np.arange(len(y)), np.diff(bounds))
     ratio = log_count_ratio(places, rows, y)
     norm = np.sqrt(sums(ratio[places] ** 2, bounds))
-    values = ratio[places] / np.maximum(norm, 1e-9)[rows]
+    usual = float(np.median(norm)) or 1.0
+    values = ratio[places] / np.maximum(norm, usual)[rows]
     weight, bias = dual_descent(values, places, bounds, y)
     slope, shift = platt(sums(weight[places] * values, bounds) + bias, y)
     return pickle.dumps(
-        {"ratio": ratio.astype(np.float32), "weight": (weight * ratio).astype(np.float32), "bias": bias, "slope": slope, "shift": shift}
+        {"ratio": ratio.astype(np.float32), "weight": (weight * ratio).astype(np.float32), "bias": bias, "slope": slope, "shift": shift, "usual": usual}
     )
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, folds: int = 4, held: int = 2) -> bytes:
     """The model, from labels of rows outside fold ``held`` alone. Without rows of both classes it is empty."""
-    return fit(labelled_sample(docs, labels, "quality", per_class, fold(folds) != held), lambda t: learn(t) if len(set(t["label"].to_pylist())) == 2 else b"")
+    model = fit(labelled_sample(docs, labels, "quality", per_class, fold(folds) != held), lambda t: learn(t) if len(set(t["label"].to_pylist())) == 2 else b"")
+    if not model:
+        return model
+    # the sample has as many rows of either class, as far as there are; all training labels tell their real odds
+    counts = labels.where(fold(folds) != held).agg(*[F.sum((F.col("quality") == k).cast("long")).alias(f"n{k}") for k in (0, 1)]).first()
+    taken = [min(per_class, counts[f"n{k}"]) for k in (0, 1)]
+    state = pickle.loads(model)
+    state["shift"] += float(np.log(counts["n1"] / counts["n0"]) - np.log(taken[1] / taken[0]))
+    return pickle.dumps(state)
 
 
 def probabilities(model: dict, column: pa.Array) -> np.ndarray:
     places, bounds = features(column)
     norm = np.sqrt(sums(model["ratio"][places].astype(np.float64) ** 2, bounds))
-    margin = sums(model["weight"][places].astype(np.float64), bounds) / np.maximum(norm, 1e-9) + model["bias"]
+    margin = sums(model["weight"][places].astype(np.float64), bounds) / np.maximum(norm, model["usual"]) + model["bias"]
     return sigmoid(model["slope"] * margin + model["shift"])
 
 
 def score(docs: DataFrame, model: bytes, folds: int = 4, held: int = 2) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of docs.
 
-    A null text is an empty one; texts of under three bytes have no features and get the score of the bias.
+    A null text is an empty one; texts of under three bytes and two words have no features and get the score of the bias.
     Without a model every score is 0.5. Rows that repeat are scored each; other columns are not read.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
