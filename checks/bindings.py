@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -244,6 +244,20 @@ events_sheet AS (
   FROM events)"""
 
 
+def counted(rows: DataFrame, first: int) -> DataFrame:
+    """Rows of a source numbered without gaps in the order of ``row_no``, as in a worksheet; the body begins at ``first``."""
+    order = Window.partitionBy("source_file").orderBy("row_no")
+    return rows.withColumn("row_no", F.row_number().over(order) + first - 1)
+
+
+def counted_sql(name: str, first: int) -> str:
+    """The sheet ``name`` from the view ``name_rows``."""
+    return (
+        f"{name} AS (SELECT * REPLACE (row_number() OVER (PARTITION BY source_file ORDER BY row_no) + {first - 1} AS row_no)"
+        f" FROM {name}_rows)"
+    )
+
+
 def stack(rows: DataFrame, when: list[F.Column]) -> DataFrame:
     """Several sheet rows per input row: column ``i`` numbers those whose condition holds."""
     numbers = F.array_compact(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(when)]))
@@ -269,7 +283,7 @@ def trial_sheet(spark: SparkSession, sf: str) -> DataFrame:
     item = F.when(key % 5 != 0, F.concat(F.lit("Статья "), F.left("o_orderpriority", F.lit(1))))
     amount = comma_text(F.col("o_totalprice"))
     rows = stack(sales(spark, sf), [key % 4 == 0, key % 2 == 0, F.lit(True)])
-    return rows.select(
+    rows = rows.select(
         "grp",
         "company",
         workbook("ОСВ 50-51").alias("source_file"),
@@ -279,10 +293,11 @@ def trial_sheet(spark: SparkSession, sf: str) -> DataFrame:
         case(None, None, F.when(F.col("o_orderstatus") != "F", amount)).alias("receipt"),
         case(None, None, F.when(F.col("o_orderstatus") != "O", amount)).alias("payment"),
     )
+    return counted(rows, 4)
 
 
 TRIAL_SQL = f"""
-trial_sheet AS (
+trial_sheet_rows AS (
   SELECT grp, company, {_workbook_sql('ОСВ 50-51')} AS source_file, o_orderkey * 3 + 4 AS row_no,
          CASE (o_orderkey // 4) % 4 WHEN 0 THEN '50.01' WHEN 1 THEN '51' WHEN 2 THEN '50.03' ELSE '50.02' END AS stacked,
          NULL::VARCHAR AS dim, NULL::VARCHAR AS receipt, NULL::VARCHAR AS payment
@@ -296,7 +311,8 @@ trial_sheet AS (
          CASE WHEN o_orderkey % 5 <> 0 THEN 'Статья ' || left(o_orderpriority, 1) END,
          CASE WHEN o_orderstatus <> 'F' THEN {_comma_sql('o_totalprice')} END,
          CASE WHEN o_orderstatus <> 'O' THEN {_comma_sql('o_totalprice')} END
-  FROM sales)"""
+  FROM sales),
+{counted_sql('trial_sheet', 4)}"""
 
 
 def debt_sheet(spark: SparkSession, sf: str) -> DataFrame:
@@ -319,7 +335,7 @@ def debt_sheet(spark: SparkSession, sf: str) -> DataFrame:
     amount = comma_text(F.col("amount"))
     always = F.lit(True)
     rows = stack(rows, [always, always, always, F.col("l_linenumber") % 2 == 0, always])
-    return rows.select(
+    rows = rows.select(
         "grp",
         "company",
         workbook("ОСВ 66-67").alias("source_file"),
@@ -335,6 +351,7 @@ def debt_sheet(spark: SparkSession, sf: str) -> DataFrame:
         case(None, None, None, None, F.when(F.col("flag") != "R", amount)).alias("receipt"),
         case(None, None, None, None, F.when(F.col("flag") == "R", amount)).alias("payment"),
     )
+    return counted(rows, 6)
 
 
 _CODE = "(s_suppkey % 10)"
@@ -348,7 +365,7 @@ debt_base AS (
   SELECT l.*, grp, company, {_workbook_sql('ОСВ 66-67')} AS source_file,
          CASE WHEN {_CODE} < 5 THEN '66.0' ELSE '67.0' END || ({_CODE} % 5 + 1) AS account
   FROM debt_lines l JOIN supplier USING (s_suppkey) JOIN places ON s_nationkey = n_nationkey),
-debt_sheet AS (
+debt_sheet_rows AS (
   SELECT grp, company, source_file, k * 5 + 6 AS row_no, account AS stacked, NULL::VARCHAR AS creditor,
          NULL::VARCHAR AS receipt, NULL::VARCHAR AS payment FROM debt_base
   UNION ALL
@@ -362,7 +379,8 @@ debt_sheet AS (
   SELECT grp, company, source_file, k * 5 + 10, {_moment_sql('day', 'k')}, NULL,
          CASE WHEN flag <> 'R' THEN {_comma_sql('amount')} END,
          CASE WHEN flag = 'R' THEN {_comma_sql('amount')} END
-  FROM debt_base)"""
+  FROM debt_base),
+{counted_sql('debt_sheet', 6)}"""
 
 
 def _outline(spark: SparkSession, sf: str, report: str, indicator, first_row: int, step: int, cells) -> DataFrame:
@@ -383,6 +401,10 @@ def _outline(spark: SparkSession, sf: str, report: str, indicator, first_row: in
 
 
 def cost_sheet(spark: SparkSession, sf: str) -> DataFrame:
+    return counted(_cost_rows(spark, sf), 6)
+
+
+def _cost_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Outline of the cost reports: organisation, accounts, kind, item and date rows per order."""
     key, always = F.col("o_orderkey"), F.lit(True)
     return _outline(
@@ -409,7 +431,7 @@ def cost_sheet(spark: SparkSession, sf: str) -> DataFrame:
 
 
 COST_SQL = f"""
-cost_sheet AS (
+cost_sheet_rows AS (
   SELECT grp, company, {_workbook_sql(L.COST_OF_SALES)} AS source_file, '{L.COST_OF_SALES}' AS indicator,
          o_orderkey * 6 + 6 + level AS row_no, level,
          CASE level WHEN 0 THEN company || ' ' || (o_custkey % 2) WHEN 1 THEN '90.02' WHEN 2 THEN '41.01'
@@ -418,7 +440,8 @@ cost_sheet AS (
               ELSE {_date_sql('day', 'o_orderkey')} END AS c0,
          CASE WHEN level = 5 THEN {_comma_sql('o_totalprice')} END AS c1
   FROM sales, (SELECT unnest([0, 1, 2, 3, 4, 5]) AS level)
-  WHERE level >= 4 OR (level = 3 AND o_orderkey % 2 = 0) OR (level < 3 AND o_orderkey % 3 = 0))"""
+  WHERE level >= 4 OR (level = 3 AND o_orderkey % 2 = 0) OR (level < 3 AND o_orderkey % 3 = 0)),
+{counted_sql('cost_sheet', 6)}"""
 
 
 def indicator_of_costs() -> F.Column:
@@ -427,17 +450,18 @@ def indicator_of_costs() -> F.Column:
 
 def costs_sheet(spark: SparkSession, sf: str) -> DataFrame:
     """The cost outline, dealt out to the six reports of its shape, a workbook each."""
-    order = F.col("row_no") - 6
-    rows = cost_sheet(spark, sf).withColumn("o_orderkey", F.floor(order / 6))
-    rows = rows.withColumn("indicator", indicator_of_costs())
-    return rows.withColumn("source_file", F.concat(F.lit("("), "grp", F.lit(")"), "indicator", F.lit("_"), "company", F.lit(".xlsx"))).drop("o_orderkey")
+    rows = _cost_rows(spark, sf).withColumn("o_orderkey", F.floor((F.col("row_no") - 6) / 6))
+    rows = rows.withColumn("indicator", indicator_of_costs()).drop("o_orderkey")
+    name = F.concat(F.lit("("), "grp", F.lit(")"), "indicator", F.lit("_"), "company", F.lit(".xlsx"))
+    return counted(rows.withColumn("source_file", name), 6)
 
 
 COSTS_SQL = f"""{COST_SQL},
-costs_sheet AS (
+costs_sheet_rows AS (
   SELECT grp, company, '(' || grp || ')' || kind || '_' || company || '.xlsx' AS source_file, kind AS indicator, row_no, level, c0, c1
   FROM (SELECT *, ['Себестоимость продаж', 'Коммерческие расходы', 'Управленческие расходы', 'Прочие доходы', 'Прочие расходы',
-                   'Налог на прибыль'][CAST(((row_no - 6) // 6) // 6 % 6 + 1 AS INTEGER)] AS kind FROM cost_sheet))"""
+                   'Налог на прибыль'][CAST(((row_no - 6) // 6) // 6 % 6 + 1 AS INTEGER)] AS kind FROM cost_sheet_rows)),
+{counted_sql('costs_sheet', 6)}"""
 
 
 def revenue_sheet(spark: SparkSession, sf: str) -> DataFrame:
@@ -449,7 +473,7 @@ def revenue_sheet(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("o_custkey") % 5 == 1, buyer)
         .otherwise(F.concat(buyer, F.lit(", ООО,77"), F.col("o_custkey") % 5))
     )
-    return _outline(
+    rows = _outline(
         spark,
         sf,
         L.REVENUE,
@@ -467,10 +491,11 @@ def revenue_sheet(spark: SparkSession, sf: str) -> DataFrame:
             (7, always, F.concat(F.lit("Операция "), key % 3), comma_text(F.col("o_totalprice"))),
         ],
     )
+    return counted(rows, 8)
 
 
 REVENUE_SQL = f"""
-revenue_sheet AS (
+revenue_sheet_rows AS (
   SELECT grp, company, {_workbook_sql(L.REVENUE)} AS source_file, '{L.REVENUE}' AS indicator,
          o_orderkey * 8 + 8 + level AS row_no, level,
          CASE level WHEN 0 THEN company || ' ' || (o_custkey % 2) WHEN 1 THEN '90.01' WHEN 2 THEN '62.01'
@@ -482,13 +507,14 @@ revenue_sheet AS (
               ELSE 'Операция ' || (o_orderkey % 3) END AS c0,
          CASE WHEN level = 7 THEN {_comma_sql('o_totalprice')} END AS c1
   FROM sales, (SELECT unnest([0, 1, 2, 3, 4, 5, 6, 7]) AS level)
-  WHERE level IN (0, 4, 5, 6, 7) OR (level = 3 AND o_orderkey % 2 = 0) OR (level < 3 AND o_orderkey % 3 = 0))"""
+  WHERE level IN (0, 4, 5, 6, 7) OR (level = 3 AND o_orderkey % 2 = 0) OR (level < 3 AND o_orderkey % 3 = 0)),
+{counted_sql('revenue_sheet', 8)}"""
 
 
 def deduction_sheet(spark: SparkSession, sf: str) -> DataFrame:
     """Outline of the deductions, down to the operation; the operation of every order recurs."""
     key, always = F.col("o_orderkey"), F.lit(True)
-    return _outline(
+    rows = _outline(
         spark,
         sf,
         L.DEDUCTIONS,
@@ -504,10 +530,11 @@ def deduction_sheet(spark: SparkSession, sf: str) -> DataFrame:
             (5, always, F.concat(F.lit("Операция "), key % 3), comma_text(F.floor(F.col("o_totalprice") / 6))),
         ],
     )
+    return counted(rows, 6)
 
 
 DEDUCTION_SQL = f"""
-deduction_sheet AS (
+deduction_sheet_rows AS (
   SELECT grp, company, {_workbook_sql(L.DEDUCTIONS)} AS source_file, '{L.DEDUCTIONS}' AS indicator,
          o_orderkey * 6 + 6 + level AS row_no, level,
          CASE level WHEN 0 THEN company || ' ' || (o_custkey % 2) WHEN 1 THEN '90.03' WHEN 2 THEN '68.02'
@@ -516,7 +543,8 @@ deduction_sheet AS (
               ELSE 'Операция ' || (o_orderkey % 3) END AS c0,
          CASE WHEN level = 5 THEN {_comma_sql('floor(o_totalprice / 6)')} END AS c1
   FROM sales, (SELECT unnest([0, 1, 2, 3, 4, 5]) AS level)
-  WHERE level IN (0, 3, 4, 5) OR o_orderkey % 3 = 0)"""
+  WHERE level IN (0, 3, 4, 5) OR o_orderkey % 3 = 0),
+{counted_sql('deduction_sheet', 6)}"""
 
 
 def bank_statements(spark: SparkSession, sf: str) -> DataFrame:
