@@ -13,11 +13,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
 
 
+def equals(sql: str) -> Callable[[Query], Query]:
+    """The DuckDB SQL of the query's rows."""
+
+    def register(fn: Query) -> Query:
+        SQL[fn.__name__] = sql
+        return fn
+
+    return register
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -38,9 +51,42 @@ def op3_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return notices.scan(table(spark, sf_dir, "documents"))
 
 
+_WORDS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+
+def _windows_sql(rows: str, keep: str) -> str:
+    return f"""
+  SELECT {keep}, m, pos, array_to_string(list_transform(ones, lambda k: w[pos + k + 1]), ' ') AS seed
+  FROM (SELECT *, unnest(range(0, len(w) - len(m) + 1)) AS pos FROM {rows} WHERE len(w) >= len(m))"""
+
+
+@equals(f"""
+WITH items AS (SELECT DISTINCT item_id, {_WORDS} AS w FROM benchmark WHERE len({_WORDS}) > 0),
+masks AS (
+  SELECT *, list_filter(range(0, len(m)), lambda k: m[k + 1] = '1') AS ones
+  FROM (SELECT unnest(['{decontaminate.MASKS[0]}', '{decontaminate.MASKS[1]}']) AS m, NULL AS of_length
+        UNION ALL SELECT DISTINCT repeat('1', len(w)), len(w) FROM items WHERE len(w) < {min(map(len, decontaminate.MASKS))})),
+docs AS (SELECT DISTINCT doc_id, text, {_WORDS} AS w FROM documents),
+item_masks AS (SELECT * FROM items, masks WHERE of_length IS NULL OR of_length = len(w)),
+doc_masks AS (SELECT * FROM docs, masks),
+item_windows AS ({_windows_sql('item_masks', 'item_id, w')}),
+doc_windows AS ({_windows_sql('doc_masks', 'doc_id, text, w')}),
+hits AS (
+  SELECT doc_id, text, item_id, d.pos - i.pos AS place, count(*) AS hits, any_value(d.w) AS dw, any_value(i.w) AS iw
+  FROM doc_windows d JOIN item_windows i USING (m, seed) GROUP BY ALL),
+checked AS (
+  SELECT *, len(iw) AS item_words,
+         len(list_filter(range(1, len(iw) + 1), lambda k: place + k >= 1 AND place + k <= len(dw) AND dw[place + k] = iw[k])) AS agree
+  FROM hits),
+kept AS (SELECT * FROM checked WHERE agree >= ceil(item_words * {decontaminate.OVERLAP}))
+SELECT doc_id, item_id, agree, item_words, greatest(place, 0) AS first_word, place + item_words - 1 AS last_word, total AS hits
+FROM (SELECT *, sum(hits) OVER (PARTITION BY doc_id, text, item_id) AS total,
+             row_number() OVER (PARTITION BY doc_id, text, item_id ORDER BY agree DESC, place) AS rn FROM kept)
+WHERE rn = 1""")
 @query
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("fingerprint")
 
 
 @query
@@ -66,11 +112,35 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.score(docs, langid.train(docs))
 
 
+@equals(r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+  FROM words),
+elements AS (SELECT doc_id, len(s) AS n, unnest(s) AS e FROM sets),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM elements a JOIN elements b ON a.e = b.e AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, b FROM reach JOIN links ON r = a)
+SELECT sets.doc_id, len(s) AS n_shingles, component_id
+FROM sets JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)""")
 @query
 def op9_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.join(table(spark, sf_dir, "documents"))
 
 
+@equals("""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5""")
 @query
 def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.search(table(spark, sf_dir, "embeddings"))
