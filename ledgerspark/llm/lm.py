@@ -31,9 +31,9 @@ from .words import Texts, mix, pack, record, slices
 
 DISCOUNT = 0.75
 #: Text bytes for a shard.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 40 << 20
 #: Tokens that a task gathers before it sends them, and texts.
-BATCH_TOKENS = 1_600_000
+BATCH_TOKENS = 2_000_000
 BATCH_TEXTS = 60_000
 HOT = 1 << 16
 HOT_PER_SHARD = 8
