@@ -59,7 +59,8 @@ def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     key = np.sort(text << np.uint64(HASH_BITS) | h[at] >> np.uint64(64 - HASH_BITS))
     if len(key):
         key = key[np.concatenate([[True], key[1:] != key[:-1]])]
-    bounds = np.searchsorted(key, np.arange(texts.n + 1, dtype=np.uint64) << np.uint64(HASH_BITS))
+    # by text numbers: the end of the last of 4096 texts is 2^64, which no key of 64 bits can say
+    bounds = np.searchsorted(key >> np.uint64(HASH_BITS), np.arange(texts.n + 1, dtype=np.uint64))
     return key & np.uint64((1 << HASH_BITS) - 1), np.diff(bounds), bounds
 
 

@@ -81,6 +81,17 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert near.join(docs.limit(0)).count() == 0
 
 
+def test_slices_full_of_short_texts(spark):
+    rows = [(i, [f"t{i} x", f"t{i // 7} a b c d e f g", None][i % 3]) for i in range(5000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    same = {}
+    for i, t in rows:
+        same.setdefault(frozenset(brute_sets(t)), i)
+    # no two different sets of these link
+    want = [(i, len(brute_sets(t)), same[frozenset(brute_sets(t))] if t else i) for i, t in rows]
+    assert sorted(map(tuple, near.join(docs).collect())) == want
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.frozensets(st.integers(0, 14), min_size=1), min_size=1, max_size=12), st.frozensets(st.integers(0, 14), min_size=1))
 def test_trie_finds_all_similar_sets(sets, probe):
