@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import Staging
@@ -73,16 +73,22 @@ def prints(h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, n, p1, p2: size and fingerprints of every document's set."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64())])
+def text_hash(text: Column | str = "text") -> Column:
+    """Tells apart texts of one id; null is as the empty text."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def keyed(docs: DataFrame, *keep: str) -> DataFrame:
+    """doc_id, the columns to keep (long), n, p1, p2: size and fingerprints of every document's set."""
+    names = ["doc_id", *keep]
+    schema = pa.schema([(c, pa.int64()) for c in (*names, "n", "p1", "p2")])
 
     def run(batches):
         for piece in slices(batches):
             h, n, bounds = shingles(piece.column("text"))
-            yield record(schema, piece.column("doc_id"), n, *prints(h, bounds))
+            yield record(schema, *[piece.column(c) for c in names], n, *prints(h, bounds))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, p1 long, p2 long")
+    return docs.select(*[F.col(c).cast("long").alias(c) for c in names], "text").mapInArrow(run, ", ".join(f"{c} long" for c in schema.names))
 
 
 def dealt(docs: DataFrame, shards: int) -> DataFrame:
@@ -266,41 +272,52 @@ def links(sets: DataFrame, stage: Staging) -> DataFrame:
     return star.unionByName(stage(more))
 
 
-def join(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of docs.
+def join(docs: DataFrame, shard_bytes: int = SHARD_BYTES, keep_text_hash: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of docs; on request text_hash, and component, which no two components share.
 
     A text without words, or null, has no shingle and links with nothing: its component is its own id. Rows that repeat
     are linked copies and give a row each; ids that repeat with other texts are rows of their own. A null id is in no
     component's name: a component of nothing else has a null id. Other columns are not read.
     """
     stage = Staging(docs.sparkSession)
-    keys = stage(keyed(docs))
+    keep = ["text_hash"] if keep_text_hash else []
+    keys = stage(keyed(docs.select("doc_id", text_hash().alias("text_hash"), "text") if keep else docs, *keep))
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     shards = max(8, -(-size // shard_bytes))
     pieces = dealt(docs, shards).groupBy("shard").applyInArrow(lambda t: shared(t, shards), SHARED_SQL)
-    classes = keys.where("n > 0").groupBy("n", "p1", "p2").agg(F.min("doc_id").alias("first"))
+    # named by their sets, as an id may have several; without a sign, as links() turns the order round
+    classes = keys.where("n > 0").groupBy("n", "p1", "p2").agg(F.min("doc_id").alias("first")).withColumn("node", F.shiftrightunsigned(F.xxhash64("n", "p1", "p2"), 1))
     opened = stage(pieces.groupBy("bucket").applyInArrow(open_sets, "p1 long, n long, items binary, prefix array<long>, centre double"))
-    sets = stage(opened.join(classes, ["p1", "n"]).where("first is not null").select(F.col("first").alias("node"), "n", "items", "prefix", "centre"))
-    found = smallest(links(sets, stage))
-    named = classes.join(found, classes["first"] == found["node"], "left").select("n", "p1", "p2", F.coalesce("component", "first").alias("component_id"))
-    linked = keys.where("n > 0").join(named, ["n", "p1", "p2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    empty = keys.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    sets = stage(opened.join(classes, ["p1", "n"]).select("node", "n", "items", "prefix", "centre"))
+    found = stage(smallest(links(sets, stage)))
+    least = stage(found.join(classes, "node").groupBy("component").agg(F.min("first").alias("least")))
+    labels = found.join(least, "component")
+    named = classes.join(labels, "node", "left").select("n", "p1", "p2", F.coalesce("component", "node").alias("component"), F.coalesce("least", "first").alias("component_id"))
+    columns = ["doc_id", F.col("n").alias("n_shingles"), "component_id", *([*keep, "component"] if keep else [])]
+    linked = keys.where("n > 0").join(named, ["n", "p1", "p2"]).select(columns)
+    empty = keys.where("n = 0").withColumns({"component_id": F.col("doc_id"), "component": F.lit(None).cast("long")}).select(columns)
     return linked.unionByName(empty)
 
 
 def distinct(docs: DataFrame) -> DataFrame:
-    """The rows of docs, all columns, with one document of each component: the one of the smallest id, one row of it.
+    """The rows of docs, all columns, with one row of each component: of the smallest id, and there of the smallest text hash.
 
     Documents without words are all kept, and so are those of null id.
     """
-    spark = docs.sparkSession
-    stage = Staging(spark)
-    found = stage(join(docs))
-    gone = found.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
-    kept = docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
-    again = stage(found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"))
+    stage = Staging(docs.sparkSession)
+    found = join(docs, keep_text_hash=True).where("n_shingles > 0 and doc_id is not null")
+    # rows that repeat are one here
+    rows = stage(found.groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("times")))
+    chosen = stage(rows.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("chosen"), F.count("*").alias("members")).where("members > 1"))
+    gone = rows.join(chosen, "component").where(F.struct("doc_id", "text_hash") != F.col("chosen"))
+    again = rows.where("times > 1")
+    same = lambda d, pairs: (d["doc_id"] == pairs["_id"]) & (text_hash(d["text"]) == pairs["_hash"])
+    pairs = lambda df: df.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    gone, again = pairs(gone), stage(pairs(again))
+    kept = docs.join(gone, same(docs, gone), "left_anti")
     if again.isEmpty():
         return kept
-    repeated = kept.join(again, kept["doc_id"] == again["doc_id"], "left_semi")
-    numbered = repeated.withColumn("_row", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))).where("_row = 1").drop("_row")
-    return kept.join(again, kept["doc_id"] == again["doc_id"], "left_anti").unionByName(numbered)
+    # one of the rows that repeat, a minimum for each pair: no row of a pair waits for the others in one task
+    one = F.min_by(F.struct(*[kept[c] for c in kept.columns]), F.xxhash64(F.to_json(F.struct(*[kept[c] for c in kept.columns])))).alias("_row")
+    repeated = kept.join(again, same(kept, again), "left_semi").groupBy("doc_id", text_hash().alias("_hash")).agg(one).select("_row.*")
+    return kept.join(again, same(kept, again), "left_anti").unionByName(repeated)

@@ -5,6 +5,7 @@ import random
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ledgerspark.llm import components, near
 from ledgerspark.llm.trie import Trie, need
@@ -92,6 +93,21 @@ def test_slices_full_of_short_texts(spark):
     assert sorted(map(tuple, near.join(docs).collect())) == want
 
 
+def test_rows_of_one_id_are_told_apart(spark):
+    base = [f"w{i}" for i in range(40)]
+    copied, clean, lone = " ".join(base), "a text of nothing else at all", "and yet another text of this id"
+    rows = [(3, " ".join([*base, "end"]), "a"), (5, copied, "b"), (5, clean, "c"), (5, lone, "d"), (5, lone, "d"), (5, lone, "e"), (7, clean, "f"), (5, "", "g"), (5, "", "g"), (5, None, "h"), (None, copied, "i")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = sorted({(r["doc_id"], r["component_id"]) for r in near.join(docs.where(F.col("text").isin(rows[0][1], copied, clean))).where("doc_id is not null").collect()})
+    assert found == [(3, 3), (5, 3), (5, 5), (7, 5)]
+    kept = near.distinct(docs)
+    assert kept.columns == docs.columns
+    got = sorted((str(r["doc_id"]), r["text"] or "", r["source"]) for r in kept.collect())
+    repeat = next(s for d, t, s in got if t == lone)
+    assert repeat in ("d", "e")
+    assert got == sorted([("3", rows[0][1], "a"), ("5", clean, "c"), ("5", lone, repeat), ("5", "", "g"), ("5", "", "g"), ("5", "", "h"), ("None", copied, "i")])
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.frozensets(st.integers(0, 14), min_size=1), min_size=1, max_size=12), st.frozensets(st.integers(0, 14), min_size=1))
 def test_trie_finds_all_similar_sets(sets, probe):
