@@ -17,11 +17,23 @@ from pyspark.sql import functions as F
 
 from ..sources.staging import Staging
 
-#: Fixed masks over 11 words; any one or two substitutions far enough apart leave some window of one of them alone.
+#: Fixed masks over 11 and 14 words; in a text much longer than these, one or two substitutions leave some window of one of them alone.
 MASKS = ("11101101011", "11011000111011")
 #: Share of a benchmark text's words that must agree with the aligned words of the document.
 OVERLAP = 0.5
 BROADCAST_ROWS = 1_000_000
+#: What clean() takes for a quote: so many words in a row, the first and last alike, of which so many at most differ.
+STRETCH, STRETCH_CHANGES = 13, 2
+#: Offsets of alignments that are taken together.
+BAND = 16
+#: Words of the texts that clean() also seeks by parts: one more than the substitutions allowed, so that one part is whole.
+PIECES = range(6, 15)
+#: Two substitutions from so many words, one below.
+LONGER = 9
+
+
+def allowed(n: int) -> int:
+    return 2 if n >= LONGER else 1
 
 
 def words(text: Column) -> Column:
@@ -37,22 +49,23 @@ def windows(rows: DataFrame, mask: str, *keep: str) -> DataFrame:
     return spans.select(*keep, "w", "at", F.xxhash64(F.lit(mask), *chosen).alias("seed"))
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, share: float = OVERLAP) -> DataFrame:
-    """doc_id, fingerprint, item_id, agree, item_words, first_word, last_word, hits: one row per document and benchmark text that overlap.
+def alignments(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, pieces: bool = False) -> DataFrame:
+    """doc_id, fingerprint, item_id, offset, item, own, opposite, hits, seeded: every placing of a benchmark text over a document that a hash hits.
 
-    Words are numbered from 0; the place of the largest agreement is given, the first where several are alike. A benchmark
-    text shorter than the masks is sought whole, without substitutions; one without words, or null, is in no document. Rows
-    that repeat give a row, not one each; fingerprint (of the text) tells apart documents of one id.
+    own are the item's words that lie over the document, opposite the document's. With pieces, texts of PIECES words are also
+    sought by parts of them; seeded says that a mask, or the whole text, was hit too.
     """
     stage = Staging(docs.sparkSession)
     items = stage(benchmark.select("item_id", words(F.col("text")).alias("w")).where(F.size("w") > 0).distinct())
     shortest = min(len(m) for m in masks)
-    # at most one number per length under that of the masks
-    lengths = [r["n"] for r in items.select(F.size("w").alias("n")).where(F.col("n") < shortest).distinct().collect()]
-    used = [(m, items) for m in masks] + [("1" * n, items.where(F.size("w") == n)) for n in sorted(lengths)]
+    # at most one number per length under that of the masks, or of PIECES
+    lengths = [r["n"] for r in items.select(F.size("w").alias("n")).where(F.col("n") < max(shortest, PIECES.stop)).distinct().collect()]
+    used = [(m, items, True) for m in masks] + [("1" * n, items.where(F.size("w") == n), True) for n in sorted(lengths) if n < shortest]
+    if pieces:
+        used += [("1" * (n // (allowed(n) + 1)), items.where(F.size("w") == n), False) for n in sorted(lengths) if n in PIECES]
     texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("fingerprint"), words(F.col("text")).alias("w"))
     found = None
-    for mask, of in used:
+    for mask, of, seeded in used:
         seeds = stage(windows(of, mask, "item_id").select("item_id", F.col("w").alias("item"), F.col("at").alias("item_at"), "seed"))
         side = F.broadcast(seeds) if seeds.count() <= BROADCAST_ROWS else seeds
         hits = windows(texts, mask, "doc_id", "fingerprint").join(side, "seed")
@@ -60,10 +73,22 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MAS
         low = F.greatest(offset, F.lit(0))
         # the document's words that lie opposite the item's, from its first word that has one
         opposite = F.slice("w", low + 1, F.size("item") - (low - offset))
-        placed = hits.select("doc_id", "fingerprint", "item_id", "item", offset.alias("offset"), F.slice("item", low - offset + 1, F.size("item")).alias("own"), opposite.alias("opposite"))
+        placed = hits.select("doc_id", "fingerprint", "item_id", "item", offset.alias("offset"), F.slice("item", low - offset + 1, F.size("item")).alias("own"), opposite.alias("opposite"), F.lit(seeded).alias("seeded"))
         found = placed if found is None else found.unionByName(placed)
-    # hits of one alignment are alike in all these columns
-    hits = found.groupBy("doc_id", "fingerprint", "item_id", "offset").agg(F.count("*").alias("hits"), F.first("item").alias("item"), F.first("own").alias("own"), F.first("opposite").alias("opposite"))
+    # hits of one alignment are alike in all these columns but seeded
+    return found.groupBy("doc_id", "fingerprint", "item_id", "offset").agg(
+        F.count("*").alias("hits"), F.first("item").alias("item"), F.first("own").alias("own"), F.first("opposite").alias("opposite"), F.max("seeded").alias("seeded")
+    )
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, share: float = OVERLAP) -> DataFrame:
+    """doc_id, fingerprint, item_id, agree, item_words, first_word, last_word, hits: one row per document and benchmark text that overlap.
+
+    Words are numbered from 0; the place of the largest agreement is given, the first where several are alike. A benchmark
+    text shorter than the masks is sought whole, without substitutions; one without words, or null, is in no document. Rows
+    that repeat give a row, not one each; fingerprint (of the text) tells apart documents of one id.
+    """
+    hits = alignments(docs, benchmark, masks)
     agree = F.size(F.filter(F.zip_with("own", "opposite", lambda a, b: a == b), lambda x: x))
     checked = hits.select("doc_id", "fingerprint", "item_id", "offset", "hits", agree.alias("agree"), F.size("item").alias("item_words"))
     kept = checked.where(F.col("agree") >= F.ceil(F.col("item_words") * share))
@@ -74,8 +99,36 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MAS
     )
 
 
+def quotes(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, share: float = OVERLAP) -> DataFrame:
+    """doc_id, fingerprint of the documents that overlap a benchmark text, or quote it in part.
+
+    Beyond overlaps(): STRETCH words in a row of which at most STRETCH_CHANGES differ, whatever the text's length; a text
+    whose share agrees over alignments at most BAND / 2 words apart, as where words were inserted or dropped; and texts of
+    PIECES words with any allowed() substitutions.
+    """
+    hits = alignments(docs, benchmark, masks, pieces=True)
+    same = F.transform(F.zip_with("own", "opposite", lambda a, b: a == b), lambda x: F.coalesce(x, F.lit(False)))
+    placed = hits.select("doc_id", "fingerprint", "item_id", "item", "offset", "seeded", same.alias("same"), F.size("item").alias("n"))
+    agree = F.size(F.filter("same", lambda x: x))
+    few = F.when(F.col("n") >= LONGER, agree >= F.col("n") - 2).otherwise(agree >= F.col("n") - 1) & F.col("n").between(PIECES.start, PIECES.stop - 1)
+    starts = F.sequence(F.lit(0), F.greatest(F.size("same") - STRETCH, F.lit(0)))
+    ends = lambda i: F.get("same", i) & F.get("same", i + STRETCH - 1)
+    stretch = F.exists(starts, lambda i: ends(i) & (F.size(F.filter(F.slice("same", i + 1, STRETCH), lambda x: x)) >= STRETCH - STRETCH_CHANGES)) & (F.size("same") >= STRETCH)
+    alone = few | (F.col("seeded") & ((agree >= F.ceil(F.col("n") * share)) | stretch))
+    # numbers of the item's words that agree
+    numbered = F.transform("same", lambda x, i: F.when(x, i - F.least(F.col("offset"), F.lit(0))))
+    judged = placed.select("*", alone.alias("alone"), F.filter(numbered, lambda x: x.isNotNull()).alias("agreeing"))
+    single = judged.where("alone").select("doc_id", "fingerprint")
+    # a band has at most BAND alignments, and any two at most BAND / 2 apart have a band in common
+    bands = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.floor((F.col("offset") + k * BAND // 2) / BAND).alias("at")) for k in (0, 1)])).alias("band")
+    together = judged.where("seeded and not alone").select("doc_id", "fingerprint", "item_id", "item", "n", "agreeing", bands)
+    union = F.size(F.array_distinct(F.flatten(F.collect_list("agreeing"))))
+    joint = together.groupBy("doc_id", "fingerprint", "item_id", "item", "n", "band").agg(union.alias("agree")).where(F.col("agree") >= F.ceil(F.col("n") * share))
+    return single.unionByName(joint.select("doc_id", "fingerprint")).distinct()
+
+
 def clean(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, share: float = OVERLAP) -> DataFrame:
-    """The rows of docs, all columns, that no text of the benchmark overlaps."""
-    bad = overlaps(docs, benchmark, masks, share).select(F.col("doc_id").alias("_id"), F.col("fingerprint").alias("_print")).distinct()
+    """The rows of docs, all columns, that no text of the benchmark overlaps and that quote none in part."""
+    bad = quotes(docs, benchmark, masks, share).select(F.col("doc_id").alias("_id"), F.col("fingerprint").alias("_print"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_print"))
     return docs.join(bad, same, "left_anti")

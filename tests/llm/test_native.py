@@ -204,3 +204,16 @@ def test_clean_documents_stay(spark):
     assert sorted(r["fingerprint"] for r in kept.collect()) == [2, 3, 4, 5]
     assert decontaminate.clean(docs, items.limit(0)).count() == 6
     assert decontaminate.clean(docs.limit(0), items).count() == 0
+
+
+def test_quotes_in_part_go(spark):
+    long = [f"q{i}" for i in range(60)]
+    short = "one short item of just these eleven words and no more".split()
+    changed = lambda w, *at: " ".join("X" if i in at else x for i, x in enumerate(w))
+    bad = [" ".join(long[5:25]), changed(long[30:46], 8), *[changed(short, i) for i in range(11)], changed(short, 2, 8), changed("six words are all it has".split(), 3)]
+    middle = [f"m{i}" for i in range(36)]
+    bad.append(" ".join([*middle[:12], "new", *middle[12:24], "new", *middle[24:]]))
+    good = [" ".join(long[5:16]), " ".join(short[:5]), "six words are", changed(short, 1, 4, 7, 10), " ".join(middle[:12])]
+    docs = spark.createDataFrame([(i, f"before that {t} after that") for i, t in enumerate(bad + good)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(short)), (3, "six words are all it has"), (4, " ".join(middle))], "item_id long, text string")
+    assert sorted(r["doc_id"] for r in decontaminate.clean(docs, items).collect()) == list(range(len(bad), len(bad + good)))
