@@ -1,9 +1,10 @@
 """LM scoring: an Elias-Fano n-gram trie.
 
 The model has two levels. Level one has every word's count. Level two is a trie: contexts (the word before), and
-under each its successors. Contexts and the pointers to their successors are monotone sequences in Elias-Fano form,
-successors are searched in their context's range alone, and the probabilities (absolute discounting) are quantised
-to one byte. Both levels are cut into shards by hash, a compact block of arrays each, which tasks map without copying.
+under each its successors. Contexts and the pointers to their successors are stored as monotone sequences in Elias-Fano
+form, and the probabilities (absolute discounting) are quantised to one byte; level one keeps plain counts. Both levels
+are cut into shards by hash, a block of arrays each. A task decodes the blocks it reads to plain arrays, and searches
+pairs of (place of the context, word) over the whole shard.
 
     P(w | v) = (c(v, w) - D) / c(v)        where (v, w) was seen
              = D t(v) / c(v) * P(w)        where not; t(v): kinds of successors. v unseen: P(w)
