@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, lm, mixing, near, notices, quality, sharding, toxicity, vectors
+from ..sources.staging import Staging
+from . import collocations, decontaminate, langid, lm, mixing, near, notices, quality, ranking, sharding, toxicity, vectors, warc
 from .fits import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +145,76 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 @query
 def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.search(table(spark, sf_dir, "embeddings"))
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@equals(rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, '{collocations.UNKNOWN}') AS lang, regexp_extract_all(unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+  FROM documents),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS g, w[i:i + k - 1] AS ws
+  FROM places, (SELECT unnest(range(1, {collocations.MAX_WORDS + 1})) AS k) WHERE i + k - 1 <= len(w)),
+counted AS (SELECT lang, k, g, any_value(ws) AS ws, CAST(count(*) AS BIGINT) AS a FROM grams GROUP BY lang, k, g),
+whole AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM counted WHERE k = 1 GROUP BY lang),
+often AS MATERIALIZED (SELECT * FROM counted WHERE a >= {collocations.LEAST}),
+inside AS (
+  SELECT DISTINCT y.lang, x.g FROM often x JOIN often y ON x.lang = y.lang AND x.k >= 2 AND y.k > x.k AND 100 * y.a >= 100 * x.a
+   AND contains(' ' || y.g || ' ', ' ' || x.g || ' ')),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM often WHERE k >= 2),
+scored AS (
+  SELECT c.lang, c.g AS phrase, c.a, l.a AS l, r.a AS r, n, cut,
+         CAST((1000 * CAST(c.a AS HUGEINT) * CAST(n AS HUGEINT)) // (CAST(l.a AS HUGEINT) * CAST(r.a AS HUGEINT)) AS BIGINT) AS score
+  FROM cuts c JOIN whole USING (lang)
+  JOIN often l ON l.lang = c.lang AND l.g = array_to_string(c.ws[1:cut], ' ')
+  JOIN often r ON r.lang = c.lang AND r.g = array_to_string(c.ws[cut + 1:], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+  FROM lowest x WHERE NOT EXISTS (FROM inside i WHERE i.lang = x.lang AND i.g = x.phrase))
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= {collocations.TOP}""")
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+@equals(f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+heads AS (SELECT *, CASE WHEN payload_bytes >= {warc.MIN_REVISIT} THEN max(page_id) OVER (PARTITION BY html) END AS head FROM p)
+SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN head IS NOT NULL AND page_id IS DISTINCT FROM head THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM head THEN head END AS refers_to
+FROM heads""")
+@query
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archives lie in the shared folder; they are read once more than the result is, so they stay there."""
+    folder = Staging(spark).folder() + "/archives"
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.digests(warc.salvage(spark, folder, payloads=False))
+
+
+_TERMS = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@equals(f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS t FROM documents),
+whole AS (SELECT count(*) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS length FROM docs WHERE len(t) > 0),
+wanted AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+held AS (
+  SELECT r, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf
+  FROM (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM docs) WHERE term IN (SELECT term FROM wanted) GROUP BY r, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+            FROM (SELECT term, count(*) AS df FROM held GROUP BY term), whole),
+impacts AS (
+  SELECT r, doc_id, term, (1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // length)) AS impact FROM held, whole),
+scored AS (
+  SELECT item_id, r, any_value(doc_id) AS doc_id, CAST(sum(w * impact) AS BIGINT) AS score
+  FROM wanted JOIN weights USING (term) JOIN impacts USING (term) GROUP BY item_id, r HAVING sum(w * impact) > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, r) AS rank FROM scored) WHERE rank <= {ranking.K}""")
+@query
+def op13_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
