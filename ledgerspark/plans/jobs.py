@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..sources import workbooks as W
-from ..sources.sinks import write_report
+from ..sources.publication import Publication
 from ..sources.staging import Staging
 from . import reports as R
 
@@ -28,12 +28,16 @@ NEEDS: dict[str, list[str]] = {
 
 
 class Sources:
-    """Landed rows and what several reports derive from them; both are written once."""
+    """Landed rows and what several reports derive from them; both are written once.
 
-    def __init__(self, landed: DataFrame, stage: R.Stage, reports: list[str]):
+    ``written`` rows are a table already and are not copied.
+    """
+
+    def __init__(self, landed: DataFrame, stage: R.Stage, reports: Iterable[str], written: bool = False):
         kinds = sorted({k for r in reports for k in NEEDS[r]})
+        rows = landed.where(F.col("kind").isin(*kinds))
         self.stage = stage
-        self.rows = stage(landed.where(F.col("kind").isin(*kinds)))
+        self.rows = rows if written else stage(rows)
 
     @cached_property
     def trial_facts(self) -> DataFrame:
@@ -61,10 +65,48 @@ BUILD: dict[str, Callable[[Sources], DataFrame]] = {
 }
 
 
-def publish(spark: SparkSession, landed: DataFrame, out: str, reports: list[str] | None = None, fmt: str = "csv") -> None:
-    """Build and write the named reports, all by default. Every landed workbook is read once."""
-    names = reports or list(BUILD)
-    with Staging(spark) as stage:
-        sources = Sources(landed, stage, names)
-        for name in names:
-            write_report(BUILD[name](sources), out, name, fmt)
+def reports_of(kinds: Iterable[str], reports: Iterable[str] | None = None) -> list[str]:
+    """The reports that read a workbook of one of the kinds."""
+    kinds = set(kinds)
+    return [r for r in (BUILD if reports is None else reports) if kinds & set(NEEDS[r])]
+
+
+Profile = list[tuple[str, str, int, int]]
+
+
+def publish(
+    spark: SparkSession,
+    landed: DataFrame,
+    out: str,
+    reports: Iterable[str] | Mapping[str, Iterable[str]] | None = None,
+    fmt: str = "csv",
+    written: bool = False,
+) -> dict[str, Profile]:
+    """Build and publish the named reports, all by default; every landed workbook is read once.
+
+    ``reports`` may name the groups that each report replaces; without, a report replaces all its groups. The reports
+    become visible together, when the last one is built; a group without rows loses its folder. ``written`` says that
+    ``landed`` is a written table. Returns the profile of every report (column, type, rows, non-null values).
+    """
+    groups: dict[str, list[str] | None]
+    if isinstance(reports, Mapping):
+        groups = {r: sorted(set(g)) for r, g in reports.items() if g}
+    else:
+        groups = dict.fromkeys(BUILD if reports is None else reports)
+    if not groups:
+        return {}
+    with Staging(spark) as stage, Publication(spark, out, fmt) as publication:
+        for names, wanted in by_groups(groups):
+            own = landed if wanted is None else landed.where(F.col("grp").isin(wanted))
+            sources = Sources(own, stage, names, written)
+            for name in names:
+                publication.write(BUILD[name](sources), name, wanted)
+    return publication.profiles
+
+
+def by_groups(groups: Mapping[str, list[str] | None]) -> list[tuple[list[str], list[str] | None]]:
+    """Reports that replace the same groups, together: they share their sources."""
+    together: dict[tuple[str, ...] | None, list[str]] = {}
+    for report, wanted in groups.items():
+        together.setdefault(None if wanted is None else tuple(wanted), []).append(report)
+    return [(names, None if wanted is None else list(wanted)) for wanted, names in together.items()]

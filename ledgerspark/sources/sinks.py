@@ -60,13 +60,18 @@ def published(df: DataFrame, report: str) -> DataFrame:
 
 
 def write_report(df: DataFrame, folder: str, report: str, fmt: str = "csv") -> None:
-    """Write a report as ``folder/report/grp=...``, replacing the groups it contains.
+    """Write a report as ``folder/report/grp=...``, replacing the groups it contains."""
+    write_published(published(df, report), f"{folder.rstrip('/')}/{report}", fmt)
+
+
+def write_published(shown: DataFrame, path: str, fmt: str = "csv") -> None:
+    """Write published rows by group.
 
     The rows are rebalanced by group before the write: small groups come out as one file, and a
     group too large for one task is split over several.
     """
-    writer = published(df, report).hint("rebalance", "grp").write.mode("overwrite").partitionBy("grp")
+    writer = shown.hint("rebalance", "grp").write.mode("overwrite").partitionBy("grp")
     writer = writer.option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         writer = writer.option("header", True)
-    writer.format(fmt).save(f"{folder.rstrip('/')}/{report}")
+    writer.format(fmt).save(path)

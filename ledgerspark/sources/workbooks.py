@@ -21,6 +21,7 @@ from ..functions import labels as L
 from ..functions.parsing import file_company, file_group
 
 BINARY_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+# source_file is a workbook's identity: its name and the digest of its content.
 LANDED = (
     "source_file string, grp string, company string, kind string, row_no int, level int, "
     "cells array<string>, fields map<string,string>"
@@ -39,6 +40,8 @@ KINDS = {
 WITH_HEADER = (L.BANK_STATEMENTS, L.CASH_FLOW_DICTIONARY, L.TRIAL_BALANCE, L.DEBT_BALANCE)
 
 CHUNK_ROWS = 20_000
+# Of the content's digest, in a workbook's identity.
+DIGEST_CHARS = 32
 
 
 def file_name(path: Column | str) -> Column:
@@ -62,8 +65,30 @@ def find_workbooks(spark: SparkSession, folder: str, report: str = "") -> DataFr
     )
 
 
+def identity(name: Column | str = "name", content: Column | str = "content") -> Column:
+    """What tells workbooks apart: the name, which has the group, company and kind, and 128 bits of the content's digest.
+
+    Two workbooks of one name in two folders are two; the same workbook in two folders is one.
+    """
+    return F.concat(F.col(name) if isinstance(name, str) else name, F.lit("@"), F.left(F.sha2(content, 256), F.lit(DIGEST_CHARS)))
+
+
 def land_workbooks(spark: SparkSession, folder: str, report: str = "", kinds: Sequence[str] | None = None) -> DataFrame:
-    return decode_workbooks(find_workbooks(spark, folder, report), kinds)
+    """Rows of the folder's workbooks, each content once."""
+    files = find_workbooks(spark, folder, report)
+    return decode_workbooks(files.join(repeated(files), "path", "left_anti"), kinds)
+
+
+def repeated(files: DataFrame) -> DataFrame:
+    """Paths of workbooks that are there under a smaller path as well, name and content alike.
+
+    Only files that share name and length are opened.
+    """
+    named = files.select("path", "length", file_name("path").alias("name"))
+    alike = named.groupBy("name", "length").agg(F.count("*").alias("n")).where("n > 1").select("name", "length")
+    again = files.join(named.join(alike, ["name", "length"]).select("path", "name"), "path").select("path", identity().alias("source_file"))
+    first = again.groupBy("source_file").agg(F.min("path").alias("first"))
+    return again.join(first, "source_file").where(F.col("path") != F.col("first")).select("path")
 
 
 def decode_workbooks(files: DataFrame, kinds: Sequence[str] | None = None) -> DataFrame:
@@ -72,17 +97,16 @@ def decode_workbooks(files: DataFrame, kinds: Sequence[str] | None = None) -> Da
     ``kinds`` leaves all other workbooks unopened. A workbook without a ``(group)`` in its name fails
     the job: its rows would belong to no report.
     """
-    named = files.select(file_name("path").alias("source_file"), "content").withColumn(
-        "kind", workbook_kind("source_file")
-    )
+    named = files.select(file_name("path").alias("name"), "content").withColumn("kind", workbook_kind("name"))
     wanted = F.col("kind").isNotNull() if kinds is None else F.col("kind").isin(*kinds)
-    rows = named.where(wanted).mapInPandas(
+    rows = named.where(wanted).select(identity().alias("source_file"), "content", "kind").mapInPandas(
         _decode, "source_file string, kind string, row_no int, level int, cells array<string>, fields map<string,string>"
     )
+    name = F.left("source_file", F.length("source_file") - DIGEST_CHARS - 1)
     return rows.select(
         "source_file",
-        file_group("source_file", strict=True).alias("grp"),
-        file_company("source_file").alias("company"),
+        file_group(name, strict=True).alias("grp"),
+        file_company(name).alias("company"),
         "kind",
         "row_no",
         "level",

@@ -1,26 +1,52 @@
 """Workbooks that arrive in a folder, published as they come.
 
-A late or corrected workbook changes the balances of its whole group from that day on, so the
-stream keeps no running state: each batch lands its files and recomputes the groups they belong to
-from all landed rows of these groups.
+Two streams share the work. One lands the workbooks of each batch and notes which kinds and groups have changed. The other
+reads these notes and publishes: an arrived kind concerns the reports that read it, for its group alone. A late or
+corrected workbook changes the balances of its group from that day on, so a report is built anew from all landed rows of
+its group.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.parsing import file_group
-from ..plans.jobs import publish
-from ..sources.staging import Staging
-from ..sources.workbooks import BINARY_FILES, LANDED, decode_workbooks, file_name, workbook_kind
+from ..plans.jobs import BUILD, NEEDS, publish, reports_of
+from ..sources.files import Files
+from ..sources.workbooks import BINARY_FILES
+from .gate import due_reports
+from .landing import ARRIVALS, ARRIVALS_SCHEMA, affected_groups, land, landed_groups, landed_rows, note_arrivals, withdraw
+
+__all__ = ["FolderStream", "affected_groups", "land", "refresh", "run_stream", "withdraw"]
 
-LANDED_PARTITIONS = ["kind", "grp"]
 # Workbooks of a batch, at most; the others wait for the next one.
 BATCH_FILES = 1000
 
 
+class FolderStream:
+    """The two streams of a folder."""
+
+    def __init__(self, landing: StreamingQuery, publishing: StreamingQuery):
+        self.landing, self.publishing = landing, publishing
+
+    @property
+    def isActive(self) -> bool:
+        return self.landing.isActive and self.publishing.isActive
+
+    def awaitTermination(self, timeout: float | None = None) -> bool:
+        """Wait until the publishing stream ends; with a timeout in seconds, say whether it has."""
+        if timeout is None:
+            self.publishing.awaitTermination()
+            return True
+        return bool(self.publishing.awaitTermination(timeout))
+
+    def stop(self) -> None:
+        self.landing.stop()
+        self.publishing.stop()
+
+
 def run_stream(
     spark: SparkSession,
     landing: str,
@@ -28,75 +54,68 @@ def run_stream(
     out: str,
     checkpoint: str,
     *,
-    reports: list[str] | None = None,
+    reports: Sequence[str] | None = None,
     fmt: str = "csv",
     every: str | None = None,
     archive: str | None = None,
-) -> StreamingQuery:
-    """Start the stream: take what has arrived and stop, or look again ``every`` interval.
-
-    Processed workbooks stay where they are and are not read again; ``archive`` moves them there.
+    settle: float | None = None,
+    patience: float = 600,
+    batch_files: int = BATCH_FILES,
+) -> FolderStream:
+    """Land and publish what has arrived and stop, or look again ``every`` interval.
+
+    Without ``every``, everything is landed before anything is published. With it, ``settle`` holds a report back until its
+    group's workbooks are complete and none has come for so many seconds, for ``patience`` seconds at most (see ``gate``);
+    without ``settle`` each batch is published at once. Processed workbooks stay where they are and are not read again;
+    ``archive`` moves them there.
     """
     source = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILES)
         .option("pathGlobFilter", "*.xlsx")
         .option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", BATCH_FILES)
+        .option("maxFilesPerTrigger", batch_files)
     )
     if archive is not None:
         source = source.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-
-    def refresh(batch: DataFrame, _: int) -> None:
-        land(batch, landed)
-        if arrived(batch):
-            publish(batch.sparkSession, affected_groups(batch, landed), out, reports, fmt)
-
-    writer = source.load(landing).writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)
+    Files(spark, landed).make(ARRIVALS)
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.trigger(**trigger).start()
-
-
-def arrived(batch: DataFrame) -> list:
-    """Kind, group and name of the workbooks of a batch that some report reads: at most BATCH_FILES rows."""
-    named = batch.select(file_name("path").alias("source_file"))
-    named = named.withColumn("kind", workbook_kind("source_file")).where(F.col("kind").isNotNull())
-    return named.select("kind", file_group("source_file", strict=True).alias("grp"), "source_file").distinct().collect()
-
-
-def land(batch: DataFrame, landed: str) -> None:
-    """Write the rows of a batch; a workbook that comes again replaces its old rows, also if it is empty now.
-
-    Landed rows lie by kind and group. The touched partitions are read, merged with the batch on a
-    staged table, and written anew.
-    """
-    spark = batch.sparkSession
-    files = arrived(batch)
-    if not files:
-        return
-    new = decode_workbooks(batch)
-    with Staging(spark) as stage:
-        path = spark._jvm.org.apache.hadoop.fs.Path(landed)
-        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        if system.exists(path):
-            old = landed_groups(spark, landed, {f["kind"] for f in files}, {f["grp"] for f in files})
-            new = new.unionByName(old.where(~F.col("source_file").isin([f["source_file"] for f in files])))
-        merged = stage(new)
-        writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*LANDED_PARTITIONS).parquet(landed)
-        left = {tuple(r) for r in merged.select(*LANDED_PARTITIONS).distinct().collect()}
-        for kind, grp in {(f["kind"], f["grp"]) for f in files} - left:
-            emptied = spark._jvm.org.apache.hadoop.fs.Path(landed, f"kind={kind}/grp={grp}")
-            system.delete(emptied, True)
-
-
-def landed_groups(spark: SparkSession, landed: str, kinds: set[str], groups: set[str]) -> DataFrame:
-    """Landed rows of some kinds and groups; only their partitions are read."""
-    rows = spark.read.schema(LANDED).parquet(landed)
-    return rows.where(F.col("kind").isin(*sorted(kinds)) & F.col("grp").isin(*sorted(groups)))
-
-
-def affected_groups(batch: DataFrame, landed: str) -> DataFrame:
-    """All landed rows of the groups that have a workbook in the batch; only their partitions are read."""
-    groups = sorted({f["grp"] for f in arrived(batch)})
-    return batch.sparkSession.read.schema(LANDED).parquet(landed).where(F.col("grp").isin(*groups))
+    names = list(BUILD if reports is None else reports)
+
+    def take(batch: DataFrame, _: int) -> None:
+        note_arrivals(batch.sparkSession, landed, land(batch, landed))
+
+    def show(batch: DataFrame, _: int) -> None:
+        rows = batch.collect()  # one row for each group and report, or kind, of a batch
+        gated = "report" in batch.columns
+        refresh(batch.sparkSession, landed, out, [((r["report"],) if gated else reports_of([r["kind"]], names), r["grp"]) for r in rows], fmt)
+
+    writer = source.load(landing).writeStream.foreachBatch(take).option("checkpointLocation", f"{checkpoint}/landing")
+    landing_query = writer.trigger(**trigger).start()
+    if not every:
+        landing_query.awaitTermination()
+    notes = spark.readStream.schema(ARRIVALS_SCHEMA).parquet(f"{landed}/{ARRIVALS}")
+    if every and settle is not None:
+        notes = due_reports(notes, {r: NEEDS[r] for r in names}, settle, patience)
+    writer = notes.writeStream.foreachBatch(show).option("checkpointLocation", f"{checkpoint}/publishing")
+    return FolderStream(landing_query, writer.trigger(**trigger).start())
+
+
+def refresh(
+    spark: SparkSession, landed: str, out: str, due: Sequence[tuple[Sequence[str], str]], fmt: str = "csv"
+) -> Mapping[str, list[str]]:
+    """Publish some reports of some groups from the landed rows; returns the groups of each report."""
+    groups: dict[str, set[str]] = {}
+    for reports, grp in due:
+        for report in reports:
+            groups.setdefault(report, set()).add(grp)
+    wanted = {r: sorted(groups[r]) for r in BUILD if r in groups}
+    if wanted:
+        rows = landed_groups(spark, landed, set().union(*groups.values()))
+        publish(spark, rows, out, wanted, fmt, written=True)
+    return wanted
+
+
+def publish_landed(spark: SparkSession, landed: str, out: str, reports: Sequence[str] | None = None, fmt: str = "csv") -> None:
+    """Publish everything that has landed; groups without rows go."""
+    publish(spark, landed_rows(spark, landed), out, reports, fmt, written=True)
