@@ -6,9 +6,9 @@ batch in one tile are counted with a dense bincount where they fill it well enou
 
 Level k pairs the frequent phrase of k - 1 words at a place with the word behind it, if the k - 1 words from the next
 place on are frequent too: a phrase is never more frequent than its parts, so nothing that counts is left out. Whether a
-phrase is frequent is told by a bitmap of FILTER_BITS bits, of one size at any scale: a false positive is counted and
-dropped after the sum. The RANKED most frequent phrases of a level have a rank, the others are counted as coordinates;
-either way every occurrence is counted.
+phrase is frequent is told by a bitmap of FILTER_SHARE bits for each frequent one, 2^MOST_BITS (32 MB) at most: a false
+positive is counted and dropped after the sum. The RANKED most frequent phrases of a level have a rank, the others are
+counted as coordinates; either way every occurrence is counted.
 
 Words are told apart by their bytes; phrases by the 64-bit hashes of their first and last k - 1 words.
 """
@@ -28,8 +28,9 @@ from .words import Texts, mix, record, slices
 MAX_WORDS = 5
 LEAST = 100
 TOP = 2000
-RANKED = 1 << 18
-FILTER_BITS = 27
+RANKED = 1 << 16
+FILTER_SHARE = 16
+LEAST_BITS, MOST_BITS = 16, 28
 #: A tile is TILE ranks wide and high; it is counted densely if it has a DENSE-th as many occurrences as cells.
 TILE_BITS = 9
 DENSE = 8
@@ -135,10 +136,11 @@ class Level:
 
     def __init__(self, bits: np.ndarray, h: np.ndarray, rank: np.ndarray):
         order = np.argsort(h)
-        self.bits, self.h, self.rank = bits, h[order], rank[order].astype(np.int64)
+        self.bits, self.h, self.rank = bits, h[order], rank[order].astype(np.int32)
+        self.shift = np.uint64(64 - 3 - (len(bits).bit_length() - 1))
 
     def frequent(self, h: np.ndarray) -> np.ndarray:
-        at = h >> np.uint64(64 - FILTER_BITS)
+        at = h >> self.shift
         return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
     def ranks(self, h: np.ndarray) -> np.ndarray:
@@ -146,7 +148,7 @@ class Level:
         if not len(self.h):
             return np.full(len(h), -1)
         at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
-        return np.where(self.h[at] == h, self.rank[at], -1)
+        return np.where(self.h[at] == h, self.rank[at].astype(np.int64), -1)
 
 
 def first_of(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -228,19 +230,19 @@ def count_phrases(k: int, words: Level, shorter: Level):
     return count
 
 
-def bitmap(frequent: DataFrame) -> np.ndarray:
-    """The bitmap of the hashes of a level; Spark makes it block by block, so at most its fixed size comes back."""
-    place = F.shiftrightunsigned(F.col("h"), 64 - FILTER_BITS)
-    block = 15  # bits of a place within a block
+def bitmap(frequent: DataFrame, bits: int) -> np.ndarray:
+    """2^bits bits, those set that the hashes of a level begin with; Spark makes them block by block."""
+    place = F.shiftrightunsigned(F.col("h"), 64 - bits)
+    block = LEAST_BITS  # bits of a place within a block
 
     def make(table: pa.Table) -> pa.Table:
-        bits = np.zeros(1 << block, np.uint8)
-        bits[np.asarray(table.column("bit"))] = 1
-        packed = np.packbits(bits, bitorder="little").tobytes()
+        marks = np.zeros(1 << block, np.uint8)
+        marks[np.asarray(table.column("bit"))] = 1
+        packed = np.packbits(marks, bitorder="little").tobytes()
         return pa.table({"block": table.column("block")[:1], "bits": pa.array([packed], pa.binary())})
 
     blocks = frequent.select(F.shiftright(place, block).cast("int").alias("block"), place.bitwiseAND(F.lit((1 << block) - 1)).cast("int").alias("bit")).distinct()
-    out = np.zeros(1 << FILTER_BITS - 3, np.uint8)
+    out = np.zeros(1 << bits - 3, np.uint8)
     size = 1 << block - 3
     for row in blocks.groupBy("block").applyInArrow(make, "block int, bits binary").collect():
         out[row["block"] * size : (row["block"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
@@ -248,10 +250,11 @@ def bitmap(frequent: DataFrame) -> np.ndarray:
 
 
 def level_of(frequent: DataFrame) -> Level:
-    """Ranks are by frequency within a language, ties by hash; at most RANKED rows come to the driver."""
+    """Ranks are by frequency within a language, ties by hash; at most RANKED rows and the bitmap come to the driver."""
+    bits = min(MOST_BITS, max(LEAST_BITS, int(FILTER_SHARE * frequent.count()).bit_length()))
     top = frequent.select("lang", "h", "a").orderBy(F.desc("a"), "h").limit(RANKED).toPandas()
     rank = top.groupby("lang", sort=False).cumcount().to_numpy(np.int64) if len(top) else np.zeros(0, np.int64)
-    return Level(bitmap(frequent), top["h"].to_numpy(np.int64).view(np.uint64), rank)
+    return Level(bitmap(frequent, bits), top["h"].to_numpy(np.int64).view(np.uint64), rank)
 
 
 # --- phrases and scores ---------------------------------------------------------------------
@@ -304,7 +307,8 @@ def mine(docs: DataFrame, *, least: int = LEAST, max_words: int = MAX_WORDS, top
     totals = words.where("word IS NULL").select("lang", F.col("a").alias("n"))
     word = F.col("word").cast("string")
     level = words.where("word IS NOT NULL").select("lang", "h", "a", word.alias("phrase"), word.alias("last"), F.array("a").alias("begins"), F.array("a").alias("ends"))
-    one = shorter = level_of(level)
+    shorter = level_of(level)
+    one = Level(np.zeros(1, np.uint8), shorter.h, shorter.rank)
     found = []
     for k in range(2, max_words + 1):
         counted = texts.mapInArrow(count_phrases(k, one, shorter), COUNTED_SQL)

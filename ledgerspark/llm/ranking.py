@@ -27,12 +27,12 @@ from .words import NOT_WORD, Texts, record, slices
 
 K = 50
 #: Text of a block, beyond one text, and its documents.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 BLOCK_DOCS = 1 << 14
 #: Terms of items that are searched for in one pass over the index.
 PASS_TERMS = 1 << 20
 #: States of an item that are halved together.
-STATES = 64
+STATES = 512
 
 TOTALS = pa.schema([("term", pa.int32()), ("n", pa.int64())])
 BLOCKS = pa.schema([("docs", pa.int32()), ("postings", pa.int64()), ("block", pa.binary())])
@@ -153,8 +153,7 @@ def best_of(tree: treap.Treap, rows: np.ndarray, weights: np.ndarray, columns: i
             own = take[level[take] == at_level]
             shift = depth - 1 - at_level
             row_half = rows >> shift & 1
-            for half in (0, 1):
-                to, most = tree.below(int(at_level), cells[own], best[own], row_half, half)
+            for half, (to, most) in enumerate(tree.below(int(at_level), cells[own], best[own], row_half)):
                 first = start[own] + (half << shift)
                 made.append((np.full(len(own), at_level + 1), first, to, most, most @ weights))
         new = [np.concatenate(x) for x in zip(*made)]

@@ -46,26 +46,43 @@ def build(row: np.ndarray, column: np.ndarray, value: np.ndarray, depth: int) ->
     return parts
 
 
+#: Set bits of a byte; set bits of a cell's four below each quarter.
+ONES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(1, dtype=np.int32)
+BELOW = np.array([[bin(four & (1 << quarter) - 1).count("1") for quarter in range(4)] for four in range(16)], np.int32)
+
+
 class Treap:
-    """Walks from the root: cells are numbered within their level, -1 is an empty one."""
+    """Walks from the root: cells are numbered within their level, -1 is an empty one.
+
+    The bits stay packed; beside them a level has the number of set bits before every byte, that is before every second cell.
+    """
 
     def __init__(self, parts: dict[str, np.ndarray], depth: int):
         self.depth, self.root = depth, int(parts["root"][0]) if len(parts["root"]) else 0
         self.levels = []
         for level in range(depth):
-            bits = np.unpackbits(parts[f"bits{level}"], bitorder="little")
-            cells = len(parts[f"short{level}"])
-            # the cell that a quarter is, -1 where it is empty
-            to = np.where(bits > 0, np.cumsum(bits, dtype=np.int32) - 1, -1).astype(np.int32)
-            self.levels.append((to, parts[f"short{level}"], cells))
-
-    def below(self, level: int, cell: np.ndarray, best: np.ndarray, row_half: np.ndarray, column_half: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The quarters of cells of a level (0: the root) and their maxima; empty cells have empty quarters of 0."""
-        to, short, cells = self.levels[level]
-        if not cells:
-            return np.full(cell.shape, -1, np.int32), np.zeros(cell.shape, np.int64)
-        found = np.where(cell >= 0, to[np.maximum(4 * cell + 2 * row_half + column_half, 0)], -1)
-        return found, np.where(found >= 0, best - short[np.maximum(found, 0)], 0)
+            bits = parts[f"bits{level}"]
+            ones = ONES[bits]
+            self.levels.append((bits, np.cumsum(ones, dtype=np.int32) - ones, parts[f"short{level}"]))
+
+    def below(self, level: int, cell: np.ndarray, best: np.ndarray, row_half: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The quarters of cells of a level (0: the root) in a row half, and their maxima, for the left and the right columns.
+
+        Empty cells have empty quarters; the maximum of an empty one is 0.
+        """
+        bits, before, short = self.levels[level]
+        if not len(short):
+            return [(np.full(cell.shape, -1, np.int32), np.zeros(cell.shape, np.int64))] * 2
+        known = np.maximum(cell, 0)
+        byte, odd = bits[known >> 1], known & 1
+        four = np.where(cell < 0, 0, byte >> (odd << 2).astype(np.uint8) & 15)
+        first = before[known >> 1] + odd * ONES[byte & 15]
+        out = []
+        for quarter in (2 * row_half, 2 * row_half + 1):
+            there = four >> quarter & 1 > 0
+            found = np.where(there, first + BELOW[four, quarter], -1).astype(np.int32)
+            out.append((found, np.where(there, best - short[found], 0)))
+        return out
 
 
 def pack(row: np.ndarray, column: np.ndarray, value: np.ndarray, depth: int, **more: np.ndarray) -> bytes:

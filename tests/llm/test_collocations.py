@@ -58,7 +58,7 @@ def test_equals_brute_force(spark, seed, least):
 
 def test_few_ranks_and_dense_tiles_change_nothing(spark, monkeypatch):
     rows = made(4)
-    for name, value in (("RANKED", 3), ("TILE_BITS", 1), ("DENSE", 1000), ("FILTER_BITS", 18), ("BATCH_WORDS", 50)):
+    for name, value in (("RANKED", 3), ("TILE_BITS", 1), ("DENSE", 1000), ("FILTER_SHARE", 1e-9), ("BATCH_WORDS", 50)):
         monkeypatch.setattr(collocations, name, value)
     got = collocations.mine(spark.createDataFrame(rows, SCHEMA).coalesce(1), least=4, top=None)
     assert sorted(map(tuple, got.collect())) == plain(rows, 4)

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -19,9 +20,10 @@ def terms(text):
 
 
 def plain(docs, items, k=50):
-    own = [(i, terms(t)) for i, t in docs]
+    own = [(i, Counter(terms(t))) for i, t in docs]
     own = [(i, w) for i, w in own if w]
-    n_docs, length = len(own), sum(len(w) for _, w in own)
+    n_docs, length = len(own), sum(sum(w.values()) for _, w in own)
+    df = Counter(t for _, w in own for t in w)
     wanted = {}
     for item, text in items:
         wanted.setdefault(item, set()).update(terms(text))
@@ -29,12 +31,9 @@ def plain(docs, items, k=50):
     for item, own_terms in wanted.items():
         rows = []
         for i, w in own:
-            score = 0
-            for t in own_terms:
-                tf, df = w.count(t), sum(t in set(x) for _, x in own)
-                if tf:
-                    m = 50 + (50 * len(w) * n_docs) // length
-                    score += math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1))) * ((10**9 * tf) // (1000 * tf + 20 * m))
+            m = 50 + (50 * sum(w.values()) * n_docs) // length
+            weight = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) for t in own_terms & set(w)}
+            score = sum(weight[t] * ((10**9 * w[t]) // (1000 * w[t] + 20 * m)) for t in weight)
             if score > 0:
                 rows.append((-score, i is None, i or 0, i, score))
         out += [(item, rank, r[3], r[4]) for rank, r in enumerate(sorted(rows, key=lambda r: r[:3])[:k], 1)]
@@ -56,7 +55,7 @@ def test_treap_finds_every_point_and_maximum():
         for level in range(depth):
             size = side >> level + 1
             span = [
-                (r + a * size, c + b * size, *tree.below(level, cell, best, np.array([a]), b)) for r, c, cell, best in span for a in (0, 1) for b in (0, 1)
+                (r + a * size, c + b * size, *quarter) for r, c, cell, best in span for a in (0, 1) for b, quarter in enumerate(tree.below(level, cell, best, np.array([a])))
             ]
             for r, c, cell, best in span:
                 part = grid[r : r + size, c : c + size].max()
