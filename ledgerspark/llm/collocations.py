@@ -45,10 +45,10 @@ BLANKS = PIECE_ENDS.copy()
 BLANKS[[0x20, 0x09]] = True
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
-COUNTED = pa.schema([("prefix", pa.int64()), ("suffix", pa.int64()), ("h", pa.int64()), ("c", pa.int64())])
-COUNTED_SQL = "prefix long, suffix long, h long, c long"
-WORDS = pa.schema([("lang", pa.string()), ("word", pa.binary()), ("h", pa.int64()), ("c", pa.int64())])
-WORDS_SQL = "lang string, word binary, h long, c long"
+COUNTED = pa.schema([("prefix", pa.int64()), ("suffix", pa.int64()), ("c", pa.int64())])
+COUNTED_SQL = "prefix long, suffix long, c long"
+WORDS = pa.schema([("lang", pa.string()), ("word", pa.binary()), ("c", pa.int64())])
+WORDS_SQL = "lang string, word binary, c long"
 
 
 # --- words of a batch -----------------------------------------------------------------------
@@ -75,9 +75,15 @@ class Run:
         return np.flatnonzero(ok)
 
 
-def chained(left: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Hash of a phrase and one more word."""
-    return mix(left * ODD + word)
+def chained(prefix: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """Hash of a phrase, from those of its first and last k - 1 words."""
+    return mix(prefix * ODD + suffix)
+
+
+def with_hashes(batches):
+    for batch in batches:
+        prefix, suffix = (np.asarray(batch.column(c)).view(np.uint64) for c in ("prefix", "suffix"))
+        yield batch.append_column("h", pa.array(chained(prefix, suffix).view(np.int64)))
 
 
 def read(piece: pa.RecordBatch, codes: dict[str, int]) -> tuple[Texts, np.ndarray, np.ndarray, np.ndarray]:
@@ -120,12 +126,18 @@ def count_words(batches):
         codes: dict[str, int] = {}
         found, h, lang, _ = read(piece, codes)
         names = list(codes)
-        kinds, first, times = np.unique(h, return_index=True, return_counts=True)
+        _, first, times = np.unique(h, return_index=True, return_counts=True)
         words = [found.data[found.starts[i] : found.ends[i]].tobytes() for i in first.tolist()]
         whole = np.bincount(lang, minlength=len(names))
-        yield record(
-            WORDS, [names[i] for i in lang[first]] + names, words + [None] * len(names), np.concatenate([kinds.view(np.int64), np.zeros(len(names), np.int64)]), np.concatenate([times, whole])
-        )
+        yield record(WORDS, [names[i] for i in lang[first]] + names, words + [None] * len(names), np.concatenate([times, whole]))
+
+
+def with_word_hashes(batches):
+    """The hash of every language and word; a word is the one word of its text."""
+    for batch in batches:
+        for piece in slices([batch], "word"):
+            texts = pa.RecordBatch.from_arrays([piece.column("word"), piece.column("lang")], ["text", "lang"])
+            yield piece.append_column("h", pa.array(read(texts, {})[1].view(np.int64)))
 
 
 # --- levels two to five ---------------------------------------------------------------------
@@ -203,14 +215,13 @@ def count_phrases(k: int, words: Level, shorter: Level):
                 continue
             # hashes of the k - 1 words from each place on; those that run over a piece's end are not asked for
             part = run.h
-            for j in range(1, k - 1):
-                part = chained(part[:-1], run.h[j:])
+            for _ in range(k - 2):
+                part = chained(part[:-1], part[1:])
             likely = shorter.frequent(part)
             at = at[likely[at] & likely[at + 1]]
             if not len(at):
                 continue
             prefix, suffix = part[at], part[at + 1]
-            h = chained(prefix, run.h[at + k - 1])
             left, right = shorter.ranks(prefix), words.ranks(run.h[at + k - 1])
             ranked = (left >= 0) & (right >= 0)
             places, counts = [], []
@@ -221,11 +232,11 @@ def count_phrases(k: int, words: Level, shorter: Level):
                 counts.append(times)
             if not ranked.all():
                 own = np.flatnonzero(~ranked)
-                place, times = first_of(h[own])
+                place, times = first_of(chained(prefix[own], suffix[own]))
                 places.append(own[place])
                 counts.append(times)
             pick, times = np.concatenate(places), np.concatenate(counts)
-            yield record(COUNTED, prefix[pick].view(np.int64), suffix[pick].view(np.int64), h[pick].view(np.int64), times)
+            yield record(COUNTED, prefix[pick].view(np.int64), suffix[pick].view(np.int64), times)
 
     return count
 
@@ -265,7 +276,8 @@ def longer(counted: DataFrame, shorter: DataFrame, least: int) -> DataFrame:
 
     ``shorter`` has the same columns; every frequent phrase begins and ends with one of its rows.
     """
-    sums = counted.groupBy("prefix", "suffix").agg(F.sum("c").alias("a"), F.first("h").alias("h")).where(F.col("a") >= least)
+    sums = counted.groupBy("prefix", "suffix").agg(F.sum("c").alias("a")).where(F.col("a") >= least)
+    sums = sums.mapInArrow(with_hashes, "prefix long, suffix long, a long, h long")
     left = shorter.select(F.col("h").alias("prefix"), "lang", F.col("phrase").alias("left"), F.col("begins").alias("left_begins"))
     right = shorter.select(F.col("h").alias("suffix"), F.col("last").alias("right"), F.col("ends").alias("right_ends"))
     both = sums.join(left, "prefix").join(right, "suffix")
@@ -302,11 +314,12 @@ def mine(docs: DataFrame, *, least: int = LEAST, max_words: int = MAX_WORDS, top
     spark: SparkSession = docs.sparkSession
     stage = Staging(spark)
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("string").alias("text"))
-    words = texts.mapInArrow(count_words, WORDS_SQL).groupBy("lang", "word").agg(F.sum("c").alias("a"), F.first("h").alias("h"))
+    words = texts.mapInArrow(count_words, WORDS_SQL).groupBy("lang", "word").agg(F.sum("c").alias("a"))
     words = stage(words.where((F.col("a") >= least) | F.col("word").isNull()))
     totals = words.where("word IS NULL").select("lang", F.col("a").alias("n"))
-    word = F.col("word").cast("string")
-    level = words.where("word IS NOT NULL").select("lang", "h", "a", word.alias("phrase"), word.alias("last"), F.array("a").alias("begins"), F.array("a").alias("ends"))
+    named = words.where("word IS NOT NULL").select("lang", F.col("word").cast("string").alias("word"), "a")
+    named = named.mapInArrow(with_word_hashes, "lang string, word string, a long, h long")
+    level = named.select("lang", "h", "a", F.col("word").alias("phrase"), F.col("word").alias("last"), F.array("a").alias("begins"), F.array("a").alias("ends"))
     shorter = level_of(level)
     one = Level(np.zeros(1, np.uint8), shorter.h, shorter.rank)
     found = []
