@@ -1,13 +1,18 @@
+from .files import Files
+from .publication import Publication, recover
 from .sinks import published, write_report
 from .staging import Staging, scratch_dir
 from .workbooks import decode_workbooks, find_workbooks, land_workbooks
 
 __all__ = [
+    "Files",
+    "Publication",
     "Staging",
     "decode_workbooks",
     "find_workbooks",
     "land_workbooks",
     "published",
+    "recover",
     "scratch_dir",
     "write_report",
 ]

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import defaultdict
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -48,8 +49,10 @@ class Publication:
             shown = shown.where(F.col("grp").isin(sorted(groups)))
         seen = Observation()
         counts = [F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(shown.columns)]
-        write_published(shown.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), f"{self.files.root}/{BESIDE}{self.id}/{report}", self.fmt)
-        found = seen.get
+        beside = f"{BESIDE}{self.id}/{report}"
+        write_published(shown.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), f"{self.files.root}/{beside}", self.fmt)
+        # a plan that turns out to be empty is cut down, with its counters
+        found = seen.get if group_folders(self.files, beside) else defaultdict(int)
         self.profiles[report] = [(c, kind, found["rows"], found[f"n{i}"]) for i, (c, kind) in enumerate(shown.dtypes)]
         self.groups[report] = groups
 

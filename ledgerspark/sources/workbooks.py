@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from ..functions import labels as L
 from ..functions.parsing import file_company, file_group
 
-BINARY_FILES = "path string, modificationTime timestamp, length bigint, content binary"
 # source_file is a workbook's identity: its name and the digest of its content.
 LANDED = (
     "source_file string, grp string, company string, kind string, row_no int, level int, "
@@ -45,7 +44,8 @@ DIGEST_CHARS = 32
 
 
 def file_name(path: Column | str) -> Column:
-    return F.url_decode(F.replace(F.substring_index(path, "/", -1), F.lit("+"), F.lit("%2B")))
+    """The last part of a path as the binary-file reader gives it, which is not encoded."""
+    return F.substring_index(path, "/", -1)
 
 
 def workbook_kind(name: Column | str) -> Column:

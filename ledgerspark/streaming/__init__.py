@@ -1,3 +1,5 @@
-from .folder import run_stream
+from .folder import FolderStream, refresh, run_stream
+from .gate import due_reports
+from .landing import land, landed_rows, withdraw
 
-__all__ = ["run_stream"]
+__all__ = ["FolderStream", "due_reports", "land", "landed_rows", "refresh", "run_stream", "withdraw"]

@@ -1,9 +1,9 @@
 """Workbooks that arrive in a folder, published as they come.
 
-Two streams share the work. One lands the workbooks of each batch and notes which kinds and groups have changed. The other
-reads these notes and publishes: an arrived kind concerns the reports that read it, for its group alone. A late or
-corrected workbook changes the balances of its group from that day on, so a report is built anew from all landed rows of
-its group.
+Two streams share the work. One looks at the folder at every tick, lands the workbooks that are new or have changed, and
+notes which kinds and groups that concerns. The other reads these notes and publishes: an arrived kind concerns the
+reports that read it, for its group alone. A late or corrected workbook changes the balances of its group from that day
+on, so a report is built anew from all landed rows of its group.
 """
 
 from __future__ import annotations
@@ -15,9 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.jobs import BUILD, NEEDS, publish, reports_of
 from ..sources.files import Files
-from ..sources.workbooks import BINARY_FILES
 from .gate import due_reports
-from .landing import ARRIVALS, ARRIVALS_SCHEMA, affected_groups, land, landed_groups, landed_rows, note_arrivals, withdraw
+from .landing import ARRIVALS, ARRIVALS_SCHEMA, affected_groups, land, landed_groups, landed_rows, take, withdraw
 
 __all__ = ["FolderStream", "affected_groups", "land", "refresh", "run_stream", "withdraw"]
 
@@ -26,14 +25,14 @@ BATCH_FILES = 1000
 
 
 class FolderStream:
-    """The two streams of a folder."""
+    """The two streams of a folder; the one that lands is None where all has been landed already."""
 
-    def __init__(self, landing: StreamingQuery, publishing: StreamingQuery):
+    def __init__(self, landing: StreamingQuery | None, publishing: StreamingQuery):
         self.landing, self.publishing = landing, publishing
 
     @property
     def isActive(self) -> bool:
-        return self.landing.isActive and self.publishing.isActive
+        return self.publishing.isActive and (self.landing is None or self.landing.isActive)
 
     def awaitTermination(self, timeout: float | None = None) -> bool:
         """Wait until the publishing stream ends; with a timeout in seconds, say whether it has."""
@@ -43,7 +42,8 @@ class FolderStream:
         return bool(self.publishing.awaitTermination(timeout))
 
     def stop(self) -> None:
-        self.landing.stop()
+        if self.landing is not None:
+            self.landing.stop()
         self.publishing.stop()
 
 
@@ -66,38 +66,31 @@ def run_stream(
 
     Without ``every``, everything is landed before anything is published. With it, ``settle`` holds a report back until its
     group's workbooks are complete and none has come for so many seconds, for ``patience`` seconds at most (see ``gate``);
-    without ``settle`` each batch is published at once. Processed workbooks stay where they are and are not read again;
-    ``archive`` moves them there.
+    without ``settle`` each batch is published at once. A batch lands ``batch_files`` workbooks at most. Landed workbooks stay
+    where they are; ``archive`` moves them there.
     """
-    source = (
-        spark.readStream.format("binaryFile")
-        .schema(BINARY_FILES)
-        .option("pathGlobFilter", "*.xlsx")
-        .option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", batch_files)
-    )
-    if archive is not None:
-        source = source.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     Files(spark, landed).make(ARRIVALS)
-    trigger = {"processingTime": every} if every else {"availableNow": True}
     names = list(BUILD if reports is None else reports)
 
-    def take(batch: DataFrame, _: int) -> None:
-        note_arrivals(batch.sparkSession, landed, land(batch, landed))
+    def look(ticks: DataFrame, _: int) -> None:
+        for _changed in take(ticks.sparkSession, landing, landed, batch_files=batch_files, archive=archive):
+            pass
 
     def show(batch: DataFrame, _: int) -> None:
         rows = batch.collect()  # one row for each group and report, or kind, of a batch
-        gated = "report" in batch.columns
         refresh(batch.sparkSession, landed, out, [((r["report"],) if gated else reports_of([r["kind"]], names), r["grp"]) for r in rows], fmt)
 
-    writer = source.load(landing).writeStream.foreachBatch(take).option("checkpointLocation", f"{checkpoint}/landing")
-    landing_query = writer.trigger(**trigger).start()
-    if not every:
-        landing_query.awaitTermination()
+    landing_query, trigger = None, {"processingTime": every} if every else {"availableNow": True}
+    if every:
+        ticks = spark.readStream.format("rate").load()
+        landing_query = ticks.writeStream.foreachBatch(look).option("checkpointLocation", f"{checkpoint}/landing").trigger(**trigger).start()
+    else:
+        look(spark.range(0), 0)
     notes = spark.readStream.schema(ARRIVALS_SCHEMA).parquet(f"{landed}/{ARRIVALS}")
-    if every and settle is not None:
+    gated = bool(every) and settle is not None
+    if gated:
         notes = due_reports(notes, {r: NEEDS[r] for r in names}, settle, patience)
-    writer = notes.writeStream.foreachBatch(show).option("checkpointLocation", f"{checkpoint}/publishing")
+    writer = notes.writeStream.foreachBatch(show).option("checkpointLocation", f"{checkpoint}/{'gated' if gated else 'publishing'}")
     return FolderStream(landing_query, writer.trigger(**trigger).start())
 
 

@@ -5,13 +5,14 @@ has now. Rows are read through it, so a content counts once however many paths h
 has another one or is withdrawn.
 
     landed/kind=.../grp=.../    rows
-    landed/_files/grp=.../      path, source_file, kind, arrived
+    landed/_files/grp=.../      path, modified, length, source_file, kind, arrived
     landed/_arrivals/           kinds and groups that have changed, in the order of the batches
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,21 +20,66 @@ from pyspark.sql import functions as F
 from ..functions.parsing import file_group
 from ..sources.files import Files, partition_value
 from ..sources.staging import Staging
-from ..sources.workbooks import LANDED, decode_workbooks, file_name, identity, workbook_kind
+from ..sources.workbooks import LANDED, decode_workbooks, file_name, find_workbooks, identity, workbook_kind
 
 LANDED_PARTITIONS = ["kind", "grp"]
 FILES, ARRIVALS = "_files", "_arrivals"
-FILES_SCHEMA = "path string, source_file string, kind string, arrived timestamp, grp string"
+FILES_SCHEMA = "path string, modified timestamp, length bigint, source_file string, kind string, arrived timestamp, grp string"
 ARRIVALS_SCHEMA = "grp string, kind string, arrived timestamp"
 
 
+def of_known_kind(files: DataFrame) -> DataFrame:
+    named = files.withColumn("name", file_name("path")).withColumn("kind", workbook_kind("name"))
+    return named.where(F.col("kind").isNotNull())
+
+
 def arrived(batch: DataFrame) -> list:
-    """path, source_file, kind, grp and arrived of the workbooks of a batch that some report reads.
+    """The rows that the workbooks of a batch have in the table of files, of those that some report reads.
 
     They come to the driver: a batch has at most BATCH_FILES workbooks.
     """
-    named = batch.withColumn("name", file_name("path")).withColumn("kind", workbook_kind("name")).where(F.col("kind").isNotNull())
-    return named.select("path", identity().alias("source_file"), "kind", file_group("name", strict=True).alias("grp"), F.current_timestamp().alias("arrived")).collect()
+    return of_known_kind(batch).select(
+        "path", F.col("modificationTime").alias("modified"), "length", identity().alias("source_file"), "kind",
+        F.current_timestamp().alias("arrived"), file_group("name", strict=True).alias("grp"),
+    ).collect()
+
+
+def changed_paths(spark: SparkSession, folder: str, landed: str) -> DataFrame:
+    """Paths of the folder's workbooks that are new, or that have another time or length than when they were landed.
+
+    No workbook is opened. A corrected workbook is found under its old path, which a file stream would pass over.
+    """
+    now = of_known_kind(find_workbooks(spark, folder)).select("path", F.col("modificationTime").alias("modified"), "length")
+    known = files(spark, landed).select("path", "modified", "length")
+    return now.join(known, ["path", "modified", "length"], "left_anti").orderBy("modified", "path").select("path")
+
+
+def take(spark: SparkSession, folder: str, landed: str, *, batch_files: int, archive: str | None = None) -> Iterator[list[tuple[str, str]]]:
+    """Land what has changed in a folder, batch by batch; yields the kinds and groups that each batch has changed.
+
+    Landed workbooks stay where they are, or go to the ``archive``, each into a folder of its content's digest.
+    """
+    paths = [r["path"] for r in changed_paths(spark, folder, landed).toLocalIterator()]
+    for at in range(0, len(paths), batch_files):
+        # in the reader's argument some characters would be a pattern
+        plain = [re.sub(r"([{}\[\]*?\\])", r"\\\1", p) for p in paths[at : at + batch_files]]
+        batch = spark.read.format("binaryFile").load(plain)
+        changed = land(batch, landed)
+        note_arrivals(spark, landed, changed)
+        if archive is not None:
+            _archive(spark, folder, landed, paths[at : at + batch_files], archive)
+        yield changed
+
+
+def _archive(spark: SparkSession, folder: str, landed: str, paths: list[str], archive: str) -> None:
+    own = Files(spark, folder)
+    path = own.jvm.org.apache.hadoop.fs.Path
+    root = own.system.makeQualified(own.at()).toUri().getPath().rstrip("/")
+    for row in files(spark, landed).where(F.col("path").isin(paths)).select("path", "source_file").collect():
+        inside = path(row["path"]).toUri().getPath().removeprefix(root).lstrip("/")
+        target = path(f"{archive.rstrip('/')}/{row['source_file'].rpartition('@')[2]}/{inside}")
+        own.system.mkdirs(target.getParent())
+        own.system.rename(path(row["path"]), target)
 
 
 def land(batch: DataFrame, landed: str) -> list[tuple[str, str]]:
@@ -125,7 +171,7 @@ def landed_rows(spark: SparkSession, landed: str) -> DataFrame:
         return spark.createDataFrame([], LANDED)
     rows = spark.read.schema(LANDED).parquet(landed)
     live = files(spark, landed).select("source_file", "kind", "grp").distinct()
-    return rows.join(live, ["source_file", "kind", "grp"], "left_semi")
+    return rows.join(live, ["source_file", "kind", "grp"], "left_semi").select(*[f.split()[0] for f in LANDED.split(", ")])
 
 
 def landed_groups(spark: SparkSession, landed: str, groups: Iterable[str]) -> DataFrame:
