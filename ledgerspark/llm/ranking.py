@@ -15,6 +15,7 @@ Terms are told apart by 64 bits.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from .words import NOT_WORD, Texts, record, slices
 
 K = 50
 #: Text of a block, beyond one text, and its documents.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 4 << 20
 BLOCK_DOCS = 1 << 14
 #: Terms of items that are searched for in one pass over the index.
 PASS_TERMS = 1 << 20
@@ -89,8 +90,8 @@ def totals_of(docs: DataFrame, terms: np.ndarray) -> tuple[int, int, np.ndarray]
 # --- index ----------------------------------------------------------------------------------
 
 
-def index(docs: DataFrame, n_docs: int, length: int, *, block_bytes: int = BLOCK_BYTES, block_docs: int = BLOCK_DOCS) -> DataFrame:
-    """docs, postings, block: the index of docs (doc_id, text), whose totals are n_docs and length, in blocks."""
+def blocks_of(n_docs: int, length: int, block_bytes: int, block_docs: int):
+    """From batches of documents to the blocks of their index."""
 
     def make(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(held).combine_chunks()
@@ -125,8 +126,16 @@ def index(docs: DataFrame, n_docs: int, length: int, *, block_bytes: int = BLOCK
         if held:
             yield make(held)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.mapInArrow(blocks, "docs int, postings long, block binary")
+    return blocks
+
+
+def index(docs: DataFrame, n_docs: int, length: int, *, block_bytes: int = BLOCK_BYTES, block_docs: int = BLOCK_DOCS) -> DataFrame:
+    """docs, postings, block: the index of docs (doc_id, text), whose totals are n_docs and length, in blocks."""
+    return _rows(docs).mapInArrow(blocks_of(n_docs, length, block_bytes, block_docs), "docs int, postings long, block binary")
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
 # --- search ---------------------------------------------------------------------------------
@@ -185,8 +194,8 @@ class Items:
         self.weights = np.array([math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1))) for df in held.tolist()], np.int64)
 
 
-def searched(blocks: DataFrame, items: Items, k: int) -> DataFrame:
-    """item, doc_id, score, no_id: the k best documents of each item, of each task; documents as good as the k-th too."""
+def search_in(items: Items, k: int):
+    """From blocks to item, doc_id, score, no_id: the k best documents of each item, of each task; documents as good as the k-th too."""
 
     def search(batches):
         floor = np.zeros(len(items.bounds) - 1, np.int64)
@@ -215,7 +224,7 @@ def searched(blocks: DataFrame, items: Items, k: int) -> DataFrame:
                     number = np.repeat([o[0] for o in out], [len(o[1]) for o in out])
                     yield record(HITS, number.astype(np.int32), *[np.concatenate([o[c] for o in out]) for c in (1, 2)], np.concatenate([o[3] for o in out]) > 0)
 
-    return blocks.select("block").mapInArrow(search, HITS_SQL)
+    return search
 
 
 def passes(items: DataFrame, pass_terms: int):
@@ -239,8 +248,8 @@ def search(docs: DataFrame, items: DataFrame, *, k: int = K, pass_terms: int = P
     documents of their own. A null id of a document comes after all others among equal scores, a null item_id is an item
     of its own. Null and empty texts have no terms. Other columns are not read.
 
-    Items go to the tasks in portions of bounded size, one pass over the index each; with more than one portion the index
-    is written once, and each portion's result.
+    Items go to the tasks in portions of bounded size, one pass over the index each. With one portion a task searches each
+    block when it has built it; with more the index is written once, and each portion's result.
     """
     spark = docs.sparkSession
     stage = Staging(spark)
@@ -248,23 +257,27 @@ def search(docs: DataFrame, items: DataFrame, *, k: int = K, pass_terms: int = P
     wanted = items.select("item_id", "text").groupBy("item_id").agg(F.collect_set("text").alias("texts")).orderBy("item_id")
     kind = items.schema["item_id"].dataType
     schema = f"item_id {kind.simpleString()}, rank int, doc_id long, score long"
-    results, blocks, whole = [], None, None
-    for portion in passes(wanted, pass_terms):
+    results: list[DataFrame] = []
+    blocks = None
+    portions = passes(wanted, pass_terms)
+    portion, following = next(portions, None), next(portions, None)
+    while portion:
         asked = Items([t for _, t in portion])
         n_docs, length, held = totals_of(texts, asked.terms)
         asked.weigh(n_docs, held)
-        if blocks is None:
-            blocks = index(texts, n_docs, length)
-        elif whole is None:
-            blocks = whole = stage(blocks)
+        find_hits = search_in(asked, k)
+        if following is None and blocks is None:
+            build = blocks_of(n_docs, length, BLOCK_BYTES, BLOCK_DOCS)
+            hits = _rows(texts).mapInArrow(lambda batches, build=build, find_hits=find_hits: find_hits(build(batches)), HITS_SQL)
+        else:
+            blocks = blocks or stage(index(texts, n_docs, length))
+            hits = blocks.mapInArrow(find_hits, HITS_SQL)
         order = Window.partitionBy("item").orderBy(F.desc("score"), "no_id", "doc_id")
-        ranked = searched(blocks, asked, k).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         names = spark.createDataFrame([(i, name) for i, (name, _) in enumerate(portion)], f"item int, item_id {kind.simpleString()}")
         found = ranked.join(names, "item").select("item_id", "rank", F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "score")
-        results.append(found)
+        results.append(found if blocks is None else stage(found))
+        portion, following = following, next(portions, None)
     if not results:
         return spark.createDataFrame([], schema)
-    out = results[0] if len(results) == 1 else stage(results[0])
-    for more in results[1:]:
-        out = out.unionByName(stage(more))
-    return out
+    return reduce(DataFrame.unionByName, results)

@@ -85,10 +85,13 @@ def test_small_blocks_few_states_and_many_passes(spark, monkeypatch):
     docs, items = made(3)
     monkeypatch.setattr(ranking, "STATES", 3)
     frame = spark.createDataFrame(docs, DOCS).coalesce(2)
+    for name, value in (("BLOCK_BYTES", 500), ("BLOCK_DOCS", 4100)):
+        monkeypatch.setattr(ranking, name, value)
     monkeypatch.setattr(ranking.index, "__kwdefaults__", {"block_bytes": 500, "block_docs": 4100})
     monkeypatch.setattr(ranking, "slices", lambda batches: (b.slice(i, 20) for b in batches for i in range(0, b.num_rows, 20)))
-    got = ranking.search(frame, spark.createDataFrame(items, ITEMS), k=5, pass_terms=40)
-    assert sorted(map(tuple, got.collect()), key=str) == plain(docs, items, 5)
+    for pass_terms in (40, 1 << 20):
+        got = ranking.search(frame, spark.createDataFrame(items, ITEMS), k=5, pass_terms=pass_terms)
+        assert sorted(map(tuple, got.collect()), key=str) == plain(docs, items, 5)
 
 
 def test_nothing_and_clashing_columns(spark):
