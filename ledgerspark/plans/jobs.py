@@ -81,13 +81,15 @@ def publish(
     reports: Iterable[str] | Mapping[str, Iterable[str]] | None = None,
     fmt: str = "csv",
     written: bool = False,
+    build: Mapping[str, Callable[[Sources], DataFrame]] | None = None,
 ) -> dict[str, Profile]:
     """Build and publish the named reports, all by default; every landed workbook is read once.
 
     ``reports`` may name the groups that each report replaces; without, a report replaces all its groups. The reports
     become visible together, when the last one is built; a group without rows loses its folder. ``written`` says that
-    ``landed`` is a written table. Returns the profile of every report (column, type, rows, non-null values).
+    ``landed`` is a written table, ``build`` has other builders of some reports. Returns the profile of every report (column, type, rows, non-null values).
     """
+    build = {**BUILD, **(build or {})}
     groups: dict[str, list[str] | None]
     if isinstance(reports, Mapping):
         groups = {r: sorted(set(g)) for r, g in reports.items() if g}
@@ -100,7 +102,7 @@ def publish(
             own = landed if wanted is None else landed.where(F.col("grp").isin(wanted))
             sources = Sources(own, stage, names, written)
             for name in names:
-                publication.write(BUILD[name](sources), name, wanted)
+                publication.write(build[name](sources), name, wanted)
     return publication.profiles
 
 

@@ -91,11 +91,16 @@ def balances_by_day(facts: DataFrame, items: Sequence[str], report: Sequence[str
     A source that ends before its group is extended to the group's last date, by the items of its
     own last day. Every item, once seen, has a row on each later date its organisation has.
     """
-    source, group = [*FILE, *report], ["grp", *report]
-    keys = [*source, "org", *items]
+    keys = [*FILE, *report, "org", *items]
     changes = facts.withColumn("change", F.col("receipt") - F.col("payment"))
     totals = O.key_totals(changes, keys)
+    tails = coverage_tails(totals, coverage_of(totals, report), keys, report)
+    return O.daily_balances(changes, keys, tails, measures=["receipt", "payment"])
+
 
+def coverage_of(totals: DataFrame, report: Sequence[str] = ()) -> DataFrame:
+    """The days on which an organisation of a source has rows, as spans: those its items live, extended to the group's end."""
+    source, group = [*FILE, *report], ["grp", *report]
     lives = totals.groupBy(*source, "org", "first_date").agg(F.max("last_date").alias("last_date"))
     source_ends = O.last_date(totals, source, "last_date", "source_last")
     group_ends = O.last_date(totals, group, "last_date", "group_last")
@@ -105,15 +110,17 @@ def balances_by_day(facts: DataFrame, items: Sequence[str], report: Sequence[str
         .join(group_ends, group)
         .withColumn("last_date", F.when(at_source_end, F.col("group_last")).otherwise(F.col("last_date")))
     )
-    coverage = O.date_spans(extended, [*source, "org"])
+    return O.date_spans(extended, [*source, "org"])
 
-    tails = (
-        totals.join(coverage, [*source, "org"])
+
+def coverage_tails(totals: DataFrame, coverage: DataFrame, keys: Sequence[str], report: Sequence[str] = ()) -> DataFrame:
+    """The spans of days after an item's last movement on which its organisation has rows."""
+    return (
+        totals.join(coverage, [*FILE, *report, "org"])
         .select(*keys, "total", "last_date", F.inline("coverage"))
         .where(F.col("e") > F.col("last_date"))
         .withColumn("s", F.greatest("s", F.date_add("last_date", 1)))
     )
-    return O.daily_balances(changes, keys, tails, measures=["receipt", "payment"])
 
 
 def trial_balance_daily(sheet: DataFrame, report: TrialBalance, stage: Stage = as_is) -> DataFrame:
@@ -136,7 +143,11 @@ def cash_and_bank_daily(sheet: DataFrame, stage: Stage = as_is) -> DataFrame:
 
 
 def both_reports(facts: DataFrame) -> DataFrame:
-    daily = balances_by_day(facts, ["item"], ["origin"])
+    return named_items(balances_by_day(facts, ["item"], ["origin"]))
+
+
+def named_items(daily: DataFrame) -> DataFrame:
+    """The items of both reports in a column for each."""
     is_cash = F.col("origin") == L.CASH
     return daily.withColumns(
         {CASH_DESK.item: F.when(is_cash, F.col("item")), BANK_ACCOUNTS.item: F.when(~is_cash, F.col("item"))}

@@ -25,6 +25,7 @@ LANDED = (
     "source_file string, grp string, company string, kind string, row_no int, level int, "
     "cells array<string>, fields map<string,string>"
 )
+LANDED_COLUMNS = [field.split()[0] for field in LANDED.split(", ")]
 
 # Kinds of workbooks by the text in their names; deductions are known by their first word.
 KINDS = {

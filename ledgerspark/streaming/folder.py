@@ -3,7 +3,7 @@
 Two streams share the work. One looks at the folder at every tick, lands the workbooks that are new or have changed, and
 notes which kinds and groups that concerns. The other reads these notes and publishes: an arrived kind concerns the
 reports that read it, for its group alone. A late or corrected workbook changes the balances of its group from that day
-on, so a report is built anew from all landed rows of its group.
+on: a report is built anew from all landed rows of its group, or, with kept balances, from the first changed month on.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.jobs import BUILD, NEEDS, publish, reports_of
 from ..sources.files import Files
+from .balances import KeptBalances
 from .gate import due_reports
 from .landing import ARRIVALS, ARRIVALS_SCHEMA, affected_groups, land, landed_groups, landed_rows, take, withdraw
 
@@ -61,13 +62,15 @@ def run_stream(
     settle: float | None = None,
     patience: float = 600,
     batch_files: int = BATCH_FILES,
+    balances: str | None = None,
 ) -> FolderStream:
     """Land and publish what has arrived and stop, or look again ``every`` interval.
 
     Without ``every``, everything is landed before anything is published. With it, ``settle`` holds a report back until its
     group's workbooks are complete and none has come for so many seconds, for ``patience`` seconds at most (see ``gate``);
     without ``settle`` each batch is published at once. A batch lands ``batch_files`` workbooks at most. Landed workbooks stay
-    where they are; ``archive`` moves them there.
+    where they are; ``archive`` moves them there. ``balances`` is a folder that keeps the balances of trial balances and debts
+    between batches.
     """
     Files(spark, landed).make(ARRIVALS)
     names = list(BUILD if reports is None else reports)
@@ -78,7 +81,7 @@ def run_stream(
 
     def show(batch: DataFrame, _: int) -> None:
         rows = batch.collect()  # one row for each group and report, or kind, of a batch
-        refresh(batch.sparkSession, landed, out, [((r["report"],) if gated else reports_of([r["kind"]], names), r["grp"]) for r in rows], fmt)
+        refresh(batch.sparkSession, landed, out, [((r["report"],) if gated else reports_of([r["kind"]], names), r["grp"]) for r in rows], fmt, balances)
 
     landing_query, trigger = None, {"processingTime": every} if every else {"availableNow": True}
     if every:
@@ -95,7 +98,7 @@ def run_stream(
 
 
 def refresh(
-    spark: SparkSession, landed: str, out: str, due: Sequence[tuple[Sequence[str], str]], fmt: str = "csv"
+    spark: SparkSession, landed: str, out: str, due: Sequence[tuple[Sequence[str], str]], fmt: str = "csv", balances: str | None = None
 ) -> Mapping[str, list[str]]:
     """Publish some reports of some groups from the landed rows; returns the groups of each report."""
     groups: dict[str, set[str]] = {}
@@ -104,8 +107,13 @@ def refresh(
             groups.setdefault(report, set()).add(grp)
     wanted = {r: sorted(groups[r]) for r in BUILD if r in groups}
     if wanted:
+        build = None
+        if balances is not None:
+            kept = KeptBalances(spark, balances)
+            kept.sync(landed)
+            build = kept.reports()
         rows = landed_groups(spark, landed, set().union(*groups.values()))
-        publish(spark, rows, out, wanted, fmt, written=True)
+        publish(spark, rows, out, wanted, fmt, written=True, build=build)
     return wanted
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.parsing import file_group
 from ..sources.files import Files, partition_value
 from ..sources.staging import Staging
-from ..sources.workbooks import LANDED, decode_workbooks, file_name, find_workbooks, identity, workbook_kind
+from ..sources.workbooks import LANDED, LANDED_COLUMNS, decode_workbooks, file_name, find_workbooks, identity, workbook_kind
 
 LANDED_PARTITIONS = ["kind", "grp"]
 FILES, ARRIVALS = "_files", "_arrivals"
@@ -171,7 +171,7 @@ def landed_rows(spark: SparkSession, landed: str) -> DataFrame:
         return spark.createDataFrame([], LANDED)
     rows = spark.read.schema(LANDED).parquet(landed)
     live = files(spark, landed).select("source_file", "kind", "grp").distinct()
-    return rows.join(live, ["source_file", "kind", "grp"], "left_semi").select(*[f.split()[0] for f in LANDED.split(", ")])
+    return rows.join(live, ["source_file", "kind", "grp"], "left_semi").select(*LANDED_COLUMNS)
 
 
 def landed_groups(spark: SparkSession, landed: str, groups: Iterable[str]) -> DataFrame:
