@@ -15,6 +15,9 @@ from ledgerspark import functions as X
 from ledgerspark import operators as O
 from ledgerspark.functions import labels as L
 from ledgerspark.plans import reports as R
+from ledgerspark.plans.incremental import BalanceStore
+from ledgerspark.sources import workbooks as W
+from ledgerspark.sources.publication import Publication
 from ledgerspark.sources.sinks import published, write_report
 from ledgerspark.sources.staging import Staging
 
@@ -908,3 +911,120 @@ def report_round_trip(spark, sf):
     folder = Staging(spark).folder()
     write_report(daily, folder, "ОСВ 50")
     return spark.read.schema(published(daily, "ОСВ 50").schema).option("header", True).csv(f"{folder}/ОСВ 50")
+
+
+_KEPT = """
+  grp NOT IN (SELECT min(grp) FROM moves)"""
+
+
+@query(
+    f"{FLOWS}, {trial_daily_sql('item', 'flows')}, named AS (SELECT *, item AS cf_item FROM daily)"
+    f" => SELECT grp, {_PUBLISHED} FROM named WHERE {_KEPT}",
+    "moves",
+)
+def published_groups(spark, sf):
+    """Daily balances published for all groups, then anew for the first group, which has no rows any more."""
+    daily = R.balances_by_day(_flows(spark, sf), ["item"]).withColumnRenamed("item", "cf_item")
+    out = Staging(spark).folder()
+    first = daily.agg(F.min("grp")).first()[0]
+    with Publication(spark, out) as publication:
+        publication.write(daily, "ОСВ 50")
+    with Publication(spark, out) as publication:
+        publication.write(daily.where(F.col("grp") != first), "ОСВ 50", [first])
+    return spark.read.schema(published(daily, "ОСВ 50").schema).option("header", True).csv(f"{out}/ОСВ 50")
+
+
+@query(
+    f"""{FLOWS}, {trial_daily_sql('item', 'flows')}, shown AS (SELECT {_PUBLISHED}, grp FROM daily JOIN (SELECT DISTINCT item AS cf_item FROM daily) ON item = cf_item)
+    => SELECT "column", rows, non_null FROM (
+      SELECT unnest(['Организация', 'Статья движения денежных средств', 'Дата', 'Начальный остаток', 'Поступление', 'Списание',
+                     'Конечный остаток', 'Изменение', 'grp']) AS "column",
+             count(*) AS rows,
+             unnest([count("Организация"), count("Статья движения денежных средств"), count("Дата"), count("Начальный остаток"),
+                     count("Поступление"), count("Списание"), count("Конечный остаток"), count("Изменение"), count(grp)]) AS non_null
+      FROM shown)""",
+    "moves",
+)
+def report_profile(spark, sf):
+    """The profile of a published report, counted by its write."""
+    daily = R.balances_by_day(_flows(spark, sf), ["item"]).withColumnRenamed("item", "cf_item")
+    with Publication(spark, Staging(spark).folder()) as publication:
+        publication.write(daily, "ОСВ 50")
+    profile = [(column, rows, non_null) for column, _, rows, non_null in publication.profiles["ОСВ 50"]]
+    return spark.createDataFrame(profile, "column string, rows long, non_null long")
+
+
+@query(f"{FLOWS}, {trial_daily_sql('item', 'flows')} => SELECT * FROM daily", "moves")
+def incremental_balance(spark, sf):
+    """Balances kept over three updates: half of the sources, the others, and corrected versions of all of them.
+
+    The first versions have other amounts on the later days and lack every third item there.
+    """
+    flows = _flows(spark, sf)
+    store = BalanceStore(spark, Staging(spark).folder(), flows.schema, ["item"])
+    middle = flows.agg(F.expr("min(date) + CAST(date_diff(max(date), min(date)) / 2 AS INT)").alias("d")).first()["d"]
+    late = F.col("date") > F.lit(middle)
+    early = flows.where(~late | (F.pmod(F.hash("item"), F.lit(3)) != 0))
+    early = early.withColumn("receipt", F.when(late, F.col("receipt") + 1).otherwise(F.col("receipt")).cast(flows.schema["receipt"].dataType))
+    one_half = F.pmod(F.hash("source_file"), F.lit(2)) == 0
+    store.update(early.where(one_half))
+    store.update(early.where(~one_half))
+    store.update(flows)
+    return store.daily()
+
+
+_PAGE_FILES = """
+page_files AS (
+  SELECT 'file:/landing/' || page_id || '/(Г)Отчёт_' || (page_id % 7) || '.xlsx' AS path,
+         '(Г)Отчёт_' || (page_id % 7) || '.xlsx' AS name, substr(html, 1, CAST(page_id % 2 AS INTEGER) + 1) AS content
+  FROM pages WHERE html IS NOT NULL)"""
+
+
+@query(
+    f"""{_PAGE_FILES} => SELECT path, name || '@' || substr(sha256(content), 1, 32) AS source_file FROM page_files
+    QUALIFY dense_rank() OVER (PARTITION BY name, content ORDER BY path) = 1"""
+)
+def workbook_identity(spark, sf):
+    """Files of few names and contents in many folders: a content counts once for each name, under its smallest path."""
+    page_id = F.col("page_id")
+    name = F.concat(F.lit("(Г)Отчёт_"), page_id % 7, F.lit(".xlsx"))
+    content = F.substring("html", F.lit(1), (page_id % 2 + 1).cast("int")).cast("binary")
+    files = spark.read.parquet(f"{sf}/pages.parquet").where("html IS NOT NULL").select(
+        F.concat(F.lit("file:/landing/"), page_id, F.lit("/"), name).alias("path"), F.octet_length(content).cast("long").alias("length"), content.alias("content")
+    )
+    kept = files.withColumn("id", W.identity(W.file_name("path"))).join(
+        W.repeated(files).distinct().withColumnRenamed("path", "again"), F.col("path") == F.col("again"), "left_anti"
+    )
+    return kept.select("path", F.col("id").alias("source_file"))
+
+
+_SPOILT = """
+spoilt AS (SELECT * REPLACE (CASE WHEN row_no % 7 = 3 AND receipt IS NOT NULL THEN receipt || '?' ELSE receipt END AS receipt) FROM trial_sheet),
+readable AS (SELECT * FROM spoilt WHERE receipt IS NULL OR NOT contains(receipt, '?') OR {moment} IS NULL)""".replace("{moment}", moment_sql("stacked"))
+
+
+def _spoilt(spark, sf):
+    receipt = F.when((F.col("row_no") % 7 == 3) & F.col("receipt").isNotNull(), F.concat("receipt", F.lit("?"))).otherwise(F.col("receipt"))
+    return B.trial_sheet(spark, sf).withColumn("receipt", receipt)
+
+
+@query(
+    f"{_SPOILT}, {classified_sql('readable')}, {trial_facts_sql(CASH_WHERE)}, {trial_daily_sql('item')}"
+    f" => SELECT {FILE}, org, item AS cf_item, date, receipt, payment, change, opening, closing FROM daily",
+    "trial_sheet",
+)
+def report_without_rejects(spark, sf):
+    """A report over a sheet with spoilt cells: their rows take no part."""
+    return R.trial_balance_daily(_spoilt(spark, sf), R.CASH_DESK, Staging(spark), R.Rejects())
+
+
+@query(
+    f"{_SPOILT} => SELECT {FILE}, row_no, 'receipt' AS \"column\", receipt AS text FROM spoilt"
+    f" WHERE row_no >= 4 AND contains(receipt, '?') AND {moment_sql('stacked')} IS NOT NULL",
+    "trial_sheet",
+)
+def report_rejects(spark, sf):
+    """The spoilt cells of the same sheet, out of the pass that reads it for the report."""
+    rejects = R.Rejects()
+    R.trial_balance_facts(_spoilt(spark, sf), R.BOTH, Staging(spark), rejects)
+    return rejects.cells().drop("sheet")

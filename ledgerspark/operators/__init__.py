@@ -35,6 +35,7 @@ from .tidy import (
     override_cash,
     profile_counts,
     recode,
+    rejects,
     union_components,
     union_with_origin,
 )
@@ -52,6 +53,7 @@ __all__ = [
     "extend_to_group_end",
     "fill_defaults",
     "rejected_cells",
+    "rejects",
     "filter_account",
     "flag_first_seen",
     "forward_fill",

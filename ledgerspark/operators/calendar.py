@@ -100,19 +100,20 @@ def expand_seen_so_far(
     """Give every item, once seen, a row on each later date of its scope; missing rows hold 0.
 
     Dates are those present for the scope, so a gap of the whole scope stays a gap. The dates of a
-    scope travel as one array, never longer than the calendar.
+    scope travel as one sorted array, never longer than the calendar; an item's first date is one of
+    them, and only the part from there on is turned into rows.
     """
     first_seen = df.groupBy(*scope, *items).agg(F.min(date).alias("_first"))
     dates = (
         df.select(*scope, date)
         .distinct()
         .groupBy(*scope)
-        .agg(F.collect_list(date).alias("_dates"))
+        .agg(F.sort_array(F.collect_list(date)).alias("_dates"))
     )
+    later = F.slice("_dates", F.array_position("_dates", F.col("_first")), F.size("_dates"))
     zeros = (
         first_seen.join(dates, list(scope))
-        .withColumn(date, F.explode("_dates"))
-        .where(F.col(date) >= F.col("_first"))
+        .withColumn(date, F.explode(later))
         .select(*scope, *items, date, *[F.lit(0).cast(df.schema[m].dataType).alias(m) for m in measures])
     )
     rows = df.select(*scope, *items, date, *measures).unionByName(zeros)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
@@ -60,6 +60,17 @@ def union_with_origin(parts: Mapping[str, DataFrame], origin: str = "origin") ->
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), labelled)
 
 
+def rejects(*, dates: Sequence[str] = (), numbers: Sequence[str] = (), formats: Sequence[str] = ANY_DATE) -> Column:
+    """The text cells of a row that are neither empty nor a date or number, as an array of ``column`` and ``text``."""
+    parsed = {c: parse_multi_date(c, formats, strict=False) for c in dates}
+    parsed |= {c: parse_locale_number(c, strict=False) for c in numbers}
+    cells = [
+        F.when(F.col(c).isNotNull() & value.isNull(), F.struct(F.lit(c).alias("column"), F.col(c).alias("text")))
+        for c, value in parsed.items()
+    ]
+    return F.array_compact(F.array(*cells))
+
+
 def rejected_cells(
     df: DataFrame, keys: Sequence[str], *, dates: Sequence[str] = (), numbers: Sequence[str] = (), formats: Sequence[str] = ANY_DATE
 ) -> DataFrame:
@@ -67,13 +78,7 @@ def rejected_cells(
 
     The strict parsers fail a job on such cells; a caller that parses leniently lists here what it sets aside.
     """
-    parsed = {c: parse_multi_date(c, formats, strict=False) for c in dates}
-    parsed |= {c: parse_locale_number(c, strict=False) for c in numbers}
-    cells = [
-        F.when(F.col(c).isNotNull() & value.isNull(), F.struct(F.lit(c).alias("column"), F.col(c).alias("text")))
-        for c, value in parsed.items()
-    ]
-    return df.select(*keys, F.inline(F.array_compact(F.array(*cells))))
+    return df.select(*keys, F.inline(rejects(dates=dates, numbers=numbers, formats=formats)))
 
 
 def profile_counts(df: DataFrame) -> DataFrame:

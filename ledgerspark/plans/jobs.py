@@ -14,6 +14,9 @@ from ..sources.publication import Publication
 from ..sources.staging import Staging
 from . import reports as R
 
+# What the published tables of unreadable cells are called, before the name of their sheets.
+REJECTED = "Отклонённые ячейки"
+
 OTHERS = [c for c in L.COMPONENTS if c != L.REVENUE]
 
 # The workbooks each report reads.
@@ -30,29 +33,29 @@ NEEDS: dict[str, list[str]] = {
 class Sources:
     """Landed rows and what several reports derive from them; both are written once.
 
-    ``written`` rows are a table already and are not copied.
+    ``written`` rows are a table already and are not copied. ``rejects`` sets unreadable cells aside.
     """
 
-    def __init__(self, landed: DataFrame, stage: R.Stage, reports: Iterable[str], written: bool = False):
+    def __init__(self, landed: DataFrame, stage: R.Stage, reports: Iterable[str], written: bool = False, rejects: R.Rejects | None = None):
         kinds = sorted({k for r in reports for k in NEEDS[r]})
         rows = landed.where(F.col("kind").isin(*kinds))
-        self.stage = stage
+        self.stage, self.rejects = stage, rejects
         self.rows = rows if written else stage(rows)
 
     @cached_property
     def trial_facts(self) -> DataFrame:
         """Cash desk and bank accounts out of one pass over the trial balances."""
-        return self.stage(R.trial_balance_facts(W.trial_sheet(self.rows), R.BOTH, self.stage))
+        return self.stage(R.trial_balance_facts(W.trial_sheet(self.rows), R.BOTH, self.stage, self.rejects))
 
 
 def _cash_flow(s: Sources) -> DataFrame:
     desk = s.trial_facts.where(F.col("origin") == L.CASH).drop("origin").withColumnRenamed("item", R.CASH_DESK.item)
-    return R.cash_flow_from_facts(W.bank_statements(s.rows), W.dictionary(s.rows), desk, s.stage)
+    return R.cash_flow_from_facts(W.bank_statements(s.rows), W.dictionary(s.rows), desk, s.stage, s.rejects)
 
 
 def _statement(s: Sources) -> DataFrame:
     revenue, deductions = W.outline_sheet(s.rows, L.REVENUE), W.outline_sheet(s.rows, L.DEDUCTIONS)
-    return R.pnl_statement(revenue, deductions, W.outline_sheet(s.rows, *OTHERS), s.stage)
+    return R.pnl_statement(revenue, deductions, W.outline_sheet(s.rows, *OTHERS), s.stage, s.rejects)
 
 
 BUILD: dict[str, Callable[[Sources], DataFrame]] = {
@@ -60,7 +63,7 @@ BUILD: dict[str, Callable[[Sources], DataFrame]] = {
     "ОСВ 50": lambda s: R.trial_report(s.trial_facts, R.CASH_DESK, L.CASH),
     "ОСВ 51": lambda s: R.trial_report(s.trial_facts, R.BANK_ACCOUNTS, L.BANK),
     "ОСВ 50_51": lambda s: R.both_reports(s.trial_facts),
-    "ОСВ 66_67": lambda s: R.debt_daily(W.debt_sheet(s.rows), s.stage),
+    "ОСВ 66_67": lambda s: R.debt_daily(W.debt_sheet(s.rows), s.stage, s.rejects),
     "ОФР": _statement,
 }
 
@@ -82,12 +85,15 @@ def publish(
     fmt: str = "csv",
     written: bool = False,
     build: Mapping[str, Callable[[Sources], DataFrame]] | None = None,
+    set_aside: bool = False,
 ) -> dict[str, Profile]:
     """Build and publish the named reports, all by default; every landed workbook is read once.
 
     ``reports`` may name the groups that each report replaces; without, a report replaces all its groups. The reports
     become visible together, when the last one is built; a group without rows loses its folder. ``written`` says that
-    ``landed`` is a written table, ``build`` has other builders of some reports. Returns the profile of every report (column, type, rows, non-null values).
+    ``landed`` is a written table, ``build`` has other builders of some reports. Without ``set_aside`` the job fails at a cell that
+    cannot be read; with it, the cell's row is left out, and the cells are published with the reports, a table for each kind
+    of sheet (REJECTED and the sheet's name). Returns the profile of every report (column, type, rows, non-null values).
     """
     build = {**BUILD, **(build or {})}
     groups: dict[str, list[str] | None]
@@ -100,9 +106,12 @@ def publish(
     with Staging(spark) as stage, Publication(spark, out, fmt) as publication:
         for names, wanted in by_groups(groups):
             own = landed if wanted is None else landed.where(F.col("grp").isin(wanted))
-            sources = Sources(own, stage, names, written)
+            rejects = R.Rejects() if set_aside else None
+            sources = Sources(own, stage, names, written, rejects)
             for name in names:
                 publication.write(build[name](sources), name, wanted)
+            for sheet, cells in rejects.tables.items() if rejects else ():
+                publication.add(cells, f"{REJECTED} {sheet}", wanted)
     return publication.profiles
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as X
@@ -30,8 +30,48 @@ def as_is(df: DataFrame) -> DataFrame:
     return df
 
 
+MOVEMENTS = ["receipt", "payment"]
+
+
+class Rejects:
+    """Cells that cannot be read, set aside by the pass that reads the sheets.
+
+    A report that is given one doesn't fail at such a cell: the cell's row takes no part in it, and is found in ``cells``
+    (grp, company, source_file, row_no, column, text) under the name of its sheets. Sheets are staged with what was
+    rejected in them, so the cells cost no scan of their own.
+    """
+
+    def __init__(self) -> None:
+        self.tables: dict[str, DataFrame] = {}
+
+    def __call__(
+        self, name: str, rows: DataFrame, stage: Stage, *,
+        dates: Sequence[str] = (), numbers: Sequence[str] = (), where: Column | None = None, keep: str | None = None,
+    ) -> DataFrame:
+        """The staged rows without those that have a rejected cell.
+
+        Only rows for which ``where`` holds are looked at. Rows whose only rejected cells are of the column ``keep`` stay.
+        """
+        cells = O.rejects(dates=dates, numbers=numbers, formats=ANY_DATE)
+        staged = stage(rows.withColumn("_rejected", cells if where is None else F.when(where, cells)))
+        self.tables[name] = staged.where(F.size("_rejected") > 0).select(*FILE, "row_no", F.inline("_rejected"))
+        bad = F.exists("_rejected", lambda cell: F.lit(True) if keep is None else cell["column"] != keep)
+        return staged.where(~F.coalesce(bad, F.lit(False))).drop("_rejected")
+
+    def cells(self) -> DataFrame | None:
+        tables = [table.withColumn("sheet", F.lit(name)) for name, table in self.tables.items()]
+        return O.union_components(*tables) if tables else None
+
+
 def _with_movements(rows: DataFrame) -> DataFrame:
-    return rows.withColumns({c: X.parse_locale_number(c) for c in ("receipt", "payment")})
+    return rows.withColumns({c: X.parse_locale_number(c) for c in MOVEMENTS})
+
+
+def _read(rows: DataFrame, stage: Stage, rejects: Rejects | None, name: str) -> DataFrame:
+    """Staged rows of a stacked sheet, whose dated rows have movements."""
+    if rejects is None:
+        return stage(rows)
+    return rejects(name, rows, stage, numbers=MOVEMENTS, where=F.col("date").isNotNull())
 
 
 # --- trial balances -------------------------------------------------------------------------
@@ -52,7 +92,9 @@ TRIAL_PREAMBLE = 4
 DEBT_PREAMBLE = 6
 
 
-def trial_balance_facts(sheet: DataFrame, reports: dict[str, TrialBalance], stage: Stage = as_is) -> DataFrame:
+def trial_balance_facts(
+    sheet: DataFrame, reports: dict[str, TrialBalance], stage: Stage = as_is, rejects: Rejects | None = None
+) -> DataFrame:
     """Receipts and payments per report (its label is ``origin``), organisation, item and date.
 
     ``sheet``: grp, company, source_file, row_no, stacked, dim, receipt, payment (text cells). All
@@ -60,7 +102,8 @@ def trial_balance_facts(sheet: DataFrame, reports: dict[str, TrialBalance], stag
     """
     rows = O.classify_stacked(O.skip_preamble(sheet, TRIAL_PREAMBLE), X.cash_bank_rules)
     rows = rows.select(*FILE, "row_no", "account", "org", "date", F.col("dim").alias("item"), "receipt", "payment")
-    rows = O.forward_fill_steps(stage(rows), [(["account"], []), (["org", "item"], ["account"])])
+    rows = _read(rows, stage, rejects, L.TRIAL_BALANCE)
+    rows = O.forward_fill_steps(rows, [(["account"], []), (["org", "item"], ["account"])])
     origin = F.lit(None).cast("string")
     for label, report in reports.items():
         origin = F.when(X.account_filter("account", **report.account), F.lit(label)).otherwise(origin)
@@ -69,7 +112,7 @@ def trial_balance_facts(sheet: DataFrame, reports: dict[str, TrialBalance], stag
     return O.ledger_sum(rows, [*FILE, "origin", "org", "item", "date"], ["receipt", "payment"])
 
 
-def debt_facts(sheet: DataFrame, stage: Stage = as_is) -> DataFrame:
+def debt_facts(sheet: DataFrame, stage: Stage = as_is, rejects: Rejects | None = None) -> DataFrame:
     """Receipts and payments per organisation, creditor, contract, debt class and date.
 
     ``sheet``: grp, company, source_file, row_no, stacked, creditor, receipt, payment (text cells).
@@ -77,7 +120,7 @@ def debt_facts(sheet: DataFrame, stage: Stage = as_is) -> DataFrame:
     rows = O.classify_stacked(O.skip_preamble(sheet, DEBT_PREAMBLE), X.debt_rules, "creditor")
     rows = rows.select(*FILE, "row_no", "account", "org", "creditor", "contract", "date", "receipt", "payment")
     rows = O.forward_fill_steps(
-        stage(rows),
+        _read(rows, stage, rejects, L.DEBT_BALANCE),
         [(["account"], []), (["org", "creditor"], ["account"]), (["contract"], ["account", "creditor"])],
     )
     rows = _with_movements(rows.where(F.col("date").isNotNull()))
@@ -123,8 +166,8 @@ def coverage_tails(totals: DataFrame, coverage: DataFrame, keys: Sequence[str],
     )
 
 
-def trial_balance_daily(sheet: DataFrame, report: TrialBalance, stage: Stage = as_is) -> DataFrame:
-    return trial_report(stage(trial_balance_facts(sheet, {"": report}, stage)), report, "")
+def trial_balance_daily(sheet: DataFrame, report: TrialBalance, stage: Stage = as_is, rejects: Rejects | None = None) -> DataFrame:
+    return trial_report(stage(trial_balance_facts(sheet, {"": report}, stage, rejects)), report, "")
 
 
 def trial_report(facts: DataFrame, report: TrialBalance, label: str) -> DataFrame:
@@ -133,8 +176,8 @@ def trial_report(facts: DataFrame, report: TrialBalance, label: str) -> DataFram
     return balances_by_day(own, ["item"]).withColumnRenamed("item", report.item)
 
 
-def debt_daily(sheet: DataFrame, stage: Stage = as_is) -> DataFrame:
-    return balances_by_day(stage(debt_facts(sheet, stage)), DEBT_ITEM)
+def debt_daily(sheet: DataFrame, stage: Stage = as_is, rejects: Rejects | None = None) -> DataFrame:
+    return balances_by_day(stage(debt_facts(sheet, stage, rejects)), DEBT_ITEM)
 
 
 def cash_and_bank_daily(sheet: DataFrame, stage: Stage = as_is) -> DataFrame:
@@ -174,28 +217,47 @@ DEDUCTION_OUTLINE = Outline(6, {0: "org", 3: "date", 5: "operation"}, "operation
 NEGATED = [L.COST_OF_SALES, L.COMMERCIAL_COSTS, L.ADMINISTRATIVE_COSTS, L.OTHER_COSTS, L.INCOME_TAX]
 WITH_TAX_ID = [L.REVENUE, L.COST_OF_SALES]
 
+# The sheets of the indicators that share the cost outline, in the table of rejected cells.
+COSTS = "ОФР"
+
 COMPONENT_KEYS = [*FILE, "indicator", "org", "item_kind", "item"]
 
 
-def outline_rows(sheet: DataFrame, outline: Outline) -> DataFrame:
+def outline_rows(
+    sheet: DataFrame, outline: Outline, stage: Stage = as_is, rejects: Rejects | None = None, name: str = ""
+) -> DataFrame:
     """Leaf rows of outline reports with parsed date and amount.
 
-    ``sheet``: grp, company, source_file, indicator, row_no, level, c0, c1.
+    ``sheet``: grp, company, source_file, indicator, row_no, level, c0, c1. With ``rejects``, a leaf below a date that
+    cannot be read has a null date.
     """
     body = O.skip_preamble(sheet, outline.preamble).select(*FILE, "indicator", "row_no", "level", "c0", "c1")
+    if rejects is not None:
+        level = {label: depth for depth, label in outline.levels.items()}
+        cells = {"date": ("c0", level["date"]), "change": ("c1", level[outline.leaf])}
+        body = body.withColumns({c: F.when(F.col("level") == depth, F.col(cell)) for c, (cell, depth) in cells.items()})
+        # the row of a bad date stays: what lies below it must not go to the date above
+        kept = rejects(name, body, stage, dates=["date"], numbers=["change"], keep="date")
+        body = kept.drop("date", "change")
     rows = O.outline_flatten(body, outline.levels, outline.leaf)
-    return rows.withColumns({"date": X.parse_multi_date("date", ANY_DATE), "change": X.parse_locale_number("change")})
+    strict = rejects is None
+    return rows.withColumns({"date": X.parse_multi_date("date", ANY_DATE, strict), "change": X.parse_locale_number("change", strict)})
 
 
 def component_facts(
-    sheet: DataFrame, outline: Outline = COST_OUTLINE, deductions: DataFrame | None = None
+    sheet: DataFrame,
+    outline: Outline = COST_OUTLINE,
+    deductions: DataFrame | None = None,
+    stage: Stage = as_is,
+    rejects: Rejects | None = None,
 ) -> DataFrame:
     """Change per indicator, organisation, kind, item and date, signed as in the statement.
 
     All sheets of one outline go through together. ``deductions`` is the sheet whose operations
     are taken off the rows of the same company, organisation, date and operation.
     """
-    rows = O.fill_defaults(outline_rows(sheet, outline), {"item": L.MISSING_TEXT})
+    name = L.REVENUE if deductions is not None else COSTS
+    rows = O.fill_defaults(outline_rows(sheet, outline, stage, rejects, name), {"item": L.MISSING_TEXT})
     keys = [*COMPONENT_KEYS, "date"]
     if deductions is not None:
         rows = (
@@ -204,7 +266,7 @@ def component_facts(
             .agg(F.coalesce(F.sum("change"), F.lit(0)).alias("change"), F.count("change").alias("rows"))
         )
         operation = ["grp", "company", "org", "date", "operation"]
-        rows = O.net_of(rows, outline_rows(deductions, DEDUCTION_OUTLINE), operation, rows="rows")
+        rows = O.net_of(rows, outline_rows(deductions, DEDUCTION_OUTLINE, stage, rejects, L.DEDUCTIONS), operation, rows="rows")
     indicator = F.col("indicator")
     label = F.when(indicator.isin(WITH_TAX_ID), X.split_last_comma("item")).otherwise(F.col("item"))
     signed = F.when(indicator.isin(NEGATED), -F.col("change")).otherwise(F.col("change"))
@@ -252,14 +314,14 @@ def statement_from_facts(facts: DataFrame) -> DataFrame:
 
 
 def pnl_statement(
-    revenue: DataFrame, deductions: DataFrame, others: DataFrame, stage: Stage = as_is
+    revenue: DataFrame, deductions: DataFrame, others: DataFrame, stage: Stage = as_is, rejects: Rejects | None = None
 ) -> DataFrame:
     """The statement from its sheets; an indicator without a sheet counts as zeros.
 
     ``others`` holds the sheets of the six indicators that share the cost outline.
     """
     facts = O.union_components(
-        component_facts(revenue, REVENUE_OUTLINE, deductions), component_facts(others, COST_OUTLINE)
+        component_facts(revenue, REVENUE_OUTLINE, deductions, stage, rejects), component_facts(others, COST_OUTLINE, None, stage, rejects)
     )
     return statement_from_facts(stage(facts))
 
@@ -267,12 +329,14 @@ def pnl_statement(
 # --- cash flow ------------------------------------------------------------------------------
 
 
-def bank_rows(statements: DataFrame) -> DataFrame:
+def bank_rows(statements: DataFrame, stage: Stage = as_is, rejects: Rejects | None = None) -> DataFrame:
     """Parsed bank statement lines.
 
     ``statements``: grp, company, source_file, row_no, date, receipt, payment, purpose,
     counterparty, inn, op_type, org, bank_account (text cells).
     """
+    if rejects is not None:
+        statements = rejects(L.BANK_STATEMENTS, statements, stage, dates=["date"], numbers=MOVEMENTS)
     return statements.select(
         *FILE,
         "row_no",
@@ -301,7 +365,7 @@ def cash_flow(
 
 
 def cash_flow_from_facts(
-    statements: DataFrame, dictionary: DataFrame, cash_desk: DataFrame, stage: Stage = as_is
+    statements: DataFrame, dictionary: DataFrame, cash_desk: DataFrame, stage: Stage = as_is, rejects: Rejects | None = None
 ) -> DataFrame:
     """Signed cash flow of bank accounts and cash desk, with first-seen counterparties flagged.
 
@@ -310,7 +374,7 @@ def cash_flow_from_facts(
     rows without movement only, which do not count here.
     """
     entry = ["movement_kind", "item_group"]
-    bank = O.map_dictionary(bank_rows(statements), dictionary, "op_type", ["cf_item", *entry])
+    bank = O.map_dictionary(bank_rows(statements, stage, rejects), dictionary, "op_type", ["cf_item", *entry])
     desk = O.split_two_way(O.nonzero_movements(cash_desk))
     desk = O.map_dictionary(desk, dictionary, "cf_item", entry, first_only=True)
 

@@ -43,7 +43,10 @@ class Publication:
         stands for all groups, those included that are published and no longer in ``df``. The report's profile (column, type,
         rows, non-null values) is counted by the write itself.
         """
-        shown = published(df, report)
+        self.add(published(df, report), report, groups)
+
+    def add(self, shown: DataFrame, report: str, groups: Iterable[str] | None = None) -> None:
+        """Write a table that has the published columns already, and ``grp``."""
         if groups is not None:
             groups = set(groups)
             shown = shown.where(F.col("grp").isin(sorted(groups)))

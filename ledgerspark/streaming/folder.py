@@ -63,6 +63,7 @@ def run_stream(
     patience: float = 600,
     batch_files: int = BATCH_FILES,
     balances: str | None = None,
+    set_aside: bool = False,
 ) -> FolderStream:
     """Land and publish what has arrived and stop, or look again ``every`` interval.
 
@@ -70,7 +71,7 @@ def run_stream(
     group's workbooks are complete and none has come for so many seconds, for ``patience`` seconds at most (see ``gate``);
     without ``settle`` each batch is published at once. A batch lands ``batch_files`` workbooks at most. Landed workbooks stay
     where they are; ``archive`` moves them there. ``balances`` is a folder that keeps the balances of trial balances and debts
-    between batches.
+    between batches; they fail at cells that cannot be read, the other reports can set these aside (see ``jobs.publish``).
     """
     Files(spark, landed).make(ARRIVALS)
     names = list(BUILD if reports is None else reports)
@@ -81,7 +82,7 @@ def run_stream(
 
     def show(batch: DataFrame, _: int) -> None:
         rows = batch.collect()  # one row for each group and report, or kind, of a batch
-        refresh(batch.sparkSession, landed, out, [((r["report"],) if gated else reports_of([r["kind"]], names), r["grp"]) for r in rows], fmt, balances)
+        refresh(batch.sparkSession, landed, out, [((r["report"],) if gated else reports_of([r["kind"]], names), r["grp"]) for r in rows], fmt, balances, set_aside)
 
     landing_query, trigger = None, {"processingTime": every} if every else {"availableNow": True}
     if every:
@@ -98,7 +99,7 @@ def run_stream(
 
 
 def refresh(
-    spark: SparkSession, landed: str, out: str, due: Sequence[tuple[Sequence[str], str]], fmt: str = "csv", balances: str | None = None
+    spark: SparkSession, landed: str, out: str, due: Sequence[tuple[Sequence[str], str]], fmt: str = "csv", balances: str | None = None, set_aside: bool = False
 ) -> Mapping[str, list[str]]:
     """Publish some reports of some groups from the landed rows; returns the groups of each report."""
     groups: dict[str, set[str]] = {}
@@ -113,7 +114,7 @@ def refresh(
             kept.sync(landed)
             build = kept.reports()
         rows = landed_groups(spark, landed, set().union(*groups.values()))
-        publish(spark, rows, out, wanted, fmt, written=True, build=build)
+        publish(spark, rows, out, wanted, fmt, written=True, build=build, set_aside=set_aside)
     return wanted
 
 

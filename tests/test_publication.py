@@ -292,3 +292,55 @@ def test_a_split_drop_is_published_whole_and_waits_no_longer_than_patience(spark
     finally:
         stream.stop()
     assert not stream.isActive
+
+
+# --- cells that cannot be read --------------------------------------------------------------------
+
+
+def spoilt_costs():
+    return workbook([*[TITLE] * 6, (0, ["ООО Ромашка"]), (3, ["Вид"]), (4, ["Сырьё,77"]), (5, ["02.01.2024", "5"]), (5, ["32.01.2024", "7"]), (5, ["03.01.2024", "9 руб"])])
+
+
+def spoilt_deductions():
+    return workbook([*[TITLE] * 6, (0, ["ООО Ромашка"]), (3, ["01.01.2024"]), (4, ["Док"]), (5, ["Оп 1", "20"]), (3, ["вчера"]), (5, ["Оп 1", "1"])])
+
+
+def test_unreadable_cells_are_set_aside_by_the_same_pass(spark, tmp_path, out):
+    source = tmp_path / "landing"
+    source.mkdir()
+    fill(source)
+    landed = land_workbooks(spark, str(source))
+    jobs.publish(spark, landed, f"{out}-clean", set_aside=True)
+    jobs.publish(spark, landed, f"{out}-strict")
+    for report in jobs.BUILD:
+        assert shown(spark, f"{out}-clean", report) == shown(spark, f"{out}-strict", report)
+    name = lambda kind: f"(Г){kind}_Альфа.xlsx"
+    (source / name(L.COST_OF_SALES)).write_bytes(spoilt_costs())
+    (source / name(L.DEDUCTIONS)).write_bytes(spoilt_deductions())
+    head = ["Дата", "Поступление", "Списание", "Организация"]
+    (source / name(L.BANK_STATEMENTS)).write_bytes(workbook([head, ["02.01.2024", "10,00", None, "О"], ["2024", "1", "2", "О"], ["03.01.2024", "x", "y", "О"]]))
+    landed = land_workbooks(spark, str(source))
+    with pytest.raises(Exception, match="not a date|CAST_INVALID_INPUT|cannot be cast"):
+        jobs.publish(spark, landed, f"{out}-strict")
+    opened = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            opened.add(int((batch["row_no"] == 0).sum()))
+            yield batch
+
+    jobs.publish(spark, landed.mapInPandas(count, landed.schema), out, set_aside=True)
+    assert opened.value == landed.where("row_no = 0").count()
+    cells = {
+        sheet: rows(spark.read.option("header", True).csv(f"{out}/{jobs.REJECTED} {sheet}"), "row_no", "column", "text")
+        for sheet in (L.BANK_STATEMENTS, L.DEDUCTIONS, R.COSTS)
+    }
+    assert cells == {
+        L.BANK_STATEMENTS: [("1", "date", "2024"), ("2", "payment", "y"), ("2", "receipt", "x")],
+        L.DEDUCTIONS: [("10", "date", "вчера")],
+        R.COSTS: [("11", "change", "9 руб"), ("10", "date", "32.01.2024")][::-1],
+    }
+    flow = spark.read.option("header", True).csv(f"{out}/ОДДС").where(F.col("Источник") == L.BANK)
+    assert rows(flow, "Дата", "Денежный поток") == [("2024-01-02", "10.00")]
+    costs = spark.read.option("header", True).csv(f"{out}/ОФР").where((F.col("Показатель") == L.COST_OF_SALES) & (F.col("Дата") == "2024-01-03"))
+    assert {r[0] for r in rows(costs, "Конечный остаток")} == {"-5.00"}
