@@ -14,6 +14,7 @@ from .mapping import map_dictionary, net_of
 from .shape import (
     classify_stacked,
     forward_fill,
+    fill_from_headers,
     forward_fill_steps,
     outline_flatten,
     skip_preamble,
@@ -57,6 +58,7 @@ __all__ = [
     "filter_account",
     "flag_first_seen",
     "forward_fill",
+    "fill_from_headers",
     "forward_fill_steps",
     "key_totals",
     "last_date",

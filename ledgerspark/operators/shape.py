@@ -60,10 +60,9 @@ def forward_fill_steps(
     All steps share one shuffle by source and block.
     """
     filled = df.withColumn("_block", F.floor(F.col(order) / block_rows))
-    # Only sources longer than a block hand values on. There is at most one of them per
-    # ``block_rows`` rows of input, which bounds the broadcast; where there is none, adaptive
-    # execution drops everything that hangs on it.
-    long_sources = F.broadcast(df.where(F.col(order) >= block_rows).select(*source).distinct())
+    # Only sources longer than a block hand values on; where there is none, adaptive execution
+    # drops everything that hangs on them.
+    long_sources = df.where(F.col(order) >= block_rows).select(*source).distinct()
     used = dict.fromkeys(c for cols, within in steps for c in (*cols, *within))
     long_rows = filled.select(*source, "_block", order, *used).join(long_sources, list(source), "left_semi")
     for n, (cols, within) in enumerate(steps):
@@ -75,6 +74,45 @@ def forward_fill_steps(
     return filled.select(*df.columns)
 
 
+def fill_from_headers(
+    df: DataFrame,
+    steps: Sequence[tuple[Sequence[str], Sequence[str]]],
+    *,
+    order: str = "row_no",
+    source: Sequence[str] = SOURCE,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """``forward_fill_steps`` for sheets where few rows have a value in any of the columns to fill: their headers.
+
+    A header row holds for the rows below it up to the next one. So the steps are taken on the headers alone, and all
+    rows get the state of their last header in one pass: the rows are sorted once, however many steps there are.
+    """
+    cols = list(dict.fromkeys(c for own, _ in steps for c in own))
+    is_header = _any_present(cols)
+    headers = forward_fill_steps(df.where(is_header), steps, order=order, source=source, block_rows=block_rows)
+    state = F.struct(*cols)
+    marked = headers.withColumn("_state", state).unionByName(df.where(~is_header), allowMissingColumns=True)
+    marked = marked.withColumn("_block", F.floor(F.col(order) / block_rows))
+    so_far = Window.partitionBy(*source, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = marked.withColumn("_state", F.last("_state", ignorenulls=True).over(so_far))
+    # what the blocks of a long source receive: the last header of the blocks before
+    ends = headers.withColumn("_block", F.floor(F.col(order) / block_rows)).groupBy(*source, "_block").agg(F.max_by(state, order).alias("_carried"))
+    following = Window.partitionBy(*source).orderBy("_block")
+    spans = ends.select(
+        *[F.col(c).alias(f"_on_{c}") for c in source], "_carried", (F.col("_block") + 1).alias("_from"), F.lead("_block").over(following).alias("_to")
+    )
+    last_blocks = df.where(F.col(order) >= block_rows).groupBy(*[F.col(c).alias(f"_on_{c}") for c in source]).agg(F.floor(F.max(order) / block_rows).alias("_end"))
+    received = (
+        spans.join(last_blocks, [f"_on_{c}" for c in source])
+        .withColumn("_to", F.least(F.coalesce("_to", "_end"), "_end"))
+        .where("_from <= _to")
+        .select(*[f"_on_{c}" for c in source], "_carried", F.explode(F.sequence("_from", "_to")).alias("_on__block"))
+    )
+    matched = [F.col(c) == F.col(f"_on_{c}") for c in (*source, "_block")]
+    filled = F.coalesce("_state", "_carried")
+    return local.join(received, matched, "left").withColumns({c: filled[c] for c in cols}).select(*df.columns)
+
+
 def _handed_over(long_rows: DataFrame, cols: list[str], order: str, scope: list[str]) -> DataFrame:
     """What each block receives per scope: the last values of the blocks before it."""
     last_of_block = long_rows.groupBy(*scope, "_block").agg(

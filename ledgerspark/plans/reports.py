@@ -119,7 +119,7 @@ def debt_facts(sheet: DataFrame, stage: Stage = as_is, rejects: Rejects | None =
     """
     rows = O.classify_stacked(O.skip_preamble(sheet, DEBT_PREAMBLE), X.debt_rules, "creditor")
     rows = rows.select(*FILE, "row_no", "account", "org", "creditor", "contract", "date", "receipt", "payment")
-    rows = O.forward_fill_steps(
+    rows = O.fill_from_headers(
         _read(rows, stage, rejects, L.DEBT_BALANCE),
         [(["account"], []), (["org", "creditor"], ["account"]), (["contract"], ["account", "creditor"])],
     )

@@ -1,7 +1,7 @@
 from .files import Files
 from .publication import Publication, recover
 from .sinks import published, write_report
-from .staging import Staging, scratch_dir
+from .staging import Staging, scope, scratch_dir
 from .workbooks import decode_workbooks, find_workbooks, land_workbooks
 
 __all__ = [
@@ -13,6 +13,7 @@ __all__ = [
     "land_workbooks",
     "published",
     "recover",
+    "scope",
     "scratch_dir",
     "write_report",
 ]

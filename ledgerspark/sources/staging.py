@@ -7,18 +7,24 @@ executors.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
-import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .files import Files
 
-def scratch_dir(spark: SparkSession) -> str | None:
-    """The session's checkpoint folder. Where none is set: a temporary one in local mode, or None."""
+
+def scratch_dir(spark: SparkSession) -> str:
+    """The session's checkpoint folder. Where none is set: a temporary one in local mode, an error on a cluster."""
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if configured is None and context.master.startswith("local"):
+    if configured is None:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: there is no shared folder to write intermediate tables to")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerspark-"))
         configured = context.getCheckpointDir()
     return configured
@@ -27,24 +33,22 @@ def scratch_dir(spark: SparkSession) -> str | None:
 class Staging:
     """A folder of staged tables for one job; calling it stages a DataFrame.
 
-    On a cluster without a shared folder tables stay lazy. As a context manager it deletes its
-    folder at the end::
+    As a context manager it deletes its folder at the end::
 
         with Staging(spark) as stage:
             write_report(debt_daily(sheet, stage=stage), path)
+
+    Otherwise the folder goes with the ``scope`` that it was made in, or, as a lazy result may still read it, when the
+    session's process ends.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        base = scratch_dir(spark)
-        if base is None:
-            warnings.warn("spark.checkpoint.dir is not set: staged tables stay lazy and are derived anew for each use", stacklevel=2)
-        self.path = base and f"{base.rstrip('/')}/staged-{uuid.uuid4().hex}"
+        self.path = f"{scratch_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
         self.count = 0
+        _SCOPES[-1].append(self)
 
     def __call__(self, df: DataFrame) -> DataFrame:
-        if self.path is None:
-            return df
         self.count += 1
         path = f"{self.path}/{self.count}"
         df.write.parquet(path)
@@ -52,15 +56,35 @@ class Staging:
 
     def folder(self) -> str:
         """The folder's path, for callers that write to it themselves."""
-        if self.path is None:
-            raise ValueError("spark.checkpoint.dir is not set: there is no shared folder to write to")
         return self.path
 
+    def delete(self) -> None:
+        Files(self.spark, self.path).delete()
+
     def __enter__(self) -> Staging:
         return self
 
     def __exit__(self, *_: object) -> None:
-        if self.path is None:
-            return
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self.delete()
+
+
+# Folders of open scopes; the first list is the process itself.
+_SCOPES: list[list[Staging]] = [[]]
+
+
+@contextmanager
+def scope() -> Iterator[None]:
+    """What is staged inside is deleted at the end: for steps whose result has been written by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for stage in _SCOPES.pop():
+            stage.delete()
+
+
+@atexit.register
+def _delete_all() -> None:
+    for stage in _SCOPES[0]:
+        if stage.spark.sparkContext._jsc is not None:
+            stage.delete()

@@ -9,8 +9,10 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+from array import array
 from collections.abc import Iterator, Sequence
 from datetime import datetime, timedelta
+from typing import IO
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -211,17 +213,49 @@ def _frame(rows: list) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["source_file", "kind", "row_no", "level", "cells", "fields"])
 
 
+def _elements(stream: IO[bytes], tag: str) -> Iterator[tuple[ElementTree.Element, ElementTree.Element]]:
+    """Every element of a tag, and the one it lies in, as soon as it is read.
+
+    The caller clears the outer one when done: an element that is only emptied would stay in it, and a sheet has a million.
+    """
+    above: list[ElementTree.Element] = []
+    for event, node in ElementTree.iterparse(stream, ("start", "end")):
+        if event == "start":
+            above.append(node)
+            continue
+        above.pop()
+        if _tag(node) == tag:
+            yield node, above[-1]
+
+
+class Strings:
+    """Strings in one buffer, found by their offsets: 8 bytes a string beside its text."""
+
+    def __init__(self) -> None:
+        self.text, self.ends = bytearray(), array("Q", [0])
+
+    def append(self, text: str) -> None:
+        self.text += text.encode("utf-8", "surrogatepass")
+        self.ends.append(len(self.text))
+
+    def __len__(self) -> int:
+        return len(self.ends) - 1
+
+    def __getitem__(self, i: int) -> str:
+        if not 0 <= i < len(self):
+            raise IndexError(f"no shared string {i}")
+        return self.text[self.ends[i] : self.ends[i + 1]].decode("utf-8", "surrogatepass")
+
+
 def _sheet_rows(content: bytes) -> Iterator[tuple[int, int, list[str | None]]]:
     """(row number from 0, outline level, cell texts) of the first sheet, read as a stream."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         parts = set(book.namelist())
-        strings = _shared_strings(book) if "xl/sharedStrings.xml" in parts else []
+        strings = _shared_strings(book) if "xl/sharedStrings.xml" in parts else Strings()
         dated = _date_styles(book) if "xl/styles.xml" in parts else set()
         with book.open(_first_sheet(book)) as sheet:
             next_row = 0
-            for _, node in ElementTree.iterparse(sheet):
-                if _tag(node) != "row":
-                    continue
+            for node, rows in _elements(sheet, "row"):
                 row_no = int(node.get("r", next_row + 1)) - 1
                 next_row = row_no + 1
                 cells: list[str | None] = []
@@ -230,7 +264,7 @@ def _sheet_rows(content: bytes) -> Iterator[tuple[int, int, list[str | None]]]:
                     cells.extend([None] * (place - len(cells)))
                     cells.append(_text(cell, strings, dated))
                 yield row_no, int(node.get("outlineLevel", 0)), cells
-                node.clear()
+                rows.clear()
 
 
 def _tag(node: ElementTree.Element) -> str:
@@ -247,11 +281,13 @@ def _first_sheet(book: zipfile.ZipFile) -> str:
     raise ValueError("workbook without a first sheet")
 
 
-def _shared_strings(book: zipfile.ZipFile) -> list[str]:
-    return [
-        "".join(t.text or "" for t in item.iter() if _tag(t) == "t")
-        for item in ElementTree.fromstring(book.read("xl/sharedStrings.xml"))
-    ]
+def _shared_strings(book: zipfile.ZipFile) -> Strings:
+    strings = Strings()
+    with book.open("xl/sharedStrings.xml") as stream:
+        for item, table in _elements(stream, "si"):
+            strings.append("".join(t.text or "" for t in item.iter() if _tag(t) == "t"))
+            table.clear()
+    return strings
 
 
 def _date_styles(book: zipfile.ZipFile) -> set[int]:
@@ -279,7 +315,7 @@ def _column(reference: str | None, default: int) -> int:
     return number - 1
 
 
-def _text(cell: ElementTree.Element, strings: list[str], dated: set[int]) -> str | None:
+def _text(cell: ElementTree.Element, strings: Strings, dated: set[int]) -> str | None:
     kind = cell.get("t", "n")
     if kind == "inlineStr":
         return "".join(t.text or "" for t in cell.iter() if _tag(t) == "t")

@@ -245,3 +245,29 @@ def test_recode_and_defaults(spark):
     df = spark.createDataFrame([("Текущие операции", None), ("Прочее", "p")], "item_group string, purpose string")
     got = rows(O.fill_defaults(O.recode(df, "item_group", L.ITEM_GROUPS), {"purpose": "-"}))
     assert got == [("Денежные потоки от текущих операций", "-"), ("Прочее", "p")]
+
+
+# --- headers ----------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("block_rows", [5, 1 << 20])
+@pytest.mark.parametrize("share", [0.05, 0.6])
+def test_fill_from_headers_equals_the_steps_one_by_one(spark, block_rows, share):
+    rng = random.Random(block_rows + int(share * 100))
+    value = lambda *names: rng.choice(names) if rng.random() < share else None
+    table = [(s, i, value("66", "67"), value("А", "Б"), value("x", "y"), i * 10) for s in ("a", "b", "c") for i in range({"a": 23, "b": 4, "c": 61}[s]) if rng.random() < 0.9]
+    df = spark.createDataFrame(table, "source_file string, row_no int, account string, org string, contract string, amount int").repartition(3)
+    steps = [(["account"], []), (["org"], ["account"]), (["contract"], ["account", "org"])]
+    want = rows(O.forward_fill_steps(df, steps, block_rows=block_rows))
+    got = O.fill_from_headers(df, steps, block_rows=block_rows)
+    assert rows(got) == want and got.columns == df.columns
+    assert rows(O.fill_from_headers(df.limit(0), steps)) == []
+
+
+def test_fill_from_headers_sorts_the_detail_rows_once(spark):
+    df = spark.createDataFrame([("a", i, "66" if i == 0 else None, None, i) for i in range(9)], "source_file string, row_no int, account string, org string, amount int")
+    filled = O.fill_from_headers(df, [(["account"], []), (["org"], ["account"])])
+    plan = filled._jdf.queryExecution().sparkPlan().toString()
+    # windows over all rows carry the amount; those over headers have the header filter below them
+    details = [line for line in plan.splitlines() if "Window" in line and "_state" in line]
+    assert len(details) == 1

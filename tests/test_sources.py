@@ -7,7 +7,7 @@ from helpers import day, rows, workbook
 from ledgerspark.functions import labels as L
 from ledgerspark.plans import jobs
 from ledgerspark.plans import reports as R
-from ledgerspark.sources import Staging, land_workbooks, scratch_dir, write_report
+from ledgerspark.sources import Staging, land_workbooks, scope, scratch_dir, write_report
 from ledgerspark.sources import workbooks as W
 from ledgerspark.sources.workbooks import find_workbooks
 from ledgerspark.streaming import run_stream
@@ -254,3 +254,55 @@ def test_staging_writes_once_and_cleans_up(spark):
         folder = stage.path.removeprefix("file:")
         assert os.path.isdir(folder)
     assert not os.path.exists(folder)
+
+
+def big_workbook(n):
+    return workbook([TITLE, *[(i % 8, [f"{i % 50}", "текст", None, i]) for i in range(n)]])
+
+
+def test_decoding_memory_does_not_grow_with_the_rows(spark):
+    import tracemalloc
+
+    peaks = []
+    for n in (5_000, 80_000):
+        content = big_workbook(n)
+        tracemalloc.start()
+        assert sum(1 for _ in W._sheet_rows(content)) == n + 1
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < peaks[0] + (1 << 20)
+
+
+def test_shared_strings_lie_in_one_buffer():
+    strings = W.Strings()
+    for text in ("", "а", "b\n", "日本", "x" * 1000):
+        strings.append(text)
+    assert [strings[i] for i in range(len(strings))] == ["", "а", "b\n", "日本", "x" * 1000]
+    with pytest.raises(IndexError):
+        strings[5]
+
+
+def test_staged_tables_go_with_their_scope(spark):
+    import os
+
+    with scope():
+        stage = Staging(spark)
+        assert stage(spark.range(3)).count() == 3
+        folder = stage.path.removeprefix("file:")
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session())
