@@ -75,14 +75,28 @@ doc_windows AS ({_windows_sql('doc_masks', 'doc_id, text, w')}),
 hits AS (
   SELECT doc_id, text, item_id, d.pos - i.pos AS place, count(*) AS hits, any_value(d.w) AS dw, any_value(i.w) AS iw
   FROM doc_windows d JOIN item_windows i USING (m, seed) GROUP BY ALL),
-checked AS (
+compared AS (
   SELECT *, len(iw) AS item_words,
-         len(list_filter(range(1, len(iw) + 1), lambda k: place + k >= 1 AND place + k <= len(dw) AND dw[place + k] = iw[k])) AS agree
+         list_transform(range(1, len(iw) + 1), lambda k: place + k >= 1 AND place + k <= len(dw) AND coalesce(dw[place + k] = iw[k], false)) AS same
   FROM hits),
-kept AS (SELECT * FROM checked WHERE agree >= ceil(item_words * {decontaminate.OVERLAP}))
+checked AS (SELECT *, len(list_filter(same, lambda x: x)) AS agree FROM compared),
+judged AS (
+  SELECT *, list_filter(range(1, item_words + 1), lambda k: same[k]) AS agreeing,
+         agree >= ceil(item_words * {decontaminate.OVERLAP})
+         OR len(list_filter(range(1, item_words - {decontaminate.STRETCH} + 2), lambda i: same[i] AND same[i + {decontaminate.STRETCH - 1}]
+                AND len(list_filter(same[i:i + {decontaminate.STRETCH - 1}], lambda x: x)) >= {decontaminate.STRETCH - decontaminate.STRETCH_CHANGES})) > 0 AS alone
+  FROM checked),
+banded AS (
+  SELECT doc_id, text, item_id, item_words, k, floor((place + k * {decontaminate.BAND // 2}) / {decontaminate.BAND}) AS band,
+         len(list_distinct(flatten(list(agreeing)))) AS agree
+  FROM judged, (SELECT unnest([0, 1]) AS k) GROUP BY ALL),
+found AS (
+  SELECT doc_id, text, item_id FROM judged WHERE alone
+  UNION SELECT doc_id, text, item_id FROM banded WHERE agree >= ceil(item_words * {decontaminate.OVERLAP}))
 SELECT doc_id, item_id, agree, item_words, greatest(place, 0) AS first_word, place + item_words - 1 AS last_word, total AS hits
-FROM (SELECT *, sum(hits) OVER (PARTITION BY doc_id, text, item_id) AS total,
-             row_number() OVER (PARTITION BY doc_id, text, item_id ORDER BY agree DESC, place) AS rn FROM kept)
+FROM (SELECT j.*, sum(hits) OVER (PARTITION BY j.doc_id, j.text, j.item_id) AS total,
+             row_number() OVER (PARTITION BY j.doc_id, j.text, j.item_id ORDER BY agree DESC, place) AS rn
+      FROM judged j JOIN found f ON j.doc_id IS NOT DISTINCT FROM f.doc_id AND j.text IS NOT DISTINCT FROM f.text AND j.item_id IS NOT DISTINCT FROM f.item_id)
 WHERE rn = 1""")
 @query
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -151,7 +151,8 @@ def test_mixing_nothing(spark):
 ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma"
 
 
-def find_overlaps(docs, items, masks=decontaminate.MASKS, share=decontaminate.OVERLAP):
+def find_overlaps(docs, items, masks=decontaminate.MASKS):
+    """Every window of every text against every window, and every rule by itself."""
     split = lambda t: (t or "").lower().split()
     out = set()
     shortest = min(map(len, masks))
@@ -160,16 +161,50 @@ def find_overlaps(docs, items, masks=decontaminate.MASKS, share=decontaminate.OV
         for i, b in items:
             b = split(b)
             used = [*masks, *(["1" * len(b)] if 0 < len(b) < shortest else [])]
+            agreeing = {}
             for m in used:
                 for x in range(len(w) - len(m) + 1):
                     for y in range(len(b) - len(m) + 1):
                         if all(w[x + k] == b[y + k] for k, bit in enumerate(m) if bit == "1"):
-                            agree = sum(0 <= x - y + k < len(w) and w[x - y + k] == b[k] for k in range(len(b)))
-                            if agree >= math.ceil(len(b) * share):
-                                out.add((d, i))
+                            agreeing[x - y] = [0 <= x - y + k < len(w) and w[x - y + k] == b[k] for k in range(len(b))]
+            half = math.ceil(len(b) / 2)
+            for at, same in agreeing.items():
+                quoted = any(same[k] and same[k + 12] and sum(same[k : k + 13]) >= 11 for k in range(len(b) - 12))
+                halves = [[o for p, o in agreeing.items() if (p + shift) // 16 == (at + shift) // 16] for shift in (0, 8)]
+                if quoted or any(sum(map(any, zip(*together))) >= half for together in halves):
+                    out.add((d, i))
     return out
 
 
+def test_partial_quotes_are_reported(spark):
+    item = lambda name, n: [f"{name}{i}" for i in range(n)]
+    a, b, c, noise = item("a", 60), item("b", 600), item("c", 36), item("n", 200)
+    parts = [
+        noise[:40] + a[20:49] + noise[40:], noise[:10] + b[100:350], [*c[:12], "new", *c[12:24], "new", "new", *c[24:]], a[:13], a[3:9] + ["X"] + a[10:16], noise, a[:10], a[:12] + noise + a[12:24],
+        c[:10] + noise + c[10:20], a[5:11] + ["X"] + a[12:14] + ["Y"] + a[15:30],
+    ]
+    docs = [(i, " ".join(w)) for i, w in enumerate(parts)]
+    items = [(k, " ".join(w)) for k, w in enumerate((a, b, c))]
+    got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert set(got) == find_overlaps(docs, items)
+    assert {(0, 0), (1, 1), (2, 2), (3, 0), (4, 0)} <= set(got) and not {5, 6, 8} & {d for d, _ in got}
+    assert (got[0, 0]["agree"], got[0, 0]["item_words"], got[0, 0]["first_word"]) == (29, 60, 20)
+    assert got[1, 1]["agree"] == 250
+
+
+def test_words_are_not_shuffled_with_the_windows(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    plans = []
+    stage = decontaminate.Staging.__call__
+    monkeypatch.setattr(decontaminate.Staging, "__call__", lambda self, df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or stage(self, df))
+    docs, items = spark.createDataFrame([(1, f"x y {ITEM}")], "doc_id long, text string"), spark.createDataFrame([(7, ITEM)], "item_id long, text string")
+    decontaminate.overlaps(docs, items)
+    joined = next(p for p in plans if "offset" in p and "seed" in p)
+    for block in joined.split("Exchange hashpartitioning(seed")[1:]:
+        below = next(line for line in block.splitlines() if "Project [" in line)
+        assert " w#" not in below and "[w#" not in below
+
+
 def test_overlaps_equal_brute_force(spark):
     words = ITEM.split()
     noise = "one two three four five six seven eight nine ten"
