@@ -96,40 +96,55 @@ def mix(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, bud
 
     position in [0, 1) is where the block begins in the source's budget: ordering by it interleaves the sources at their
     weights, and within a block by in_block. Null sources are one source. Documents without words, null texts among them,
-    are used once, at position 0, and count for nothing; so does a source without words. Repeated rows are used each.
+    are used once, at position 0, and count for nothing; so does a source without words. Repeated rows are used each. Rows
+    of one id are told apart by their content; an id of more than BLOCK_DOCS rows is dealt to blocks by its rows, not by id.
     Columns of docs named like an added one are replaced; with text=False docs has n_tokens already and needs no text.
     """
-    added = ["weight", "passes", "pass", "block", "position", "in_block"]
+    added = {"n_tokens", "weight", "passes", "pass", "block", "position", "in_block"}
     stage = Staging(docs.sparkSession)
-    # written once: the words are counted in one pass over the texts
-    rows = stage(docs.drop(*added).withColumn("n_tokens", tokens(F.col("text")) if text else F.col("n_tokens")))
-    sources = stage(plan(rows.select("source", "n_tokens"), entropy, repeats, budget, stage).select(F.col("source").alias("_source"), "tokens", "docs", "weight", "passes"))
-    of = F.col("source").eqNullSafe(F.col("_source"))
-    placed = rows.join(sources, of, "left").withColumn(
-        "_block", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.greatest(F.lit(1), F.ceil(F.col("docs") / BLOCK_DOCS)))
+    kept = [c for c in docs.columns if c.lower() not in added]
+    # the row travels in one column, so that its names meet no others; the words are counted in one pass over the texts
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col("source").alias("of"), F.col("doc_id").alias("id"),
+        (tokens(F.col("text")) if text else F.col("n_tokens")).alias("n_tokens"), F.monotonically_increasing_id().alias("number"),
     )
+    rows = stage(packed)
+    sources = stage(plan(rows.select(F.col("of").alias("source"), "n_tokens"), entropy, repeats, budget, stage).select(F.col("source").alias("of"), "tokens", "docs", "weight", "passes"))
+    # the numbers are written, so they stay; at most one id for BLOCK_DOCS rows is hot
+    hot = rows.groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK_DOCS).select("id", F.lit(True).alias("hot"))
+    dealt = F.xxhash64(F.lit(seed), "id", F.when(F.col("hot"), F.col("number")))
+    placed = _same(_same(rows, hot, "id"), sources, "of").withColumn("block", F.pmod(dealt, F.greatest(F.lit(1), F.ceil(F.col("docs") / BLOCK_DOCS))))
     # the blocks of every pass, in the pass's order, with the tokens before them
-    blocks = placed.where("n_tokens > 0").groupBy("_source", "_block").agg(
-        F.sum("n_tokens").alias("_tokens"), F.first("tokens").alias("_all"), F.first("passes").alias("_passes")
+    blocks = placed.where("n_tokens > 0").groupBy("of", "block").agg(
+        F.sum("n_tokens").alias("own"), F.first("tokens").alias("all"), F.first("passes").alias("passes")
     )
-    turns = blocks.withColumn("pass", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.round("_passes", 9)) - 1, F.lit(0)).cast("int"))))
-    before = Window.partitionBy("_source", "pass").orderBy(F.xxhash64(F.lit(seed), "pass", "_block"), "_block").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("_tokens").over(before), F.lit(0))
-    left = F.round(F.col("_all") * (F.col("_passes") - F.col("pass")))
-    turns = turns.select("_source", "_block", "pass", start.alias("_start"), left.alias("_left"), "_tokens", "_all", "_passes").where("_start < _left")
+    turns = blocks.withColumn("pass", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.round("passes", 9)) - 1, F.lit(0)).cast("int"))))
+    before = Window.partitionBy("of", "pass").orderBy(F.xxhash64(F.lit(seed), "pass", "block"), "block").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("own").over(before), F.lit(0))
+    left = F.round(F.col("all") * (F.col("passes") - F.col("pass")))
+    turns = turns.select("of", "block", "pass", start.alias("start"), left.alias("left"), "own", "all", "passes").where("start < left")
     turns = turns.select(
-        F.col("_source").alias("_s"), F.col("_block").alias("_b"), "pass", "_start", "_left", (F.col("_start") + F.col("_tokens") > F.col("_left")).alias("_cut"),
-        ((F.col("pass") * F.col("_all") + F.col("_start")) / (F.col("_all") * F.col("_passes"))).alias("position"),
+        "of", "block", "pass", "start", "left", (F.col("start") + F.col("own") > F.col("left")).alias("cut"),
+        ((F.col("pass") * F.col("all") + F.col("start")) / (F.col("all") * F.col("passes"))).alias("position"),
     )
-    names = [c for c in rows.columns]
-    here = F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b"))
-    used = placed.where("n_tokens > 0").join(turns, here).withColumn("in_block", F.xxhash64(F.lit(seed), "pass", "doc_id"))
-    columns = [*names, "weight", "passes", "pass", F.col("_block").alias("block"), "position", "in_block"]
-    whole = used.where(~F.col("_cut")).select(*columns)
-    # the one block of each source in which its budget ends
-    running = Window.partitionBy("_source", "pass", "_block").orderBy("in_block", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    cut = used.where("_cut").withColumn("_upto", F.col("_start") + F.sum("n_tokens").over(running)).where("_upto <= _left").select(*columns)
+    used = _same(placed.where("n_tokens > 0"), turns, "of", "block").where("pass IS NOT NULL").withColumn("in_block", F.xxhash64(F.lit(seed), "pass", "id"))
+    columns = ["row", "n_tokens", "weight", "passes", "pass", "block", "position", "in_block"]
+    whole = used.where(~F.col("cut")).select(*columns)
+    # the one block of each source in which its budget ends; rows alike in all of these are alike
+    order = ["in_block", "id", "n_tokens", F.xxhash64(F.to_json("row")), "number"]
+    running = Window.partitionBy("of", "pass", "block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    cut = used.where("cut").withColumn("upto", F.col("start") + F.sum("n_tokens").over(running)).where("upto <= left").select(*columns)
     empty = placed.where("n_tokens = 0").select(
-        *names, "weight", "passes", F.lit(0).alias("pass"), F.col("_block").alias("block"), F.lit(0.0).alias("position"), F.xxhash64(F.lit(seed), F.lit(0), "doc_id").alias("in_block")
+        "row", "n_tokens", "weight", "passes", F.lit(0).alias("pass"), "block", F.lit(0.0).alias("position"), F.xxhash64(F.lit(seed), F.lit(0), "id").alias("in_block")
     )
-    return whole.unionByName(cut).unionByName(empty)
+    every = whole.unionByName(cut).unionByName(empty)
+    return every.select("row.*", *columns[1:])
+
+
+def _same(rows: DataFrame, other: DataFrame, of: str, *also: str) -> DataFrame:
+    """Left join on a column that may be null, and further ones."""
+    named = other.withColumnsRenamed({c: f"other_{c}" for c in (of, *also)})
+    on = F.col(of).eqNullSafe(F.col(f"other_{of}"))
+    for c in also:
+        on = on & (F.col(c) == F.col(f"other_{c}"))
+    return rows.join(named, on, "left").drop(f"other_{of}", *[f"other_{c}" for c in also])

@@ -74,15 +74,22 @@ def descend(key: Column, node: Node) -> Column:
 
 
 def number(rows: DataFrame, group: str, key: str, to: str, bucket_rows: int = BUCKET_ROWS, *ties: str) -> DataFrame:
-    """Number the rows of each group from 0 without a gap, in column ``to``. Rows alike in key and ties get different numbers."""
+    """Number the rows of each group from 0 without a gap, in column ``to``. Rows alike in key and ties get different numbers.
+
+    Rows alike in all columns are counted first and told apart last, and buckets go by key and ties: neither a row nor a key
+    that repeats without end fills a task.
+    """
     buckets = max(1, -(-rows.count() // bucket_rows))
-    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(F.lit("slot"), key), F.lit(buckets)))
-    sizes = rows.groupBy(group, "_bucket").agg(F.count("*").alias("_rows"))
+    kinds = rows.groupBy(*rows.columns).agg(F.count("*").alias("_rows"))
+    kinds = kinds.withColumn("_bucket", F.pmod(F.xxhash64(F.lit("slot"), key, *ties), F.lit(buckets)))
+    sizes = kinds.groupBy(group, "_bucket").agg(F.sum("_rows").alias("_own"))
     before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(group, "_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    starts = sizes.select(group, "_bucket", F.coalesce(F.sum("_own").over(before), F.lit(0)).alias("_start"))
     within = Window.partitionBy(group, "_bucket").orderBy(key, *ties)
-    numbered = rows.withColumn("_at", F.row_number().over(within) - 1)
-    return numbered.join(starts, [group, "_bucket"]).withColumn(to, F.col("_start") + F.col("_at")).drop("_bucket", "_start", "_at")
+    upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = kinds.withColumn("_at", F.sum("_rows").over(upto) - F.col("_rows")).join(starts, [group, "_bucket"])
+    first = F.col("_start") + F.col("_at")
+    return numbered.select(*rows.columns, F.explode(F.sequence(first, first + F.col("_rows") - 1)).alias(to))
 
 
 def shard(docs: DataFrame, root: Node | None = None, more: Node | None = None) -> DataFrame:

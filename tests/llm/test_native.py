@@ -148,6 +148,7 @@ def test_mixing_nothing(spark):
     assert mixing.mix(clash).count() >= 300
 
 
+SF = "/root/testdata/sf0.001"
 ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma"
 
 
@@ -252,3 +253,42 @@ def test_quotes_in_part_go(spark):
     docs = spark.createDataFrame([(i, f"before that {t} after that") for i, t in enumerate(bad + good)], "doc_id long, text string")
     items = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(short)), (3, "six words are all it has"), (4, " ".join(middle))], "item_id long, text string")
     assert sorted(r["doc_id"] for r in decontaminate.clean(docs, items).collect()) == list(range(len(bad), len(bad + good)))
+
+
+CLASH = ["_id", "_hash", "_print", "_s", "_b", "_source", "_block", "pass", "block", "weight", "row", "of", "id", "number", "n_tokens", "contaminated_id", "other_of", "rejected_id"]
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """All stages on a table whose columns have the names that they use themselves."""
+    import corpus_pipeline
+
+    texts = [f"the cat {i} sat on the mat and then it went away {i * 7} times" for i in range(30)]
+    docs = spark.createDataFrame([(i, t, "en", f"s{i % 3}", len(t), *[f"{c}{i}" for c in CLASH]) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars int, " + ", ".join(f"`{c}` string" for c in CLASH))
+    for name, step in corpus_pipeline.STAGES:
+        made = step(spark, docs, SF)
+        rows = made.collect()
+        if name != "shard":
+            assert made.columns == docs.columns, name
+            assert all(r[c] == f"{c}{r['doc_id']}" for r in rows for c in CLASH), name
+        assert {r["doc_id"] for r in rows} == set(range(30)), name
+
+
+def test_rows_of_one_id_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_DOCS", 50)
+    n = 2000
+    docs = spark.range(n).select(F.lit(7).cast("long").alias("doc_id"), F.lit("a b c").alias("text"), F.when(F.col("id") < 1900, "x").otherwise("y").alias("source"))
+    used = mixing.mix(docs)
+    sizes = [r["count"] for r in used.groupBy("source", "pass", "block").count().collect()]
+    assert used.where("pass = 0").count() == n and len(sizes) > 20 and max(sizes) < 120
+    numbered = sharding.shard(docs.withColumn("text", F.when(F.col("source") == "x", F.col("text")).otherwise(F.concat("text", F.rand(1).cast("string")))))
+    slots = sorted(r["slot"] for r in numbered.collect())
+    assert slots == list(range(n))
+
+
+def test_the_cut_is_the_same_however_rows_lie(spark, monkeypatch):
+    rows = [(i % 7, f"w{i} " * (1 + i % 5), f"s{i % 2}") for i in range(200)]
+    cuts = []
+    for parts in (1, 5):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+        cuts.append(sorted((r["doc_id"], r["text"], r["pass"]) for r in mixing.mix(docs, budget=400).collect()))
+    assert cuts[0] == cuts[1] and 0 < len(cuts[0]) < 200
