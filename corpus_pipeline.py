@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.llm import decontaminate, langid, mixing, near, sharding
+from ledgerspark.llm.names import unused
 from ledgerspark.llm.queries import table
-from ledgerspark.sources.staging import Staging
+from ledgerspark.sources.staging import Staging, scope
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,8 +22,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     where these don't fit a broadcast.
     """
     rejected = langid.score(docs, langid.train(docs), keep_text_hash=True).where(F.col("lang_pred") == langid.UNKNOWN)
-    bad = rejected.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hash"))
+    key, print_ = unused(docs, "rejected_id", "rejected_print")
+    bad = rejected.select(F.col("doc_id").alias(key), F.col("text_hash").alias(print_)).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(key)) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(print_))
     return docs.join(bad, same, "left_anti")
 
 
@@ -38,7 +40,10 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every use of every document: no source is used less than once, scarce ones repeat up to the target weights."""
-    return mixing.mix(docs).select(*docs.columns)
+    # columns of docs keep their values, also those named like one that the operator adds
+    (name,) = unused(docs, "document")
+    rows = docs.select("doc_id", "source", mixing.tokens(docs["text"]).alias("n_tokens"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(name))
+    return mixing.mix(rows, text=False).select(f"{name}.*")
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,10 +64,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows; what a stage has written for itself is deleted once its own result is written."""
     stage = Staging(spark)
     docs = table(spark, sf_dir, "documents")
-    for name, step in STAGES:
-        docs = step(spark, docs, sf_dir)
-        if name != STAGES[-1][0]:
-            docs = stage(docs)
-    return docs
+    for name, step in STAGES[:-1]:
+        with scope():
+            docs = stage(step(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
