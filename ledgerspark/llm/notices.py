@@ -1,13 +1,16 @@
 """License scans: fuzzy search for short notices.
 
 A notice of words may occur with up to k edits of characters. Split into k + 1 pieces, at least one piece of
-every such occurrence is unharmed (pigeonhole), so exact occurrences of the pieces give the candidates, and
-only the windows around them go to bounded-error matching, which confirms the edits and reports the span.
+every such occurrence is unharmed (pigeonhole), so exact occurrences of the pieces give the candidates. The window
+around each goes to bounded-error matching by itself, which confirms the edits and reports the span; it is too short for
+two occurrences side by side. Of spans that overlap, those with fewer edits stay.
 Notices with no edits allowed take the same way with one piece, the notice itself.
 """
 
 from __future__ import annotations
 
+import bisect
+
 import numpy as np
 import pyarrow as pa
 import regex
@@ -49,35 +52,54 @@ def notices(base: dict[str, str] = BASE, fuzzy: dict[str, str] = NOTICES, edit_s
 
 
 def candidates(text: str, notice: Notice) -> list[tuple[int, int]]:
-    """Windows that hold every occurrence, merged where they overlap. text has a blank before and after each word."""
-    spans = []
+    """The windows of the seeds that stand in the text; one of them holds each occurrence. text has a blank before and after each word."""
+    found = set()
     for at, seed in notice.seeds:
-        found = text.find(seed)
-        while found >= 0:
-            spans.append((max(0, found - at - notice.edits - 1), found + len(notice.words) - at + notice.edits + 1))
-            found = text.find(seed, found + 1)
-    merged: list[list[int]] = []
-    for low, high in sorted(spans):
-        if merged and low <= merged[-1][1]:
-            merged[-1][1] = max(merged[-1][1], high)
-        else:
-            merged.append([low, high])
-    return [(a, b) for a, b in merged]
+        place = text.find(seed)
+        while place >= 0:
+            found.add((max(0, place - at - notice.edits - 1), min(len(text), place + len(notice.words) - at + notice.edits + 1)))
+            place = text.find(seed, place + 1)
+    return sorted(found)
+
+
+def apart(matches: dict[tuple[int, int], int]) -> list[tuple[int, int, int]]:
+    """The matches with the fewest edits, of those that overlap a better one none; ties go to the first, then the shortest."""
+    starts: list[int] = []
+    kept: list[tuple[int, int, int]] = []
+    for (a, b), edits in sorted(matches.items(), key=lambda m: (m[1], m[0])):
+        i = bisect.bisect_left(starts, a)
+        if (i == 0 or kept[i - 1][1] <= a) and (i == len(kept) or b <= kept[i][0]):
+            starts.insert(i, a)
+            kept.insert(i, (a, b, edits))
+    return kept
 
 
 def spans(text: str, notice: Notice) -> list[tuple[int, int, int]]:
     """(start, end, edits) of the notice's occurrences at whole words. Exact ones may overlap, those with edits do not."""
-    out = []
+    if notice.pattern is None:
+        out, at = [], text.find(f" {notice.words} ")
+        while at >= 0:
+            out.append((at + 1, at + 1 + len(notice.words), 0))
+            at = text.find(f" {notice.words} ", at + 1)
+        return out
+    matches = {}
     for low, high in candidates(text, notice):
-        if notice.pattern is None:
-            at = text.find(notice.words, low, high)
-            while at >= 0:
-                if text[at - 1] == " " and text[at + len(notice.words)] == " ":
-                    out.append((at, at + len(notice.words), 0))
-                at = text.find(notice.words, at + 1, high)
-        else:
-            out += [(m.start(), m.end(), sum(m.fuzzy_counts)) for m in notice.pattern.finditer(text, low, min(len(text), high))]
-    return out
+        m = notice.pattern.search(text, low, high)
+        if m:
+            matches[m.start(), m.end()] = sum(m.fuzzy_counts)
+    return apart(matches)
+
+
+class Words:
+    """Numbers of the words of a text, from its places; the blanks are looked for once."""
+
+    def __init__(self, text: str):
+        self.text, self.blanks = text, None
+
+    def before(self, place: int) -> int:
+        if self.blanks is None:
+            self.blanks = np.flatnonzero(np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), np.uint32) == 32)
+        return int(np.searchsorted(self.blanks, place))
 
 
 def scan(docs: DataFrame, base: dict[str, str] = BASE, fuzzy: dict[str, str] = NOTICES, edit_share: int = EDIT_SHARE) -> DataFrame:
@@ -95,19 +117,19 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, fuzzy: dict[str, str] = N
     )
 
     def one(text: str) -> tuple:
-        found, labels, score, places = [], set(), 0.0, []
+        found, labels, score, places, words = [], set(), 0.0, [], Words(text)
         for notice in exact:
-            for a, b, _ in spans(text, notice):
-                word = text.count(" ", 0, a) - 1
+            for a, _, _ in spans(text, notice):
+                word = words.before(a) - 1
                 places.append((word, notice.label))
                 found.append({"label": notice.label, "first_word": word, "end_word": word + notice.words.count(" ") + 1, "edits": 0})
                 score = 1.0
         for notice in near:
             for a, b, edits in spans(text, notice):
-                word = text.count(" ", 0, a) - 1
+                word = words.before(a) - 1
                 labels.add(notice.label)
                 score = max(score, 1 - edits / len(notice.words))
-                found.append({"label": notice.label, "first_word": word, "end_word": word + text.count(" ", a, b) + 1, "edits": edits})
+                found.append({"label": notice.label, "first_word": word, "end_word": words.before(b), "edits": edits})
         base_labels = {x for _, x in places}
         found.sort(key=lambda x: (x["first_word"], x["end_word"], x["label"], x["edits"]))
         first, last = (min(places)[0], max(places)[0]) if places else (None, None)

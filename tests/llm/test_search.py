@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 
 import pytest
 
@@ -43,6 +44,60 @@ def test_edits_are_found(spark, text, label):
     assert all(s["edits"] > 0 and s["first_word"] >= 2 for s in row["spans"])
 
 
+def test_occurrences_side_by_side_are_all_found(spark):
+    text = "genral public license general public license x generl publik license all right reserved all rights reserved"
+    row = notices.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    found = sorted({(s["first_word"], s["end_word"]) for s in row["spans"] if s["label"] == "gpl"})
+    assert found == [(0, 3), (3, 6), (7, 10)]
+    assert {(s["first_word"], s["end_word"], s["edits"]) for s in row["spans"] if s["label"] == "reserved"} == {(10, 13, 1), (13, 16, 0)}
+
+
+def test_spans_equal_brute_force():
+    """Every stretch of whole words against every notice, by edit distance."""
+
+    def distance(a, b):
+        last = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            now = [i]
+            for j, y in enumerate(b, 1):
+                now.append(min(last[j] + 1, now[-1] + 1, last[j - 1] + (x != y)))
+            last = now
+        return last[-1]
+
+    rng = random.Random(9)
+    _, near = notices.notices()
+    for notice in near[5:]:
+        parts = []
+        for _ in range(6):
+            edited = list(notice.words)
+            for _ in range(rng.randint(0, notice.edits)):
+                edited[rng.randrange(1, len(edited) - 1)] = "q"
+            parts += ["".join(edited), *rng.sample(["x", "some", "license", "rights"], rng.randint(0, 2))]
+        text = " " + " ".join(parts) + " "
+        words = text.split()
+        at, matches = 1, {}
+        places = []
+        for w in words:
+            places.append((at, at + len(w)))
+            at += len(w) + 1
+        for i in range(len(words)):
+            for j in range(i, min(len(words), i + 9)):
+                span = text[places[i][0] : places[j][1]]
+                if abs(len(span) - len(notice.words)) <= notice.edits and distance(span, notice.words) <= notice.edits:
+                    matches[places[i][0], places[j][1]] = distance(span, notice.words)
+        got = notices.spans(text, notice)
+        want = notices.apart(matches)
+        assert [(a, b) for a, b, _ in got] == [(a, b) for a, b, _ in want]
+        assert all(e >= matches[a, b] for a, b, e in got) and len(got) >= 6
+
+
+def test_a_long_repetitive_text_takes_linear_time(spark):
+    text = "genral public license " * 95_000
+    start = time.time()
+    row = notices.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert len(text) > 2_000_000 and len(row["spans"]) >= 95_000 and time.time() - start < 20
+
+
 def test_seeds_lose_no_match():
     import regex
 
