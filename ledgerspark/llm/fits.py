@@ -7,7 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -16,19 +16,34 @@ def fold(folds: int, column: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def first_rows(rows: DataFrame, of: str, most: int) -> DataFrame:
+    """doc_id, text and the column ``of`` of at most ``most`` rows for each of its values, the first by hash of the id.
+
+    Rows alike in these columns are one. The choice is made on hashes of the texts, in one pass, and only the chosen texts are
+    shuffled; an id that repeats, or a value that most rows have, fills no task.
+    """
+    kinds = rows.select(of, "doc_id", F.xxhash64("text").alias("h")).distinct()
+    order = Window.partitionBy(of).orderBy(F.xxhash64("doc_id"), "doc_id", "h")
+    chosen = kinds.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
+    chosen = chosen.select(F.col(of).alias("of"), F.col("doc_id").alias("id"), "h")
+    wanted = (F.col(of) == F.col("of")) & (F.col("doc_id") == F.col("id")) & (F.xxhash64("text") == F.col("h"))
+    return rows.join(chosen, wanted, "left_semi").groupBy(of, "doc_id", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text")).drop("h")
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, train: Column) -> DataFrame:
-    """(text, label) of at most per_class training rows of each of the classes 0 and 1, by hash of the id.
+    """(text, label) of at most per_class training rows of each of the classes 0 and 1, the first by hash of the id.
 
-    The sampled ids (at most 2 * per_class rows of 12 bytes) are the broadcast side, so no text is shuffled
-    but those of the sample. Labels that are null or neither 0 nor 1, and null ids, teach nothing; a label
-    given twice for an id counts twice.
+    Labels are looked up for at most per_class ids a class, which join the documents; the sample is bounded again in rows,
+    as an id may have several texts. Rows and labels that repeat count once. Labels that are null or neither 0 nor 1, and
+    null ids, teach nothing.
     """
-    marks = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & train)
+    marks = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & train).distinct()
     ids = reduce(
         DataFrame.unionByName,
         [marks.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for k in (0, 1)],
     )
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "label")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
+    return first_rows(rows, "label", per_class).select("text", "label")
 
 
 def fit(sample: DataFrame, learn: Callable[[pa.Table], bytes]) -> bytes:

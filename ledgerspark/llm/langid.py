@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .fits import fit, fold
+from .fits import first_rows, fit, fold
 from .words import Texts, record, slices, sums
 
 DEPTH = 4
@@ -142,20 +142,11 @@ class Trees:
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE, folds: int = 3, held: int = 1) -> bytes:
     """The model, from texts and languages of documents outside fold ``held`` alone.
 
-    A language learns from at most per_language whole texts, the first by hash of the id; their ids are the broadcast side
-    (languages times per_language rows). Null languages and null or empty texts teach nothing.
+    A language learns from at most per_language whole texts, the first by hash of the id; the sample of all languages is found
+    in one pass. Null languages and ids and null or empty texts teach nothing; rows that repeat teach once.
     """
-    rows = docs.where(F.col("lang").isNotNull() & (fold(folds) != held))
-    names = [r["lang"] for r in rows.select("lang").distinct().collect()]
-    if not names:
-        return b""
-    ids = None
-    for name in names:
-        own = rows.where((F.col("lang") == name) & (F.octet_length("text") > 0)).select("doc_id", F.xxhash64("doc_id").alias("h"))
-        own = own.orderBy("h", "doc_id").limit(per_language).select("doc_id").distinct()
-        ids = own if ids is None else ids.unionByName(own)
-    sample = rows.join(F.broadcast(ids.distinct()), "doc_id", "left_semi").where(F.octet_length("text") > 0).select("text", "lang")
-    return fit(sample, learn)
+    rows = docs.where(F.col("lang").isNotNull() & (fold(folds) != held) & (F.octet_length("text") > 0)).select("doc_id", "lang", "text")
+    return fit(first_rows(rows, "lang", per_language).select("text", "lang"), learn)
 
 
 def score(docs: DataFrame, model: bytes, folds: int = 3, held: int = 1, keep_text_hash: bool = False) -> DataFrame:

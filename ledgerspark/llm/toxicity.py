@@ -27,8 +27,9 @@ BITS = 18
 THRESHOLD = 0.5
 #: Rows of each class that the model is fitted on, at most.
 PER_CLASS = 2000
-#: A feature is telling from so many toxic texts on, if clean texts have it at most 1/RATIO as often.
-LEAST, RATIO = 10, 25
+#: A feature is telling if its log odds, toxic texts to clean ones, are so many standard errors above 0, and clean texts have
+#: it at most 1/RATIO as often.
+ERRORS, RATIO = 2.5, 25
 #: Marginals below this are noise and add nothing to a document's score.
 FLOOR = 0.05
 SEGMENT = 64
@@ -105,6 +106,12 @@ def doubts(p: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.minimum(running[bounds[1:]] - running[bounds[:-1]], MOST_DOUBT)
 
 
+def log_odds(bad: np.ndarray, n_bad: int, good: np.ndarray, n_good: int) -> np.ndarray:
+    """Log odds ratio of being in a toxic text against being in a clean one, in standard errors; half a text is added to each count."""
+    counts = [bad + 0.5, n_bad - bad + 0.5, good + 0.5, n_good - good + 0.5]
+    return (np.log(counts[0] / counts[1]) - np.log(counts[2] / counts[3])) / np.sqrt(sum(1 / c for c in counts))
+
+
 def tags(places: np.ndarray, lengths: np.ndarray, shingle: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """1 for each word that its features show to be toxic; which texts may teach.
 
@@ -114,13 +121,14 @@ def tags(places: np.ndarray, lengths: np.ndarray, shingle: np.ndarray, y: np.nda
     first = np.zeros(len(lengths), bool)
     first[np.unique(np.stack([shingle, y.astype(np.uint64)], 1), axis=0, return_index=True)[1]] = True
     toxic = np.zeros(len(places), bool)
+    n_bad, n_good = (y[first] == 1).sum(), (y[first] == 0).sum()
     for k in range(places.shape[1]):
         seen = np.unique(text[first[text]] * np.int64(1 << BITS) + places[first[text], k])
         of, place = seen >> BITS, seen & ((1 << BITS) - 1)
         bad = np.bincount(place[y[of] == 1], minlength=1 << BITS)
         good = np.bincount(place[y[of] == 0], minlength=1 << BITS)
-        share = (y[first] == 1).sum() / max(1, (y[first] == 0).sum())
-        toxic |= ((bad >= LEAST) & (bad >= RATIO * share * good))[places[:, k]]
+        telling = (log_odds(bad, n_bad, good, n_good) >= ERRORS) & (bad * max(1, n_good) >= RATIO * n_bad * good)
+        toxic |= telling[places[:, k]]
     toxic &= y[text] == 1
     shown = np.bincount(text[toxic], minlength=len(lengths)) > 0
     return toxic, first & ((y == 0) | shown)
@@ -147,6 +155,7 @@ def learn(table: pa.Table, rounds: int = 30, rate: float = 0.6, decay: float = 1
     places, n = np.concatenate(found), np.concatenate(lengths)
     toxic, teaches = tags(places, n, np.concatenate(shingles), y)
     keep = np.repeat(teaches, n)
+    every = places, n, y
     places, toxic, n, y = places[keep], toxic[keep], n[teaches], y[teaches]
     # segments of bounded length step together
     whole, rest = n // SEGMENT, n % SEGMENT
@@ -177,6 +186,7 @@ def learn(table: pa.Table, rounds: int = 30, rate: float = 0.6, decay: float = 1
         g = seen - pairs(ahead, back, e, steps, trans) - decay * trans
         trans_square += g * g
         trans += 0.3 * rate * g / np.sqrt(trans_square)
+    places, n, y = every
     emission = bias + sum(weight[k][places[:, k]] for k in range(len(weight)))
     seen_doubt = doubts(marginals(emission, Steps(n), trans), np.concatenate([[0], np.cumsum(n)]))
     slope, shift = platt(seen_doubt, y)

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from ledgerspark.llm import langid, quality, toxicity
+from ledgerspark.llm import fits, langid, quality, toxicity
 from ledgerspark.llm.fits import fold
 from ledgerspark.llm.words import BLANK, NOT_WORD, Texts, slices
 
@@ -185,3 +185,39 @@ def test_table_finds_what_it_holds():
     assert (table.find(keys[::2]) == np.arange(len(keys[::2]))).all()
     assert (table.find(keys[1::2]) == -1).all()
     assert (langid.Table(keys[:0]).find(keys) == -1).all()
+
+
+def test_samples_are_bounded_in_rows(spark):
+    """One id has most rows, alike and not: the sample stays small, and alike for every order of the rows."""
+    rows = [(7, f"text {i % 50}", "en") for i in range(3000)] + [(i, f"other {i}", "en" if i % 2 else "de") for i in range(100, 140)] + [(None, "x", "en"), (1, None, "en")]
+    samples = []
+    for parts in (1, 4):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(parts)
+        got = fits.first_rows(docs.where("doc_id IS NOT NULL AND text IS NOT NULL"), "lang", 30).collect()
+        assert len(got) == 50 and len({(r["doc_id"], r["text"]) for r in got}) == 50
+        labels = spark.createDataFrame([(i, int(i % 2)) for i in [7, *range(100, 140)]], "doc_id long, toxic int")
+        sample = fits.labelled_sample(docs, labels.unionByName(labels), "toxic", 15, fold(5) != 4)
+        assert max(r["count"] for r in sample.groupBy("label").count().collect()) <= 15
+        samples.append(sorted((r["text"], r["label"]) for r in sample.collect()))
+    assert samples[0] == samples[1]
+
+
+def test_few_labels_teach(spark):
+    """Two of four toxic texts share a word that no clean one has."""
+    clean = [f"a quiet day number {i} by the river" for i in range(120)]
+    bad = ["you zorgle person", "what a zorgle thing", "zorgle again and again", "such zorgle talk", "one zorgle more"]
+    docs = spark.createDataFrame(list(enumerate(clean + bad)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 120)) for i in range(125)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, folds=1000, held=999)
+    new = spark.createDataFrame([(1, "a zorgle here"), (2, "a quiet day by the river")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in toxicity.score(new, model).collect()}
+    assert got[1]["predicted"] == 1 and got[2]["predicted"] == 0 and got[1]["spans"][0]["start"] == 2
+
+
+def test_document_score_is_the_chance_of_a_toxic_word():
+    """Brute force over one document: marginals by enumeration, the doubt of those that count."""
+    p = np.array([0.01, 0.2, 0.9, 0.5, 0.04, 1.0])
+    bounds = np.array([0, 2, 2, 5, 6])
+    chance = [1 - 0.8, 0.0, 1 - 0.1 * 0.5, 1.0]
+    got = 1 - np.exp(-toxicity.doubts(p, bounds))
+    assert np.allclose(got, chance, atol=1e-5)
