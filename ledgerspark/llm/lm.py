@@ -2,9 +2,9 @@
 
 The model has two levels. Level one has every word's count. Level two is a trie: contexts (the word before), and
 under each its successors. Contexts and the pointers to their successors are stored as monotone sequences in Elias-Fano
-form, and the probabilities (absolute discounting) are quantised to one byte; level one keeps plain counts. Both levels
-are cut into shards by hash, a block of arrays each. A task decodes the blocks it reads to plain arrays, and searches
-pairs of (place of the context, word) over the whole shard.
+form, and the probabilities (absolute discounting) are quantised to one byte; level one keeps plain counts, which the base
+score needs. Both levels are cut into shards by hash, a block of arrays each, which is searched as it is stored: a
+context among those of its upper bits, a pair among the successors between its context's two pointers.
 
     P(w | v) = (c(v, w) - D) / c(v)        where (v, w) was seen
              = D t(v) / c(v) * P(w)        where not; t(v): kinds of successors. v unseen: P(w)
@@ -27,14 +27,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import Staging
-from .elias_fano import decode, dump, encode, named, views, within
+from .elias_fano import Sequence, between, decode, dump, encode, named, views, within
 from .words import Texts, mix, pack, record, slices
 
 DISCOUNT = 0.75
 #: Text bytes for a shard.
 SHARD_BYTES = 40 << 20
 #: Tokens that a task gathers before it sends them, and texts.
-BATCH_TOKENS = 2_000_000
+BATCH_TOKENS = 1_000_000
 BATCH_TEXTS = 60_000
 HOT = 1 << 16
 HOT_PER_SHARD = 8
@@ -78,7 +78,7 @@ def gathered(batches):
         last[bounds[1:] - 1] = True
         word[~last] = np.concatenate([h for _, _, h in held])
         context = np.concatenate([np.array([END], np.uint64), word[:-1]])
-        return keys, context, word, np.repeat(np.arange(len(keys)), counts + 1)
+        return keys, context, word, np.repeat(np.arange(len(keys), dtype=np.int32), counts + 1)
 
     for piece in slices(batches):
         found = Texts(piece.column("text"))
@@ -214,19 +214,29 @@ class Trie:
 
     def __init__(self, block):
         a = views(block)
-        self.contexts, self.pointers = decode(within(a, "contexts")), decode(within(a, "pointers")).astype(np.int64)
+        self.contexts, self.pointers = Sequence(within(a, "contexts")), Sequence(within(a, "pointers"))
+        self.low, self.high = a["low"], a["high"]
         self.logs, self.log_of, self.rest, self.rest_of = a["logs"], a["log_of"], a["rest"], a["rest_of"]
-        # successors relative to their context: (its place, word) ascends over the level
-        place = np.repeat(np.arange(len(self.contexts), dtype=np.uint64), np.diff(self.pointers))
-        self.successors = place << np.uint64(40) | a["low"].astype(np.uint64) | a["high"].astype(np.uint64) << np.uint64(32)
+
+    def _word(self, i: np.ndarray) -> np.ndarray:
+        return self.low[i].astype(np.uint64) | self.high[i].astype(np.uint64) << np.uint64(32)
 
     def look(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Log10 probability of each pair that was seen, the log10 weight of going on to level one for those that weren't; which were seen."""
-        at, known = find(self.contexts, context)
-        to, seen = find(self.successors, at.astype(np.uint64) << np.uint64(40) | word)
-        seen &= known
-        out = np.zeros(len(context))
-        out[known] = self.rest_of[self.rest[at[known]]]
+        """Log10 probability of each pair that was seen, the log10 weight of going on to level one for those that weren't; which were seen.
+
+        Pairs come by context: a context is looked for once, and its successors between its pointers.
+        """
+        if not len(context):
+            return np.zeros(0), np.zeros(0, bool)
+        first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+        times = np.diff(np.append(first, len(context)))
+        at, known = self.contexts.find(context[first])
+        low, high = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        low[known], high[known] = self.pointers.get(at[known]).astype(np.int64), self.pointers.get(at[known] + 1).astype(np.int64)
+        rest = np.zeros(len(at))
+        rest[known] = self.rest_of[self.rest[at[known]]]
+        to, seen = between(self._word, word, np.repeat(low, times), np.repeat(high, times))
+        out = np.repeat(rest, times)
         out[seen] = self.log_of[self.logs[to[seen]]]
         return out, seen
 

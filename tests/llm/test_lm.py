@@ -31,6 +31,31 @@ def test_elias_fano_is_compact():
     assert len(elias_fano.dump(elias_fano.encode(values))) < 100_000 * 4
 
 
+@pytest.mark.parametrize("top", [0, 7, 1 << 12, 1 << 40, 1 << 63])
+def test_search_in_the_encoded_form(top):
+    rng = np.random.default_rng(top % 97)
+    values = np.sort(rng.integers(0, top + 1, 3000, dtype=np.uint64))
+    for n in (1, 2, 70, 3000):
+        own = values[:n]
+        sequence = elias_fano.Sequence(elias_fano.encode(own))
+        assert (sequence.get(np.arange(n)) == own).all()
+        wanted = np.concatenate([own, rng.integers(0, top + 1, 500, dtype=np.uint64), np.array([0, top], np.uint64)])
+        at, there = sequence.find(wanted)
+        assert (there == np.isin(wanted, own)).all() and (at[there] == np.searchsorted(own, wanted[there])).all()
+    empty = elias_fano.Sequence(elias_fano.encode(values[:0]))
+    assert not empty.find(values)[1].any()
+
+
+def test_successors_are_sought_between_their_contexts_pointers():
+    context = np.repeat(np.array([5, 9, 1 << 39], np.uint64), [3, 1, 2])
+    word = np.array([1, 7, 1 << 35, 7, 2, 7], np.uint64)
+    trie = lm.Trie(lm.Trie.build(context, word, np.array([4, 2, 1, 3, 1, 5]), lm.Hot([], 0)))
+    asked = [(5, 1), (5, 2), (5, 7), (9, 1), (9, 7), (10, 7), (1 << 39, 2), (1 << 39, 7), (1 << 39, 8)]
+    logs, seen = trie.look(*np.array(asked, np.uint64).T)
+    assert seen.tolist() == [True, False, True, False, True, False, True, True, False]
+    assert np.allclose(logs[[0, 4, 7]], np.log10([3.25 / 7, 2.25 / 3, 4.25 / 6])) and np.allclose(logs[[1, 3, 5]], [np.log10(0.75 * 3 / 7), np.log10(0.25), 0])
+
+
 def brute(rows, held, discount=lm.DISCOUNT):
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     tokens = [[*(w for w in (t or "").translate(low).replace("\t", " ").replace("\n", " ").split(" ") if w), None] for _, t in rows]
