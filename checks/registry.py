@@ -20,8 +20,10 @@ from ledgerspark.sources import workbooks as W
 from ledgerspark.sources.publication import Publication
 from ledgerspark.sources.sinks import published, write_report
 from ledgerspark.sources.staging import Staging
+from ledgerspark.streaming import KeptBalances, land, landed_rows
 
 from . import bindings as B
+from .books import workbooks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1028,3 +1030,56 @@ def report_rejects(spark, sf):
     rejects = R.Rejects()
     R.trial_balance_facts(_spoilt(spark, sf), R.BOTH, Staging(spark), rejects)
     return rejects.cells().drop("sheet")
+
+
+# --- workbooks --------------------------------------------------------------------------------
+
+TRIAL_CELLS = ["stacked", "dim", None, None, "receipt", "payment"]
+
+
+@query("SELECT grp, company, row_no, stacked, dim, receipt, payment FROM trial_sheet", "trial_sheet")
+def landed_trial_sheet(spark, sf):
+    """A sheet with a header, out of workbooks."""
+    books = workbooks(B.trial_sheet(spark, sf), TRIAL_CELLS, "file:/landing", header=True)
+    return W.trial_sheet(W.decode_workbooks(books)).drop("source_file")
+
+
+@query("SELECT grp, company, indicator, row_no, level, c0, c1 FROM cost_sheet", "cost_sheet")
+def landed_outline(spark, sf):
+    """An outline without a header, out of workbooks."""
+    books = workbooks(B.cost_sheet(spark, sf), ["c0", "c1"], "file:/landing", header=False)
+    return W.outline_sheet(W.decode_workbooks(books), L.COST_OF_SALES).drop("source_file")
+
+
+def _drops(spark, sf, landed):
+    """After each of three drops: first versions and an empty workbook, corrected ones, and the same again in another folder."""
+    sheet = B.trial_sheet(spark, sf)
+    receipt = F.when((F.col("row_no") % 5 == 0) & F.col("receipt").isNotNull(), F.lit("1,5")).otherwise(F.col("receipt"))
+    empty = sheet.where("row_no = 4").withColumns({"source_file": F.concat(F.lit("("), "grp", F.lit(")ОСВ 50-51_Пусто.xlsx")), "stacked": F.lit(None).cast("string")})
+    first = sheet.withColumn("receipt", receipt).where("row_no % 11 > 0").unionByName(empty.dropDuplicates(["source_file"]))
+    stage = Staging(spark)
+    for rows, folder, version in ((first, "a", 0), (sheet, "a", 1), (sheet, "b", 2)):
+        land(stage(workbooks(rows, TRIAL_CELLS, f"file:/landing/{folder}", header=True, version=version)), landed)
+        yield
+
+
+@query("SELECT grp, company, row_no, stacked, dim, receipt, payment FROM trial_sheet", "trial_sheet")
+def landed_store(spark, sf):
+    """Corrected workbooks replace what they were, a content in two folders counts once, an empty workbook has no rows."""
+    landed = Staging(spark).folder()
+    for _ in _drops(spark, sf, landed):
+        pass
+    return W.trial_sheet(landed_rows(spark, landed)).where("company <> 'Пусто'").drop("source_file")
+
+
+@query(
+    f"{classified_sql('trial_sheet')}, {trial_facts_sql(CASH_WHERE)}, {trial_daily_sql('item')}"
+    " => SELECT grp, company, org, item, date, receipt, payment, change, opening, closing FROM daily",
+    "trial_sheet",
+)
+def streamed_balances(spark, sf):
+    """Balances kept up to date while workbooks are dropped and corrected."""
+    landed, kept = Staging(spark).folder(), KeptBalances(spark, Staging(spark).folder())
+    for _ in _drops(spark, sf, landed):
+        kept.sync(landed)
+    return kept.trial.daily().where(F.col("origin") == L.CASH).drop("origin", "source_file")
