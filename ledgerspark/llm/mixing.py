@@ -110,8 +110,9 @@ def mix(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, bud
     )
     rows = stage(packed)
     sources = stage(plan(rows.select(F.col("of").alias("source"), "n_tokens"), entropy, repeats, budget, stage).select(F.col("source").alias("of"), "tokens", "docs", "weight", "passes"))
-    # the numbers are written, so they stay; at most one id for BLOCK_DOCS rows is hot
-    hot = rows.groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK_DOCS).select("id", F.lit(True).alias("hot"))
+    # the numbers are written, so they stay; at most one id for BLOCK_DOCS rows is hot. Hot ids and turns are written for
+    # their size to be known: while they are small, no text is shuffled to meet them
+    hot = stage(rows.groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK_DOCS).select("id", F.lit(True).alias("hot")))
     dealt = F.xxhash64(F.lit(seed), "id", F.when(F.col("hot"), F.col("number")))
     placed = _same(_same(rows, hot, "id"), sources, "of").withColumn("block", F.pmod(dealt, F.greatest(F.lit(1), F.ceil(F.col("docs") / BLOCK_DOCS))))
     # the blocks of every pass, in the pass's order, with the tokens before them
@@ -123,10 +124,10 @@ def mix(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, bud
     start = F.coalesce(F.sum("own").over(before), F.lit(0))
     left = F.round(F.col("all") * (F.col("passes") - F.col("pass")))
     turns = turns.select("of", "block", "pass", start.alias("start"), left.alias("left"), "own", "all", "passes").where("start < left")
-    turns = turns.select(
+    turns = stage(turns.select(
         "of", "block", "pass", "start", "left", (F.col("start") + F.col("own") > F.col("left")).alias("cut"),
         ((F.col("pass") * F.col("all") + F.col("start")) / (F.col("all") * F.col("passes"))).alias("position"),
-    )
+    ))
     used = _same(placed.where("n_tokens > 0"), turns, "of", "block").where("pass IS NOT NULL").withColumn("in_block", F.xxhash64(F.lit(seed), "pass", "id"))
     columns = ["row", "n_tokens", "weight", "passes", "pass", "block", "position", "in_block"]
     whole = used.where(~F.col("cut")).select(*columns)
