@@ -7,8 +7,9 @@ says |x' - q'| >= |d(q', pivot) - r|. A query first searches the annulus around
 nearest pivot, which gives it a k-th score, then every other annulus whose bound does not rule it out. The
 others are skipped unseen. Results are exact.
 
-Pivots come from a bounded sample; every vector is indexed. Annuli are dealt out in blocks of vectors against
-blocks of queries, so no task holds more than BLOCK of each, whatever is common.
+Pivots come from a bounded sample, sqrt(n) of n vectors between LEAST_PIVOTS and MOST_PIVOTS; every vector is indexed.
+Annuli are dealt out in blocks of vectors against blocks of queries, so no task holds more than BLOCK of each, whatever is
+common; a block of vectors goes only where some query must look into it.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from ..sources.staging import Staging
 from .words import pack, record
 
-PIVOTS = 16
+LEAST_PIVOTS, MOST_PIVOTS = 16, 256
 RINGS = 8
 BLOCK = 4096
 #: Rounding slack of distances, relative to the largest norm.
@@ -91,7 +92,7 @@ def keyed(rows: DataFrame, pivots: Pivots) -> DataFrame:
 
 
 class Annuli:
-    """All annuli with their bounds: PIVOTS * RINGS rows per vector length, so small whatever the number of vectors."""
+    """All annuli with their bounds: at most MOST_PIVOTS * RINGS rows per vector length, so small whatever the number of vectors."""
 
     def __init__(self, rows: list):
         self.by_dim: dict[int, dict] = {}
@@ -164,18 +165,21 @@ def best(k: int):
     return run
 
 
-def search(vectors: DataFrame, every: int = 50, k: int = 5, pivots: int = PIVOTS) -> DataFrame:
+def search(vectors: DataFrame, every: int = 50, k: int = 5, pivots: int | None = None, effort: dict[str, int] | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k best others by inner product of floored components, ties to the smaller vec_id.
 
     Queries are the vectors whose vec_id is divisible by ``every``. Vectors of different length never meet; one with no
     other of its length gets no row. A vec_id that repeats is a candidate each time, but not to itself; as a query it is
-    asked once (the first of its vectors by content).
+    asked once (the first of its vectors by content). ``effort`` takes how many pairs were scored, and how many there are.
     """
     spark = vectors.sparkSession
     stage = Staging(spark)
     rows = valid(vectors)
     norm = F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v)
-    norm2 = rows.select(F.max(norm).alias("n")).first()["n"] or 0.0
+    whole = rows.agg(F.max(norm).alias("norm2"), F.count("*").alias("n")).first()
+    norm2 = whole["norm2"] or 0.0
+    if pivots is None:
+        pivots = min(MOST_PIVOTS, max(LEAST_PIVOTS, math.isqrt(whole["n"])))
     sample = [r["x"] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).collect()]
     chosen = Pivots(sample, norm2)
     index = stage(keyed(rows, chosen))
@@ -188,17 +192,19 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, pivots: int = PIVOTS
     asked = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("x").alias("x"))
     parts = max(1, -(-asked.count() // BLOCK))
     sizes = spark.createDataFrame([(r["dim"], r["pivot"], r["ring"], -(-r["n"] // BLOCK)) for r in found], "dim int, pivot int, ring int, blocks int")
-    dealt = (
-        index.join(F.broadcast(sizes), ["dim", "pivot", "ring"])
-        .withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "vec_id", "x"), F.col("blocks")).cast("int"))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-        .select("dim", "pivot", "ring", "block", "part", "vec_id", "x")
-    )
-    key = ["dim", "pivot", "ring", "block", "part"]
+    annulus = ["dim", "pivot", "ring"]
+    blocked = index.join(F.broadcast(sizes), annulus).withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "vec_id", "x"), F.col("blocks")).cast("int"))
+    key = [*annulus, "block", "part"]
     part = F.pmod(F.xxhash64(F.lit("part"), "query_id"), F.lit(parts)).cast("int")
 
     def look(queries: DataFrame, first: bool) -> DataFrame:
-        sent = routed(queries, chosen, annuli, first).withColumn("part", part)
+        sent = stage(routed(queries, chosen, annuli, first).withColumn("part", part))
+        wanted = stage(sent.select(key).distinct())
+        dealt = blocked.join(wanted, [*annulus, "block"]).select(*key, "vec_id", "x")
+        if effort is not None:
+            pairs = sent.groupBy(key).count().join(dealt.groupBy(key).agg(F.count("*").alias("n")), key)
+            effort["scored"] = effort.get("scored", 0) + (pairs.agg(F.sum(F.col("count") * F.col("n"))).first()[0] or 0)
+            effort["pairs"] = asked.count() * whole["n"]
         return sent.groupBy(key).cogroup(dealt.groupBy(key)).applyInArrow(best(k), "query_id long, vec_id long, score long")
 
     near = stage(look(asked.withColumn("least", F.lit(None).cast("double")), True))

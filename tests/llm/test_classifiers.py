@@ -1,7 +1,10 @@
 """Quality, toxicity and language: held-out accuracy, the fitted parts against direct computation, odd input."""
 
 import itertools
+import math
+import pickle
 import random
+import re
 import zlib
 
 import numpy as np
@@ -221,3 +224,32 @@ def test_document_score_is_the_chance_of_a_toxic_word():
     chance = [1 - 0.8, 0.0, 1 - 0.1 * 0.5, 1.0]
     got = 1 - np.exp(-toxicity.doubts(p, bounds))
     assert np.allclose(got, chance, atol=1e-5)
+
+
+def plain_features(text):
+    """Distinct places of trigrams and of pairs of word shapes, one byte and word at a time."""
+    data = (text or "").encode()
+    codes = {a << 16 | b << 8 | c for a, b, c in zip(data, data[1:], data[2:])}
+    shapes, before = [], None
+    for word in re.split(rb"[\x20\x09-\x0D]+", data):
+        if word:
+            capitals = sum(65 <= x < 91 for x in word)
+            letters = sum(97 <= x < 123 or x >= 128 for x in word)
+            signs = sum(33 <= x < 48 or 58 <= x < 65 or 91 <= x < 97 or 123 <= x < 127 for x in word)
+            shapes.append(min(capitals, 2) * 16 + (letters > 0) * 8 + min(signs, 3) * 2 + (word == before))
+            before = word
+    codes |= {(a * 48 + b) | 1 << 30 for a, b in zip(shapes, shapes[1:])}
+    return {(c * 2654435769 % (1 << 32)) >> (32 - quality.BITS) for c in codes}
+
+
+def test_quality_scores_equal_brute_force(spark, tables):
+    docs, labels = tables
+    model = quality.train(docs, labels)
+    fitted = pickle.loads(model)
+    texts = [r["text"] for r in docs.limit(40).collect()] + [None, "", "ab", "É é é!! ABC", "a a a a"]
+    got = quality.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    for r in got:
+        places = sorted(plain_features(texts[r["doc_id"]]))
+        norm = math.sqrt(sum(float(fitted["ratio"][p]) ** 2 for p in places))
+        margin = sum(float(fitted["weight"][p]) for p in places) / max(norm, fitted["usual"]) + fitted["bias"]
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-(fitted["slope"] * margin + fitted["shift"]))), abs=1e-6)

@@ -292,3 +292,51 @@ def test_the_cut_is_the_same_however_rows_lie(spark, monkeypatch):
         docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
         cuts.append(sorted((r["doc_id"], r["text"], r["pass"]) for r in mixing.mix(docs, budget=400).collect()))
     assert cuts[0] == cuts[1] and 0 < len(cuts[0]) < 200
+
+
+def chain(*values):
+    """The hash of several values: ints of 4 bytes given as (int,), others of 8."""
+    h = 42
+    for v in values:
+        h = xxhash.xxh64_intdigest(struct.pack("<i", v[0]) if isinstance(v, tuple) else struct.pack("<q", v), h)
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
+def test_mixing_equals_brute_force(spark, monkeypatch):
+    """The permutations, the blocks and the cut, one row at a time."""
+    monkeypatch.setattr(mixing, "BLOCK_DOCS", 10)
+    rows = [(i, " ".join(["w"] * (i * 7 % 9)), ["big"] * 6 + ["mid"] * 2 + ["small"]) for i in range(180)]
+    rows = [(i, t, names[i % 9]) for i, t, names in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for budget in (None, 700):
+        totals = Counter()
+        for _, t, s in rows:
+            totals[s] += len(t.split())
+        whole = sum(totals.values())
+        shares = spark.createDataFrame([(s, n / whole) for s, n in totals.items()], "source string, share double")
+        t = mixing.exponent(shares, 3)
+        raw = {s: (n / whole) ** t for s, n in totals.items()}
+        spend = budget or sum(raw.values()) / min(raw[s] / totals[s] for s in totals)
+        want = []
+        for s, n in totals.items():
+            own = [(i, len(text.split())) for i, text, x in rows if x == s]
+            passes = raw[s] / sum(raw.values()) * spend / n
+            blocks = defaultdict(list)
+            for i, size in own:
+                block = chain((1,), i) % max(1, math.ceil(len(own) / 10))
+                if size:
+                    blocks[block].append((i, size))
+                else:
+                    want.append((i, 0, block))
+            for turn in range(max(math.ceil(round(passes, 9)), 1)):
+                left, start = math.floor(n * (passes - turn) + 0.5), 0
+                for block in sorted(blocks, key=lambda b: (chain((1,), (turn,), b), b)):
+                    size = sum(x for _, x in blocks[block])
+                    upto = start
+                    for i, x in sorted(blocks[block], key=lambda d: (chain((1,), (turn,), d[0]), d[0])):
+                        upto += x
+                        if start < left and (start + size <= left or upto <= left):
+                            want.append((i, turn, block))
+                    start += size
+        got = sorted((r["doc_id"], r["pass"], r["block"]) for r in mixing.mix(docs, budget=budget).collect())
+        assert got == sorted(want) and len(got) > 60

@@ -141,6 +141,16 @@ def test_search_equals_brute_force(spark, monkeypatch, block):
     assert sorted(map(tuple, got.collect())) == brute_top([(i, None if x is None else [None if c is None else float(__import__("numpy").float32(c)) for c in x]) for i, x in rows])
 
 
+def test_clustered_vectors_are_mostly_skipped(spark):
+    rng = random.Random(5)
+    centres = [[rng.uniform(-1, 1) for _ in range(64)] for _ in range(12)]
+    rows = [(i, [c + rng.gauss(0, 0.02) for c in centres[i % 12]]) for i in range(2400)]
+    effort = {}
+    got = vectors.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), effort=effort)
+    assert sorted(map(tuple, got.collect())) == brute_top(rows)
+    assert effort["pairs"] == 48 * 2400 and effort["scored"] < effort["pairs"] / 2
+
+
 def test_search_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert vectors.search(df).count() == 0
