@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import Staging
+
 
 def fold(folds: int, column: str = "doc_id") -> Column:
     """crc32 of the id's text modulo the number of folds; a null id counts as an empty text."""
@@ -25,7 +27,8 @@ def first_rows(rows: DataFrame, of: str, most: int) -> DataFrame:
     kinds = rows.select(of, "doc_id", F.xxhash64("text").alias("h")).distinct()
     order = Window.partitionBy(of).orderBy(F.xxhash64("doc_id"), "doc_id", "h")
     chosen = kinds.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
-    chosen = chosen.select(F.col(of).alias("of"), F.col("doc_id").alias("id"), "h")
+    # written, so that its size is known: a small choice is broadcast, and no text is shuffled to meet it
+    chosen = Staging(rows.sparkSession)(chosen.select(F.col(of).alias("of"), F.col("doc_id").alias("id"), "h"))
     wanted = (F.col(of) == F.col("of")) & (F.col("doc_id") == F.col("id")) & (F.xxhash64("text") == F.col("h"))
     return rows.join(chosen, wanted, "left_semi").groupBy(of, "doc_id", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text")).drop("h")
 
