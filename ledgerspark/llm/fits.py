@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from ..sources.staging import Staging
 
 
+#: Parts of a value's rows that are ranked by themselves.
+PARTS = 64
+
+
 def fold(folds: int, column: str = "doc_id") -> Column:
     """crc32 of the id's text modulo the number of folds; a null id counts as an empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % folds
@@ -25,8 +29,12 @@ def first_rows(rows: DataFrame, of: str, most: int) -> DataFrame:
     shuffled; an id that repeats, or a value that most rows have, fills no task.
     """
     kinds = rows.select(of, "doc_id", F.xxhash64("text").alias("h")).distinct()
-    order = Window.partitionBy(of).orderBy(F.xxhash64("doc_id"), "doc_id", "h")
-    chosen = kinds.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
+    order = [F.xxhash64("doc_id"), "doc_id", "h"]
+    # first within parts of a value, so that the last choice is among PARTS * most rows, however many tasks there are
+    chosen = kinds.withColumn("part", F.pmod("h", F.lit(PARTS)))
+    for among in ([of, "part"], [of]):
+        place = F.row_number().over(Window.partitionBy(*among).orderBy(*order))
+        chosen = chosen.withColumn("place", place).where(F.col("place") <= most)
     # written, so that its size is known: a small choice is broadcast, and no text is shuffled to meet it
     chosen = Staging(rows.sparkSession)(chosen.select(F.col(of).alias("of"), F.col("doc_id").alias("id"), "h"))
     wanted = (F.col(of) == F.col("of")) & (F.col("doc_id") == F.col("id")) & (F.xxhash64("text") == F.col("h"))

@@ -32,6 +32,8 @@ BLOCK_BYTES = 4 << 20
 BLOCK_DOCS = 1 << 14
 #: Terms of items that are searched for in one pass over the index.
 PASS_TERMS = 1 << 20
+#: Parts of an item's hits that are ranked by themselves.
+PARTS = 64
 #: States of an item that are halved together.
 STATES = 512
 
@@ -272,8 +274,11 @@ def search(docs: DataFrame, items: DataFrame, *, k: int = K, pass_terms: int = P
         else:
             blocks = blocks or stage(index(texts, n_docs, length))
             hits = blocks.mapInArrow(find_hits, HITS_SQL)
-        order = Window.partitionBy("item").orderBy(F.desc("score"), "no_id", "doc_id")
-        ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        # first within parts of an item's hits, so that the last ranking is among PARTS * k of them, however many tasks there are
+        ranked = hits.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)))
+        for among in (["item", "part"], ["item"]):
+            order = Window.partitionBy(*among).orderBy(F.desc("score"), "no_id", "doc_id")
+            ranked = ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         names = spark.createDataFrame([(i, name) for i, (name, _) in enumerate(portion)], f"item int, item_id {kind.simpleString()}")
         found = ranked.join(names, "item").select("item_id", "rank", F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "score")
         results.append(found if blocks is None else stage(found))
