@@ -313,6 +313,10 @@ TO_WORDS = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("texts", pa.
 TO_WORDS_SQL = "shard int, kind int, texts binary, words binary, times binary, at binary, values binary"
 SUMS = pa.schema([("key", pa.int64()), ("rows", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("chain", pa.float64())])
 SUMS_SQL = "key long, rows long, n_tokens long, n_known long, base double, chain double"
+#: Sums of texts on their way together: a row for a bucket of texts, not for each text.
+PACKED = pa.schema([("bucket", pa.int32()), ("texts", pa.binary()), ("values", pa.binary())])
+PACKED_SQL = "bucket int, texts binary, values binary"
+BUCKETS_PER_SHARD = 4
 
 
 def per_text(text: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -403,7 +407,7 @@ def ask_words(model: Model):
 
 
 def answer_words(model: Model):
-    all_ = model.tokens + model.kinds + 1
+    all_, buckets = model.tokens + model.kinds + 1, model.shards * BUCKETS_PER_SHARD
 
     def answer(asked: pa.Table, blocks: pa.Table) -> pa.Table:
         words, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -430,15 +434,35 @@ def answer_words(model: Model):
             else:
                 parts.append((keys, zero, zero, zero, zero, logs))
         if not parts:
-            return pa.Table.from_batches([], SUMS)
-        keys, *values = (np.concatenate(x) for x in zip(*parts))
-        texts, place = np.unique(keys, return_inverse=True)
-        added = [np.bincount(place, weights=v) for v in values]
-        return pa.Table.from_batches([record(SUMS, texts, *[v.astype(np.int64) for v in added[:3]], *added[3:])])
+            return pa.Table.from_batches([], PACKED)
+        keys, added = added_up(parts)
+        bucket = shard_of(mix(keys.view(np.uint64)), buckets)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        full = np.flatnonzero(np.diff(cuts))
+        own = [order[cuts[b] : cuts[b + 1]] for b in full]
+        return pa.Table.from_batches([record(PACKED, full, [pack(keys[o]) for o in own], [pack(added[:, o]) for o in own])])
 
     return answer
 
 
+def added_up(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of (keys, five rows of values) and the sums of their values."""
+    keys, *values = (np.concatenate(x) for x in zip(*parts))
+    texts, place = np.unique(keys, return_inverse=True)
+    return texts, np.stack([np.bincount(place, weights=v, minlength=len(texts)) for v in values])
+
+
+def unpacked(table: pa.Table) -> pa.Table:
+    """One row for every text of a bucket."""
+    parts = []
+    for texts, values in zip(table.column("texts").to_pylist(), table.column("values").to_pylist()):
+        keys = np.frombuffer(texts, np.int64)
+        parts.append((keys, *np.frombuffer(values, np.float64).reshape(5, len(keys))))
+    keys, added = added_up(parts)
+    return pa.Table.from_batches([record(SUMS, keys, *[v.astype(np.int64) for v in added[:3]], *added[3:])])
+
+
 def score_by(docs: DataFrame, model: Model) -> DataFrame:
     """key, rows, n_tokens, n_known, base, chain of the texts of docs (columns key, text), rows alike in key summed."""
     send, sql = ask_pairs(model)
@@ -446,8 +470,8 @@ def score_by(docs: DataFrame, model: Model) -> DataFrame:
     passed = asked.groupBy("shard").cogroup(model.pairs.select("shard", "block").groupBy("shard")).applyInArrow(answer_pairs(model), TO_WORDS_SQL)
     words = docs.mapInArrow(ask_words(model), TO_WORDS_SQL)
     every = passed.unionByName(words).withColumn("shard", spread("texts", model.shards, "kind = 2"))
-    found = every.groupBy("shard").cogroup(model.words.select("shard", "block").groupBy("shard")).applyInArrow(answer_words(model), SUMS_SQL)
-    return found.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("rows", "n_tokens", "n_known", "base", "chain")])
+    found = every.groupBy("shard").cogroup(model.words.select("shard", "block").groupBy("shard")).applyInArrow(answer_words(model), PACKED_SQL)
+    return found.groupBy("bucket").applyInArrow(unpacked, SUMS_SQL)
 
 
 def spread(column: str, shards: int, when: str) -> Column:
