@@ -34,7 +34,7 @@ DISCOUNT = 0.75
 #: Text bytes for a shard.
 SHARD_BYTES = 40 << 20
 #: Tokens that a task gathers before it sends them, and texts.
-BATCH_TOKENS = 1_000_000
+BATCH_TOKENS = 500_000
 BATCH_TEXTS = 60_000
 HOT = 1 << 16
 HOT_PER_SHARD = 8
