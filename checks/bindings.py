@@ -244,10 +244,32 @@ events_sheet AS (
   FROM events)"""
 
 
-def counted(rows: DataFrame, first: int) -> DataFrame:
-    """Rows of a source numbered without gaps in the order of ``row_no``, as in a worksheet; the body begins at ``first``."""
-    order = Window.partitionBy("source_file").orderBy("row_no")
-    return rows.withColumn("row_no", F.row_number().over(order) + first - 1)
+# Keys in a slice of a source. Keys are unique there, so this bounds the rows of a slice as well.
+SLICE = 1 << 16
+
+
+def counted(rows: DataFrame, key: F.Column, when: list[F.Column], first: int) -> DataFrame:
+    """Sheet rows, several per input row: ``i`` numbers the conditions that hold.
+
+    ``row_no`` counts the sheet rows of a source_file without gaps in the order of ``key`` and ``i``, as in a worksheet; the
+    body begins at ``first``. A source is numbered in slices of its keys, each from the number of rows in the slices before.
+    """
+    numbers = F.array_compact(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(when)]))
+    sliced = rows.withColumns({"_key": key, "_slice": F.floor(key / SLICE), "_numbers": numbers})
+    before = Window.partitionBy("source_file").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        sliced.groupBy("source_file", "_slice")
+        .agg(F.sum(F.size("_numbers")).alias("_rows"))
+        .select("source_file", "_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    )
+    own = Window.partitionBy("source_file", "_slice").orderBy("_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = sliced.withColumn("_end", F.sum(F.size("_numbers")).over(own)).join(starts, ["source_file", "_slice"])
+    at = (F.col("_start") + F.col("_end") - F.size("_numbers") + first).cast("int")
+    return (
+        placed.select(*rows.columns, at.alias("_at"), F.posexplode("_numbers").alias("_pos", "i"))
+        .withColumn("row_no", F.col("_at") + F.col("_pos"))
+        .drop("_at", "_pos")
+    )
 
 
 def counted_sql(name: str, first: int) -> str:
@@ -258,12 +280,6 @@ def counted_sql(name: str, first: int) -> str:
     )
 
 
-def stack(rows: DataFrame, when: list[F.Column]) -> DataFrame:
-    """Several sheet rows per input row: column ``i`` numbers those whose condition holds."""
-    numbers = F.array_compact(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(when)]))
-    return rows.withColumn("i", F.explode(numbers))
-
-
 def case(*values: F.Column | None) -> F.Column:
     """The value at place ``i``; None stands for null."""
     chosen = F.lit(None).cast("string")
@@ -282,18 +298,17 @@ def trial_sheet(spark: SparkSession, sf: str) -> DataFrame:
     org = F.concat(F.lit("Общество "), F.col("company"), F.lit(" "), F.col("o_custkey") % 2)
     item = F.when(key % 5 != 0, F.concat(F.lit("Статья "), F.left("o_orderpriority", F.lit(1))))
     amount = comma_text(F.col("o_totalprice"))
-    rows = stack(sales(spark, sf), [key % 4 == 0, key % 2 == 0, F.lit(True)])
-    rows = rows.select(
+    orders = sales(spark, sf).withColumn("source_file", workbook("ОСВ 50-51"))
+    return counted(orders, key, [key % 4 == 0, key % 2 == 0, F.lit(True)], 4).select(
         "grp",
         "company",
-        workbook("ОСВ 50-51").alias("source_file"),
-        (key * 3 + 4 + F.col("i")).alias("row_no"),
+        "source_file",
+        "row_no",
         case(account, org, moment_text(F.col("day"), key)).alias("stacked"),
         case(None, None, item).alias("dim"),
         case(None, None, F.when(F.col("o_orderstatus") != "F", amount)).alias("receipt"),
         case(None, None, F.when(F.col("o_orderstatus") != "O", amount)).alias("payment"),
     )
-    return counted(rows, 4)
 
 
 TRIAL_SQL = f"""
@@ -329,17 +344,17 @@ def debt_sheet(spark: SparkSession, sf: str) -> DataFrame:
     )
     supplier = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     rows = lines.join(supplier, "s_suppkey").join(places(spark, sf), F.col("s_nationkey") == F.col("n_nationkey"))
+    rows = rows.withColumn("source_file", workbook("ОСВ 66-67"))
     key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     code = F.col("s_suppkey") % 10
     account = F.concat(F.when(code < 5, "66.0").otherwise("67.0"), code % 5 + 1)
     amount = comma_text(F.col("amount"))
     always = F.lit(True)
-    rows = stack(rows, [always, always, always, F.col("l_linenumber") % 2 == 0, always])
-    rows = rows.select(
+    return counted(rows, key, [always, always, always, F.col("l_linenumber") % 2 == 0, always], 6).select(
         "grp",
         "company",
-        workbook("ОСВ 66-67").alias("source_file"),
-        (key * 5 + 6 + F.col("i")).alias("row_no"),
+        "source_file",
+        "row_no",
         case(
             account,
             F.concat(F.lit("ООО "), F.col("company")),
@@ -351,7 +366,6 @@ def debt_sheet(spark: SparkSession, sf: str) -> DataFrame:
         case(None, None, None, None, F.when(F.col("flag") != "R", amount)).alias("receipt"),
         case(None, None, None, None, F.when(F.col("flag") == "R", amount)).alias("payment"),
     )
-    return counted(rows, 6)
 
 
 _CODE = "(s_suppkey % 10)"
@@ -383,17 +397,16 @@ debt_sheet_rows AS (
 {counted_sql('debt_sheet', 6)}"""
 
 
-def _outline(spark: SparkSession, sf: str, report: str, indicator, first_row: int, step: int, cells) -> DataFrame:
+def _outline(spark: SparkSession, sf: str, name: F.Column, indicator, first: int, cells) -> DataFrame:
     """An outline sheet: ``cells`` lists (level, emitted when, label, measure) per order."""
-    key = F.col("o_orderkey")
     levels, when, labels, measures = zip(*cells, strict=True)
-    rows = stack(sales(spark, sf).withColumn("indicator", indicator), list(when))
-    return rows.select(
+    orders = sales(spark, sf).withColumn("indicator", indicator).withColumn("source_file", name)
+    return counted(orders, F.col("o_orderkey"), list(when), first).select(
         "grp",
         "company",
-        workbook(report).alias("source_file"),
+        "source_file",
         "indicator",
-        (key * step + first_row + F.col("i")).alias("row_no"),
+        "row_no",
         F.element_at(F.array(*[F.lit(level) for level in levels]), F.col("i") + 1).alias("level"),
         case(*labels).alias("c0"),
         case(*measures).alias("c1"),
@@ -401,18 +414,17 @@ def _outline(spark: SparkSession, sf: str, report: str, indicator, first_row: in
 
 
 def cost_sheet(spark: SparkSession, sf: str) -> DataFrame:
-    return counted(_cost_rows(spark, sf), 6)
+    return _cost_outline(spark, sf, workbook(L.COST_OF_SALES), F.lit(L.COST_OF_SALES))
 
 
-def _cost_rows(spark: SparkSession, sf: str) -> DataFrame:
+def _cost_outline(spark: SparkSession, sf: str, name: F.Column, indicator: F.Column) -> DataFrame:
     """Outline of the cost reports: organisation, accounts, kind, item and date rows per order."""
     key, always = F.col("o_orderkey"), F.lit(True)
     return _outline(
         spark,
         sf,
-        L.COST_OF_SALES,
-        F.lit(L.COST_OF_SALES),
-        6,
+        name,
+        indicator,
         6,
         [
             (0, key % 3 == 0, F.concat_ws(" ", "company", F.col("o_custkey") % 2), None),
@@ -450,10 +462,8 @@ def indicator_of_costs() -> F.Column:
 
 def costs_sheet(spark: SparkSession, sf: str) -> DataFrame:
     """The cost outline, dealt out to the six reports of its shape, a workbook each."""
-    rows = _cost_rows(spark, sf).withColumn("o_orderkey", F.floor((F.col("row_no") - 6) / 6))
-    rows = rows.withColumn("indicator", indicator_of_costs()).drop("o_orderkey")
     name = F.concat(F.lit("("), "grp", F.lit(")"), "indicator", F.lit("_"), "company", F.lit(".xlsx"))
-    return counted(rows.withColumn("source_file", name), 6)
+    return _cost_outline(spark, sf, name, indicator_of_costs())
 
 
 COSTS_SQL = f"""{COST_SQL},
@@ -473,13 +483,12 @@ def revenue_sheet(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("o_custkey") % 5 == 1, buyer)
         .otherwise(F.concat(buyer, F.lit(", ООО,77"), F.col("o_custkey") % 5))
     )
-    rows = _outline(
+    return _outline(
         spark,
         sf,
-        L.REVENUE,
+        workbook(L.REVENUE),
         F.lit(L.REVENUE),
         8,
-        8,
         [
             (0, always, F.concat_ws(" ", "company", F.col("o_custkey") % 2), None),
             (1, key % 3 == 0, F.lit("90.01"), None),
@@ -491,7 +500,6 @@ def revenue_sheet(spark: SparkSession, sf: str) -> DataFrame:
             (7, always, F.concat(F.lit("Операция "), key % 3), comma_text(F.col("o_totalprice"))),
         ],
     )
-    return counted(rows, 8)
 
 
 REVENUE_SQL = f"""
@@ -514,13 +522,12 @@ revenue_sheet_rows AS (
 def deduction_sheet(spark: SparkSession, sf: str) -> DataFrame:
     """Outline of the deductions, down to the operation; the operation of every order recurs."""
     key, always = F.col("o_orderkey"), F.lit(True)
-    rows = _outline(
+    return _outline(
         spark,
         sf,
-        L.DEDUCTIONS,
+        workbook(L.DEDUCTIONS),
         F.lit(L.DEDUCTIONS),
         6,
-        6,
         [
             (0, always, F.concat_ws(" ", "company", F.col("o_custkey") % 2), None),
             (1, key % 3 == 0, F.lit("90.03"), None),
@@ -530,7 +537,6 @@ def deduction_sheet(spark: SparkSession, sf: str) -> DataFrame:
             (5, always, F.concat(F.lit("Операция "), key % 3), comma_text(F.floor(F.col("o_totalprice") / 6))),
         ],
     )
-    return counted(rows, 6)
 
 
 DEDUCTION_SQL = f"""

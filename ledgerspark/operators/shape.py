@@ -169,6 +169,8 @@ def outline_flatten(
         *[F.when(F.col(level) == depth, F.col(label)).alias(name) for depth, name in levels.items()],
     )
     ancestors = [name for name in levels.values() if name != leaf]
+    # rows of other levels neither hand anything down nor come out
+    spread = spread.where(_any_present(levels.values()))
     filled = forward_fill(spread, ancestors, order=order, source=source, block_rows=block_rows)
     return filled.where(F.col(leaf).isNotNull())
 
