@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import datetime
 import io
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import groupby
 from xml.sax.saxutils import escape
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FILES = "path string, modificationTime timestamp, length long, content binary"
+# Rows of a sheet that are in memory at once.
+BLOCK_ROWS = 1 << 16
 
 # The parts of a workbook and their namespaces.
 MAIN = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
@@ -30,46 +34,79 @@ def _part(name: str) -> zipfile.ZipInfo:
     return part
 
 
-def _book(rows: pd.DataFrame, cells: Sequence[str | None], first: int) -> bytes:
+def _packed(rows: pa.Table) -> bytes:
+    out = io.BytesIO()
+    with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_table(rows)
+    return out.getvalue()
+
+
+def _book(blocks: Iterator[bytes], cells: Sequence[str | None], first: int) -> bytes:
     """Text of the first column is shared, that of the others stands in its cell."""
     shared: dict[str, int] = {}
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
         for name, text in PARTS.items():
             book.writestr(_part(name), text)
-        with book.open(_part("xl/worksheets/sheet1.xml"), "w") as sheet:
+        # a sheet's text may pass 2 GB
+        with book.open(_part("xl/worksheets/sheet1.xml"), "w", force_zip64=True) as sheet:
             sheet.write(f"<worksheet {MAIN}><sheetData>".encode())
             if first == 2:
                 sheet.write(b'<row r="1"><c r="A1" t="inlineStr"><is><t>H</t></is></c></row>')
-            columns = [(chr(65 + i), rows[c].tolist()) for i, c in enumerate(cells) if c]
-            levels = rows["level"].tolist() if "level" in rows else [0] * len(rows)
-            for i, (row_no, level) in enumerate(zip(rows["row_no"].tolist(), levels)):
-                r, made = row_no + first, []
-                for letter, values in columns:
-                    value = values[i]
-                    if value is None:
-                        continue
-                    if letter == "A":
-                        made.append(f'<c r="A{r}" t="s"><v>{shared.setdefault(value, len(shared))}</v></c>')
-                    else:
-                        made.append(f'<c r="{letter}{r}" t="inlineStr"><is><t xml:space="preserve">{escape(value)}</t></is></c>')
-                outline = f' outlineLevel="{level}"' if level else ""
-                sheet.write(f'<row r="{r}"{outline}>{"".join(made)}</row>'.encode())
+            for block in blocks:
+                sheet.write(_rows(pa.ipc.open_stream(block).read_all(), cells, first, shared).encode())
             sheet.write(b"</sheetData></worksheet>")
         book.writestr(_part("xl/sharedStrings.xml"), f"<sst {MAIN}>" + "".join(f'<si><t xml:space="preserve">{escape(s)}</t></si>' for s in shared) + "</sst>")
     return out.getvalue()
 
 
+def _rows(rows: pa.Table, cells: Sequence[str | None], first: int, shared: dict[str, int]) -> str:
+    columns = [(chr(65 + i), rows[c].to_pylist()) for i, c in enumerate(cells) if c]
+    levels = rows["level"].to_pylist() if "level" in rows.column_names else [0] * len(rows)
+    lines = []
+    for i, (row_no, level) in enumerate(zip(rows["row_no"].to_pylist(), levels)):
+        r, made = row_no + first, []
+        for letter, values in columns:
+            value = values[i]
+            if value is None:
+                continue
+            if letter == "A":
+                made.append(f'<c r="A{r}" t="s"><v>{shared.setdefault(value, len(shared))}</v></c>')
+            else:
+                made.append(f'<c r="{letter}{r}" t="inlineStr"><is><t xml:space="preserve">{escape(value)}</t></is></c>')
+        outline = f' outlineLevel="{level}"' if level else ""
+        lines.append(f'<row r="{r}"{outline}>{"".join(made)}</row>')
+    return "".join(lines)
+
+
+def pieces(sheet: DataFrame, cells: Sequence[str | None]) -> DataFrame:
+    """The sheet's blocks in order of their rows, each compressed: source_file, block, n rows, piece."""
+
+    def pack(rows: pa.Table) -> pa.Table:
+        own = rows.drop_columns(["source_file", "block"]).sort_by("row_no")
+        return pa.table({"source_file": rows["source_file"][:1], "block": rows["block"][:1], "n": [len(rows)], "piece": [_packed(own)]})
+
+    used = sheet.select("source_file", F.col("row_no").cast("long").alias("row_no"), *[c for c in ("level",) if c in sheet.columns], *[c for c in cells if c])
+    blocked = used.withColumn("block", F.floor(F.col("row_no") / BLOCK_ROWS))
+    return blocked.groupBy("source_file", "block").applyInArrow(pack, "source_file string, block long, n long, piece binary")
+
+
 def workbooks(sheet: DataFrame, cells: Sequence[str | None], folder: str, *, header: bool, version: int = 0) -> DataFrame:
     """A workbook for every source_file of a sheet (row_no, and level for outlines): its cells are the named columns, None is an empty one.
 
-    A group is a worksheet, which has at most 2^20 rows. ``version`` shifts the files' times.
+    A workbook is written from its blocks, one after the other: a task holds a block and the file, not the rows of the
+    sheet. ``version`` shifts the files' times.
     """
 
-    def make(rows: pd.DataFrame) -> pd.DataFrame:
-        content = _book(rows.sort_values("row_no"), cells, 2 if header else 1)
-        time = pd.Timestamp("2024-01-01") + pd.Timedelta(days=version)
-        return pd.DataFrame([(f"{folder}/{rows['source_file'].iloc[0]}", time, len(content), content)], columns=["path", "modificationTime", "length", "content"])
+    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = ((name, piece) for batch in batches for name, piece in zip(batch["source_file"], batch["piece"], strict=True))
+        for name, own in groupby(parts, lambda part: part[0]):
+            content = _book((piece for _, piece in own), cells, 2 if header else 1)
+            yield pd.DataFrame([(f"{folder}/{name}", len(content), content)], columns=["path", "length", "content"])
 
-    used = sheet.select("source_file", F.col("row_no").cast("long").alias("row_no"), *[c for c in ("level",) if c in sheet.columns], *[c for c in cells if c])
-    return used.groupBy("source_file").applyInPandas(make, FILES)
+    # as many parts as there are cores, so that a task has few workbooks
+    cores = sheet.sparkSession.sparkContext.defaultParallelism
+    ordered = pieces(sheet, cells).repartition(cores, "source_file").sortWithinPartitions("source_file", "block").select("source_file", "piece")
+    made = ordered.mapInPandas(make, "path string, length long, content binary")
+    time = datetime.date(2024, 1, 1) + datetime.timedelta(days=version)
+    return made.select("path", F.lit(time).cast("timestamp").alias("modificationTime"), "length", "content")

@@ -3,8 +3,10 @@
 from pyspark.sql import functions as F
 
 from checks import bindings as B
+from checks import books
 from helpers import rows
 from ledgerspark import operators as O
+from ledgerspark.sources import workbooks as W
 
 
 def test_sheet_rows_are_numbered_in_slices(spark, monkeypatch):
@@ -34,3 +36,19 @@ def test_outline_rows_of_other_levels_are_not_shuffled(spark, monkeypatch):
     flat = O.outline_flatten(df, {0: "org", 3: "date"}, "date")
     assert rows(flat.select("row_no", "org", "date", "change")) == [(3, "a", "2024", "5"), (6, "a", "2025", "7")]
     assert seen == [3]
+
+
+def test_workbooks_are_made_block_by_block(spark, monkeypatch):
+    """No task of the first step gets more than a block, and the workbook is that of all rows."""
+    monkeypatch.setattr(books, "BLOCK_ROWS", 4)
+    made = [(f"(Г)ОСВ 50-51_{c}.xlsx", i, f"s{i % 3}" if i % 2 else None, None if i % 5 else f"<{i}>") for c in "АБ" for i in range(4, 31)]
+    sheet = spark.createDataFrame(made, "source_file string, row_no int, stacked string, dim string")
+    pieces = books.pieces(sheet, ["stacked", "dim"])
+    assert {r["n"] for r in pieces.collect()} <= {1, 2, 3, 4} and pieces.count() == 14
+    files = books.workbooks(sheet, ["stacked", "dim"], "file:/landing", header=True)
+    got = W.trial_sheet(W.decode_workbooks(files)).where("stacked is not null or dim is not null")
+    want = sheet.where("stacked is not null or dim is not null").withColumn("company", F.regexp_extract("source_file", "_(.)", 1))
+    assert rows(got, "company", "row_no", "stacked", "dim") == rows(want, "company", "row_no", "stacked", "dim")
+    assert {(r["path"], r["n"]) for r in files.select("path", F.expr("length - octet_length(content)").alias("n")).collect()} == {
+        (f"file:/landing/(Г)ОСВ 50-51_{c}.xlsx", 0) for c in "АБ"
+    }
