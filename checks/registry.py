@@ -439,7 +439,7 @@ _TRIAL_SPLIT = f"{classified_sql('trial_sheet')}, {trial_facts_sql(CASH_WHERE)}"
 
 
 def _desk_facts(spark, sf):
-    return R.cash_desk_facts(B.trial_sheet(spark, sf))
+    return R.cash_desk_facts(B.trial_sheet(spark, sf), Staging(spark))
 
 
 @query(
@@ -616,7 +616,7 @@ def ledger_group_sum(spark, sf):
 
 @query(f"{DEBT_FACTS} => SELECT * FROM facts", "debt_sheet")
 def debt_group_sum(spark, sf):
-    return R.debt_facts(B.debt_sheet(spark, sf))
+    return R.debt_facts(B.debt_sheet(spark, sf), Staging(spark))
 
 
 @query("SELECT grp, max(date) AS last_date FROM moves GROUP BY ALL", "moves")

@@ -14,12 +14,26 @@ from pyspark.sql import functions as F
 
 from ..functions.parsing import DATETIME_FORMATS, file_company, file_group, parse_multi_datetime
 
-# The row limit of a worksheet: a sheet read from a workbook is always a single block.
-BLOCK_ROWS = 1 << 20
+# Small enough that the blocks which fall into one task by chance stay far below its memory.
+BLOCK_ROWS = 1 << 17
 
 SOURCE = ("source_file",)
 
 
+def _dealt(blocked: DataFrame, source: Sequence[str]) -> DataFrame:
+    """Blocks dealt to all shuffle partitions.
+
+    With a number, adaptive execution doesn't coalesce them: sheets compress to few bytes a row, so partitions of its size
+    would have millions of rows to sort.
+    """
+    parts = int(blocked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return blocked.repartition(parts, *source, "_block")
+
+
+def _as_is(df: DataFrame) -> DataFrame:
+    return df
+
+
 def skip_preamble(df: DataFrame, n: int, order: str = "row_no") -> DataFrame:
     """Drop the title rows above the report body."""
     return df.where(F.col(order) >= n)
@@ -54,21 +68,26 @@ def forward_fill_steps(
     order: str = "row_no",
     source: Sequence[str] = SOURCE,
     block_rows: int = BLOCK_ROWS,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Several fills one after the other, each ``(cols, within)``; later keys may be filled columns.
 
-    All steps share one shuffle by source and block.
+    All steps share one shuffle by source and block. ``stage`` materialises what the blocks hand on, a few rows each:
+    without it, every step derives anew what all steps before it have handed on.
     """
+    stage = stage or _as_is
     filled = df.withColumn("_block", F.floor(F.col(order) / block_rows))
     # Only sources longer than a block hand values on; where there is none, adaptive execution
     # drops everything that hangs on them.
-    long_sources = df.where(F.col(order) >= block_rows).select(*source).distinct()
+    long_sources = stage(df.where(F.col(order) >= block_rows).select(*source).distinct())
     used = dict.fromkeys(c for cols, within in steps for c in (*cols, *within))
     long_rows = filled.select(*source, "_block", order, *used).join(long_sources, list(source), "left_semi")
+    filled = _dealt(filled, source)
     for n, (cols, within) in enumerate(steps):
         scope = [*source, *within]
-        carried = _handed_over(long_rows, list(cols), order, scope)
+        carried = stage(_handed_over(long_rows, list(cols), order, scope))
         if n < len(steps) - 1:
+            long_rows = _dealt(long_rows, source) if n == 0 else long_rows
             long_rows = _fill(long_rows, carried, list(cols), order, list(source), list(within))
         filled = _fill(filled, carried, list(cols), order, list(source), list(within))
     return filled.select(*df.columns)
@@ -81,18 +100,21 @@ def fill_from_headers(
     order: str = "row_no",
     source: Sequence[str] = SOURCE,
     block_rows: int = BLOCK_ROWS,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """``forward_fill_steps`` for sheets where few rows have a value in any of the columns to fill: their headers.
 
     A header row holds for the rows below it up to the next one. So the steps are taken on the headers alone, and all
     rows get the state of their last header in one pass: the rows are sorted once, however many steps there are.
+    ``stage`` materialises the filled headers, which are read twice.
     """
+    stage = stage or _as_is
     cols = list(dict.fromkeys(c for own, _ in steps for c in own))
     is_header = _any_present(cols)
-    headers = forward_fill_steps(df.where(is_header), steps, order=order, source=source, block_rows=block_rows)
+    headers = stage(forward_fill_steps(df.where(is_header), steps, order=order, source=source, block_rows=block_rows, stage=stage))
     state = F.struct(*cols)
     marked = headers.withColumn("_state", state).unionByName(df.where(~is_header), allowMissingColumns=True)
-    marked = marked.withColumn("_block", F.floor(F.col(order) / block_rows))
+    marked = _dealt(marked.withColumn("_block", F.floor(F.col(order) / block_rows)), source)
     so_far = Window.partitionBy(*source, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = marked.withColumn("_state", F.last("_state", ignorenulls=True).over(so_far))
     # what the blocks of a long source receive: the last header of the blocks before

@@ -103,7 +103,7 @@ def trial_balance_facts(
     rows = O.classify_stacked(O.skip_preamble(sheet, TRIAL_PREAMBLE), X.cash_bank_rules)
     rows = rows.select(*FILE, "row_no", "account", "org", "date", F.col("dim").alias("item"), "receipt", "payment")
     rows = _read(rows, stage, rejects, L.TRIAL_BALANCE)
-    rows = O.forward_fill_steps(rows, [(["account"], []), (["org", "item"], ["account"])])
+    rows = O.forward_fill_steps(rows, [(["account"], []), (["org", "item"], ["account"])], stage=stage)
     origin = F.lit(None).cast("string")
     for label, report in reports.items():
         origin = F.when(X.account_filter("account", **report.account), F.lit(label)).otherwise(origin)
@@ -122,6 +122,7 @@ def debt_facts(sheet: DataFrame, stage: Stage = as_is, rejects: Rejects | None =
     rows = O.fill_from_headers(
         _read(rows, stage, rejects, L.DEBT_BALANCE),
         [(["account"], []), (["org", "creditor"], ["account"]), (["contract"], ["account", "creditor"])],
+        stage=stage,
     )
     rows = _with_movements(rows.where(F.col("date").isNotNull()))
     rows = O.fill_defaults(rows, {"creditor": L.MISSING_TEXT}).withColumns(X.classify_debt("account"))

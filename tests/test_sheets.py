@@ -52,3 +52,22 @@ def test_workbooks_are_made_block_by_block(spark, monkeypatch):
     assert {(r["path"], r["n"]) for r in files.select("path", F.expr("length - octet_length(content)").alias("n")).collect()} == {
         (f"file:/landing/(Г)ОСВ 50-51_{c}.xlsx", 0) for c in "АБ"
     }
+
+
+def test_each_fill_derives_what_is_handed_on_once(spark):
+    """With a stage, the rows are read a few times per step, not twice as often with every step."""
+    df = spark.createDataFrame([("f", i, *("x" if i % (k + 2) == 0 else None for k in range(4))) for i in range(30)], "source_file string, row_no int, a string, b string, c string, d string")
+    steps = [(["a"], []), (["b"], ["a"]), (["c"], ["a", "b"]), (["d"], ["a", "b", "c"])]
+    want = rows(O.forward_fill_steps(df, steps, block_rows=4))
+    plans = []
+
+    def stage(part):
+        plans.append(part._jdf.queryExecution().optimizedPlan().toString().count("Window"))
+        return spark.createDataFrame(part.collect(), part.schema)
+
+    got = O.forward_fill_steps(df, steps, block_rows=4, stage=stage)
+    assert rows(got) == want
+    # the n-th hand-over needs the n-1 fills before it, one look at the blocks before, nothing else
+    windows = [n for n in plans if n]
+    assert len(windows) == len(steps) and max(windows) <= 3 * len(steps)
+    assert rows(O.fill_from_headers(df, steps, block_rows=4, stage=stage)) == rows(O.fill_from_headers(df, steps, block_rows=4))
