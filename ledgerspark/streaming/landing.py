@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.parsing import file_group
 from ..sources.files import Files, partition_value
 from ..sources.staging import Staging
-from ..sources.workbooks import LANDED, LANDED_COLUMNS, decode_workbooks, file_name, find_workbooks, identity, workbook_kind
+from ..sources.workbooks import LANDED, LANDED_COLUMNS, decode_workbooks, file_name, find_workbooks, identified, workbook_kind
 
 LANDED_PARTITIONS = ["kind", "grp"]
 FILES, ARRIVALS = "_files", "_arrivals"
@@ -38,8 +38,8 @@ def arrived(batch: DataFrame) -> list:
 
     They come to the driver: a batch has at most BATCH_FILES workbooks.
     """
-    return of_known_kind(batch).select(
-        "path", F.col("modificationTime").alias("modified"), "length", identity().alias("source_file"), "kind",
+    return of_known_kind(identified(of_known_kind(batch))).select(
+        "path", F.col("modificationTime").alias("modified"), "length", "source_file", "kind",
         F.current_timestamp().alias("arrived"), file_group("name", strict=True).alias("grp"),
     ).collect()
 

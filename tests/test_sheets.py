@@ -1,11 +1,17 @@
 """The bindings' sheets at any size: numbered in slices, made into workbooks block by block."""
 
+import io
+import zipfile
+
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from checks import bindings as B
 from checks import books
-from helpers import rows
+from helpers import rows, workbook
 from ledgerspark import operators as O
+from ledgerspark.functions import labels as L
 from ledgerspark.sources import workbooks as W
 
 
@@ -71,3 +77,78 @@ def test_each_fill_derives_what_is_handed_on_once(spark):
     windows = [n for n in plans if n]
     assert len(windows) == len(steps) and max(windows) <= 3 * len(steps)
     assert rows(O.fill_from_headers(df, steps, block_rows=4, stage=stage)) == rows(O.fill_from_headers(df, steps, block_rows=4))
+
+
+def test_no_row_has_a_whole_workbook(spark, monkeypatch):
+    """Blocks are written by themselves, and a long workbook is made and read in parts of its content."""
+    monkeypatch.setattr(books, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(books, "PART_BYTES", 512)
+    made = [(f"(Г){L.COST_OF_SALES}_{c}.xlsx", i, i % 3, f"s{i % 20}&" if i % 7 else None, None if i % 5 else f"<{i}>") for c in "АБ" for i in range(6, 106)]
+    sheet = spark.createDataFrame(made, "source_file string, row_no int, level int, c0 string, c1 string")
+    files = books.workbooks(sheet, ["c0", "c1"], "file:/landing", header=False).cache()
+    parts = files.orderBy("path", "part").collect()
+    assert len(parts) > 4 and max(len(r["content"]) for r in parts) < 2000
+    whole = {p: b"".join(bytes(r["content"]) for r in parts if r["path"] == p) for p in {r["path"] for r in parts}}
+    for path, content in whole.items():
+        assert {r["length"] for r in parts if r["path"] == path} == {len(content)}
+        assert [r["part"] for r in parts if r["path"] == path] == list(range(sum(r["path"] == path for r in parts)))
+        assert zipfile.ZipFile(io.BytesIO(content)).testzip() is None
+    # behind a join by the path as well, whose shuffle has the parts together but in any order
+    joined = files.join(spark.createDataFrame([(p,) for p in whole], "path string"), "path")
+    want = rows(sheet.withColumn("company", F.regexp_extract("source_file", "_(.)", 1)), "company", "row_no", "level", "c0", "c1")
+    assert rows(W.outline_sheet(W.decode_workbooks(joined), L.COST_OF_SALES), "company", "row_no", "level", "c0", "c1") == want
+    one = spark.createDataFrame([(p, bytearray(c)) for p, c in whole.items()], "path string, content binary")
+    identities = rows(one.select(W.identity(W.file_name("path")).alias("source_file")))
+    assert rows(W.identified(files).select("source_file")) == identities
+    assert rows(W.decode_workbooks(files).select("source_file").distinct()) == identities
+
+
+MAIN = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+
+
+def sheet_of(body, head="<worksheet {}>", tail="</worksheet>"):
+    """A workbook of 300 rows whose sheet has other XML."""
+    plain = zipfile.ZipFile(io.BytesIO(workbook([["Имя", None, "Имя"], *[["a", f"т{i}", i] for i in range(300)]])))
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as book:
+        for name in plain.namelist():
+            if name != "xl/worksheets/sheet1.xml":
+                book.writestr(name, plain.read(name))
+                continue
+            old = plain.read(name).decode()
+            rows_of = old[old.index("<sheetData>") + len("<sheetData>") : old.index("</sheetData>")]
+            book.writestr(name, body(rows_of, head.format(MAIN), tail))
+    return out.getvalue()
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        lambda r, a, z: f"{a}<cols><col min='1'/></cols><sheetData>{r}</sheetData><rowBreaks/>{z}",
+        lambda r, a, z: f"<?xml version='1.0' encoding='UTF-8'?>\n{a}<sheetData x='1'>{r.replace('a', '&lt;')}</sheetData>{z}",
+        lambda r, a, z: f"{a}<sheetData>{r[:9000]}{r[9000:].replace('<row', '<!-- </row> --><row')}</sheetData>{z}",
+        lambda r, a, z: f"<x:worksheet {MAIN.replace('xmlns', 'xmlns:x')}><x:sheetData>{r.replace('</', '</x:').replace('<', '<x:').replace('<x:/x:', '</x:')}</x:sheetData></x:worksheet>",
+        lambda r, a, z: f"{a}<sheetData>{''.join(part if i % 3 else '<row' + part[part.find('>'):] if part else '' for i, part in enumerate(r.replace('<row', chr(0) + '<row').split(chr(0))))}</sheetData>{z}",
+        lambda r, a, z: f"{a}<sheetData>{r}<row r='400'/><row/><row><c><v>7</v></c></row></sheetData>{z}",
+        lambda r, a, z: f"<?xml version='1.0' encoding='UTF-16'?>{a}<sheetData>{r}</sheetData>{z}".encode("utf-16"),
+    ],
+)
+def test_documents_of_a_sheet_give_its_rows(monkeypatch, body):
+    """Cut into documents, however it is written, a sheet has the rows that a parser finds in the whole of it."""
+    content = sheet_of(body)
+    with zipfile.ZipFile(io.BytesIO(content)) as book:
+        strings, dated = W._book_parts(book)
+        root = W.ElementTree.fromstring(book.read("xl/worksheets/sheet1.xml"))
+    data = next(node for node in root if W._tag(node) == "sheetData")
+    for node in data.iter():
+        node.tag = W._tag(node)
+    want = list(W._parsed_rows(b"<worksheet>" + W.ElementTree.tostring(data) + b"</worksheet>", 0, strings, dated))
+    monkeypatch.setattr(W, "DOCUMENT_BYTES", 2000)
+    monkeypatch.setattr(W, "READ_BYTES", 700)
+    assert list(W._sheet_rows(content)) == want
+    batch = pa.RecordBatch.from_pylist([{"name": "n", "kind": L.TRIAL_BALANCE, "part": i, "content": content[at : at + 999]} for i, at in enumerate(range(0, len(content), 999))])
+    documents = list(W._documents([batch]))
+    assert len(documents) > 5 and max(len(d.column("texts")[0]) for d in documents) <= len(strings)
+    got = [row for part in W._decode(documents) for row in part.to_pylist()]
+    assert [(r["row_no"] + 1, r["level"], r["cells"]) for r in got] == want[1:]
+    assert [dict(r["fields"]) for r in got] == [{h: c for h, c in zip(want[0][2], cells) if h is not None} for _, _, cells in want[1:]]
