@@ -1053,14 +1053,19 @@ def landed_outline(spark, sf):
 
 def _drops(spark, sf, landed):
     """After each of three drops: first versions and an empty workbook, corrected ones, and the same again in another folder."""
-    sheet = B.trial_sheet(spark, sf)
+    stage = Staging(spark)
+    sheet = stage(B.trial_sheet(spark, sf))
     receipt = F.when((F.col("row_no") % 5 == 0) & F.col("receipt").isNotNull(), F.lit("1,5")).otherwise(F.col("receipt"))
     empty = sheet.where("row_no = 4").withColumns({"source_file": F.concat(F.lit("("), "grp", F.lit(")ОСВ 50-51_Пусто.xlsx")), "stacked": F.lit(None).cast("string")})
     first = sheet.withColumn("receipt", receipt).where("row_no % 11 > 0").unionByName(empty.dropDuplicates(["source_file"]))
-    stage = Staging(spark)
-    for rows, folder, version in ((first, "a", 0), (sheet, "a", 1), (sheet, "b", 2)):
-        land(stage(workbooks(rows, TRIAL_CELLS, f"file:/landing/{folder}", header=True, version=version)), landed)
-        yield
+    land(stage(workbooks(first, TRIAL_CELLS, "file:/landing/a", header=True)), landed)
+    yield
+    corrected = stage(workbooks(sheet, TRIAL_CELLS, "file:/landing/a", header=True, version=1))
+    land(corrected, landed)
+    yield
+    moved = {"path": F.replace("path", F.lit("/landing/a/"), F.lit("/landing/b/")), "modificationTime": F.col("modificationTime") + F.expr("INTERVAL 1 DAY")}
+    land(corrected.withColumns(moved), landed)
+    yield
 
 
 @query("SELECT grp, company, row_no, stacked, dim, receipt, payment FROM trial_sheet", "trial_sheet")

@@ -12,6 +12,7 @@ has another one or is withdrawn.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -122,7 +123,7 @@ def _update(spark: SparkSession, landed: str, new: list, touched: list[tuple[str
                 one_path = {f["source_file"]: f["path"] for f in new}
                 decoded = decode_workbooks(batch.where(F.col("path").isin([one_path[s] for _, _, s in fresh])))
                 rows = old.where(~F.col("source_file").isin([s for _, _, s in fresh])).unionByName(decoded)
-            _replace(folder, stage(rows), LANDED_PARTITIONS, "", {f"kind={k}/grp={g}" for k, g in changed})
+            _replace(folder, rows, LANDED_PARTITIONS, "", {f"kind={k}/grp={g}" for k, g in changed})
         # from here on the new rows count
         _replace(folder, after, ["grp"], FILES, {f"grp={g}" for g in groups})
     return changed
@@ -140,14 +141,19 @@ def _of(partitions: Iterable[tuple[str, str]]) -> Column:
 
 
 def _replace(folder: Files, table: DataFrame, by: list[str], name: str, touched: set[str]) -> None:
-    """Write a staged table over the touched partitions; those it has no rows of are deleted."""
-    root = f"{folder.root}/{name}".rstrip("/")
-    table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(root)
-    left = {"/".join(f"{c}={v}" for c, v in r.asDict().items()) for r in table.select(*by).distinct().collect()}
-    for emptied in _folders(folder, name, len(by)):
-        value = "/".join(f"{part.partition('=')[0]}={partition_value(part)}" for part in emptied)
-        if value in touched - left:
-            folder.delete("/".join([name, *emptied]).lstrip("/"))
+    """Write a table in place of the touched partitions; those it has no rows of are deleted.
+
+    It is written beside them first, as it may be read from them.
+    """
+    beside = f"_next-{uuid.uuid4().hex}"
+    table.write.partitionBy(*by).parquet(f"{folder.root}/{beside}")
+    for old in _folders(folder, name, len(by)):
+        value = "/".join(f"{part.partition('=')[0]}={partition_value(part)}" for part in old)
+        if value in touched:
+            folder.delete("/".join([name, *old]).lstrip("/"))
+    for new in _folders(folder, beside, len(by)):
+        folder.move("/".join([beside, *new]), "/".join([name, *new]).lstrip("/"))
+    folder.delete(beside)
 
 
 def _folders(folder: Files, name: str, depth: int) -> list[list[str]]:

@@ -2,6 +2,7 @@
 
 import io
 import zipfile
+from pathlib import Path
 
 import pyarrow as pa
 import pytest
@@ -12,7 +13,9 @@ from checks import books
 from helpers import rows, workbook
 from ledgerspark import operators as O
 from ledgerspark.functions import labels as L
+from ledgerspark.sources import Staging
 from ledgerspark.sources import workbooks as W
+from ledgerspark.streaming import land, landed_rows
 
 
 def test_sheet_rows_are_numbered_in_slices(spark, monkeypatch):
@@ -152,3 +155,24 @@ def test_documents_of_a_sheet_give_its_rows(monkeypatch, body):
     got = [row for part in W._decode(documents) for row in part.to_pylist()]
     assert [(r["row_no"] + 1, r["level"], r["cells"]) for r in got] == want[1:]
     assert [dict(r["fields"]) for r in got] == [{h: c for h, c in zip(want[0][2], cells) if h is not None} for _, _, cells in want[1:]]
+
+
+def landed_twice(spark, tmp_path):
+    trial = workbook([["Счет"], *[["т"]] * 4, ["50.01"], ["ООО"], ["01.01.2024 0:00:00", "Аренда", None, None, "1", None]])
+    for version, company in enumerate("АБ"):
+        Path(tmp_path / f"(Г){L.TRIAL_BALANCE}_{company}.xlsx").write_bytes(trial)
+        land(W.find_workbooks(spark, str(tmp_path)), str(tmp_path / "landed"))
+
+
+def staged_columns(monkeypatch):
+    seen, stage = [], Staging.__call__
+    monkeypatch.setattr(Staging, "__call__", lambda self, df: seen.append(df.columns) or stage(self, df))
+    return seen
+
+
+def test_landed_rows_are_written_once(spark, tmp_path, monkeypatch):
+    seen = staged_columns(monkeypatch)
+    landed_twice(spark, tmp_path)
+    assert rows(landed_rows(spark, str(tmp_path / "landed")).groupBy("company").count()) == [("А", 7), ("Б", 7)]
+    assert seen and not any("cells" in columns for columns in seen)
+    assert not [n.name for n in (tmp_path / "landed").iterdir() if n.name.startswith("_next")]
