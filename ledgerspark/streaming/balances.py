@@ -60,7 +60,7 @@ class KeptBalances:
             gone = stage(known.join(now, ["grp", "path"], "left_anti").select("grp", "path"))
             if changed.isEmpty() and gone.isEmpty():
                 return Updated({}, 0)
-            rows = stage(landed_rows(spark, landed).where(F.col("kind") == kind).join(changed.drop("path"), ["grp", "source_file"], "left_semi").select(*W.LANDED_COLUMNS))
+            rows = landed_rows(spark, landed).where(F.col("kind") == kind).join(changed.drop("path"), ["grp", "source_file"], "left_semi").select(*W.LANDED_COLUMNS)
             facts = facts_of(rows, stage).join(changed, ["grp", "source_file"]).withColumn("source_file", F.col("path"))
             dropped = changed.select("grp", "path").unionByName(gone).withColumnRenamed("path", "source_file")
             done = store.update(facts, dropped)

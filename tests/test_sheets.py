@@ -15,7 +15,7 @@ from ledgerspark import operators as O
 from ledgerspark.functions import labels as L
 from ledgerspark.sources import Staging
 from ledgerspark.sources import workbooks as W
-from ledgerspark.streaming import land, landed_rows
+from ledgerspark.streaming import KeptBalances, land, landed_rows
 
 
 def test_sheet_rows_are_numbered_in_slices(spark, monkeypatch):
@@ -176,3 +176,11 @@ def test_landed_rows_are_written_once(spark, tmp_path, monkeypatch):
     assert rows(landed_rows(spark, str(tmp_path / "landed")).groupBy("company").count()) == [("А", 7), ("Б", 7)]
     assert seen and not any("cells" in columns for columns in seen)
     assert not [n.name for n in (tmp_path / "landed").iterdir() if n.name.startswith("_next")]
+
+
+def test_balances_take_landed_rows_as_they_are_read(spark, tmp_path, monkeypatch):
+    landed_twice(spark, tmp_path)
+    seen, kept = staged_columns(monkeypatch), KeptBalances(spark, str(tmp_path / "kept"))
+    kept.sync(str(tmp_path / "landed"))
+    assert rows(kept.trial.daily(), "company", "closing") == [("А", 1.0), ("Б", 1.0)]
+    assert seen and not any("cells" in columns for columns in seen)
