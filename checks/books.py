@@ -17,8 +17,8 @@ from ledgerspark.sources.staging import Staging
 
 # Rows of a sheet that are in memory at once.
 BLOCK_ROWS = 1 << 16
-# Bytes of a workbook in one row of the table of files.
-PART_BYTES = 1 << 22
+# Bytes of a workbook in one row of the table of files: Parquet looks at a page's size after 100 rows first.
+PART_BYTES = 1 << 18
 
 # The parts of a workbook and their namespaces.
 MAIN = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
@@ -214,7 +214,7 @@ def workbooks(sheet: DataFrame, cells: Sequence[str | None], folder: str, *, hea
     """A workbook for every source_file of a sheet (row_no, and level for outlines): its cells are the named columns, None is an empty one.
 
     Blocks of rows are written and deflated by themselves and then put together, so no task holds more than a block, and
-    the file is in ``part``s: content is PART_BYTES of it or a little more. ``version`` shifts the files' times.
+    the file is in ``part``s: content is PART_BYTES of it, less in the last one. ``version`` shifts the files' times.
     """
     stage = Staging(sheet.sparkSession)
     written = stage(blocks(stage(pieces(sheet, cells)), cells, 2 if header else 1))
@@ -235,15 +235,17 @@ def workbooks(sheet: DataFrame, cells: Sequence[str | None], folder: str, *, hea
             part, content = 0, bytearray()
             for stretch in _book(own(), header):
                 content += stretch
-                if len(content) >= part_bytes:
-                    yield _part(f"{folder}/{name}", length, part, bytes(content))
-                    part, content = part + 1, bytearray()
+                while len(content) > part_bytes:
+                    yield _part(f"{folder}/{name}", length, part, bytes(content[:part_bytes]))
+                    del content[:part_bytes]
+                    part += 1
             if content:
                 yield _part(f"{folder}/{name}", length, part, bytes(content))
 
     lengths = written.groupBy("source_file").agg((F.sum(F.octet_length("data")) + frame).alias("length"))
     # by another expression than the join's, or adaptive execution would read the join's own shuffle map by map
-    ordered = written.join(lengths, "source_file").repartition(F.xxhash64("source_file")).sortWithinPartitions("source_file", "part", "block")
+    parts = int(sheet.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = written.join(lengths, "source_file").repartition(parts, F.xxhash64("source_file")).sortWithinPartitions("source_file", "part", "block")
     made = ordered.mapInArrow(make, "path string, length long, part int, content binary")
     time = datetime.date(2024, 1, 1) + datetime.timedelta(days=version)
     return made.select("path", F.lit(time).cast("timestamp").alias("modificationTime"), "length", "part", "content")

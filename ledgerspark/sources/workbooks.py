@@ -95,8 +95,10 @@ def in_order(files: DataFrame) -> DataFrame:
     """Rows of a table of files so that the parts of a workbook follow each other in one task."""
     if "part" not in files.columns:
         return files.withColumn("part", F.lit(0))
-    # not by the path itself: behind a join by it, Spark would leave the shuffle out and may read the join's map by map
-    return files.repartition(F.xxhash64("path")).sortWithinPartitions("path", "part")
+    # not by the path itself: behind a join by it, Spark would leave the shuffle out and may read the join's map by map;
+    # with a number, adaptive execution doesn't put long workbooks into one task, as they compress to few bytes a row
+    parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return files.repartition(parts, F.xxhash64("path")).sortWithinPartitions("path", "part")
 
 
 def identified(files: DataFrame) -> DataFrame:
